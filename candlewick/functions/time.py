@@ -27,10 +27,6 @@ def epoch_ms_to_second(millis: Column) -> Column:
     return F.timestamp_seconds(F.floor(millis.try_cast("bigint") / F.lit(1000)))
 
 
-def age_seconds(as_of: Column, moment: Column) -> Column:
-    return (F.unix_micros(as_of) - F.unix_micros(moment)) / F.lit(1_000_000.0)
-
-
 def age_minutes(as_of: Column, moment: Column) -> Column:
     """Whole-second difference in minutes, two decimals."""
     return F.round((F.unix_seconds(as_of) - F.unix_seconds(moment)) / F.lit(60.0), 2)

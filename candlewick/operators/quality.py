@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.functions.time import age_seconds, as_of_column
+from candlewick.functions.time import as_of_column
 from candlewick.operators.quality_rules import Rule
 from candlewick.schemas import TABLES
 
@@ -24,23 +24,29 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return sorted(set(required) - set(df.columns))
 
 
-def _numeric(df: DataFrame, column: str) -> Column:
-    # Bronze prices are text; compared as text, "9" would exceed "10".
-    return F.col(column).try_cast("double") if column in df.columns else F.lit(None).cast("double")
+def _text(value: str | None) -> str:
+    """A SQL string literal."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _texts(values: Sequence[str]) -> str:
+    return f"CAST(array({', '.join(_text(v) for v in values)}) AS array<string>)"
 
 
 def metrics(df: DataFrame, rule: Rule, by: Sequence[str] = ()) -> DataFrame:
     """Row count, null counts, value range and newest timestamp of one dataset, per ``by`` group."""
-    parts = [F.count(F.lit(1)).alias("row_count")]
-    for column in rule.null_ratios:
-        if column in df.columns:
-            parts.append(F.count_if(F.col(column).isNull()).alias(f"null__{column}"))
+    parts = ["count(1) AS row_count"]
+    parts += [f"count_if(`{c}` IS NULL) AS null__{c}" for c in rule.null_ratios if c in df.columns]
     for column in rule.bounded:
-        parts.append(F.min(_numeric(df, column)).alias(f"low__{column}"))
-        parts.append(F.max(_numeric(df, column)).alias(f"high__{column}"))
+        if column in df.columns:
+            # Bronze prices are text; compared as text, "9" would exceed "10".
+            number = f"try_cast(`{column}` AS double)"
+            parts += [f"min({number}) AS low__{column}", f"max({number}) AS high__{column}"]
     if rule.freshness and rule.freshness[0] in df.columns:
-        parts.append(F.max(F.col(rule.freshness[0]).cast("timestamp")).alias("newest"))
-    return df.groupBy(*by).agg(*parts) if by else df.agg(*parts)
+        parts.append(f"max(CAST(`{rule.freshness[0]}` AS timestamp)) AS newest")
+    return df.groupBy(*by).agg(*[F.expr(p) for p in parts])
 
 
 def duplicate_count(
@@ -49,181 +55,175 @@ def duplicate_count(
     """Rows beyond the first of each key. Keys are pre-counted per task, so hot keys stay small."""
     rows = df.where(where) if where else df
     per_key = rows.groupBy(*dict.fromkeys([*by, *keys])).agg(F.count(F.lit(1)).alias("copies"))
-    extra = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_count")
-    return per_key.groupBy(*by).agg(extra) if by else per_key.agg(extra)
+    return per_key.groupBy(*by).agg(F.expr("coalesce(sum(copies - 1), 0) AS duplicate_count"))
 
 
 def measure(df: DataFrame, rule: Rule, by: Sequence[str] = ()) -> DataFrame:
-    """``metrics`` and ``duplicate_count`` side by side, one row per ``by`` group."""
-    measured = metrics(df, rule, by)
-    if not rule.keys or missing_columns(df, rule.keys):
-        return measured.withColumn("duplicate_count", F.lit(None).cast("bigint"))
-    counted = duplicate_count(df, rule.keys, rule.duplicates_where, by)
-    # Both sides hold one row per group: stack them and fold, instead of a join.
-    both = measured.unionByName(counted, allowMissingColumns=True)
-    folded = [F.max(c).alias(c) for c in both.columns if c not in by]
-    result = both.groupBy(*by).agg(*folded) if by else both.agg(*folded)
-    return result.withColumn("duplicate_count", F.coalesce("duplicate_count", F.lit(0).cast("bigint")))
-
+    """What a rule observes on a dataset, with the rule's limits beside it; one row per ``by`` group.
 
-def _all(flags: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, flags, F.lit(True))
+    The columns are the same for every rule, so measurements of all datasets can be stacked.
+    """
+    found = metrics(df, rule, by)
+    if rule.keys and not missing_columns(df, rule.keys):
+        counted = duplicate_count(df, rule.keys, rule.duplicates_where, by)
+        # Both sides hold one row per group: stack them and fold, instead of a join.
+        both = found.unionByName(counted, allowMissingColumns=True)
+        found = both.groupBy(*by).agg(*[F.max(c).alias(c) for c in both.columns if c not in by])
+    return _beside_limits(found, rule, set(df.columns), by)
 
 
-def judge(
-    measured: DataFrame,
-    rule: Rule,
-    columns: Sequence[str],
-    as_of: datetime | Column | None = None,
-    by: Sequence[str] = (),
-    error: str | None = None,
+def _beside_limits(
+    found: DataFrame, rule: Rule, present: set[str], by: Sequence[str] = (), error: str | None = None
 ) -> DataFrame:
-    """Verdict per group: violations in a fixed order, a flag per check and the JSON summary."""
-    present, name = set(columns), rule.dataset
-    said: list[Column] = []
-    missing = sorted(set(rule.required) - present) if error is None else []
-    rows = F.col("row_count")
-
-    # Wording and number formats of the violations.
-    if error is not None:
-        said.append(F.lit(f"[{name}] unable to read dataset: {error}"))
-    said.append(
-        F.when(
-            rows < rule.min_rows,
-            F.format_string(f"[{name}] row_count %d is below minimum {rule.min_rows}", rows),
-        )
-    )
-    if missing:
-        said.append(F.lit(f"[{name}] missing required columns: {', '.join(missing)}"))
-
-    null_flags, null_parts = [], []
+    absent = "column is missing"
+    nulls, bounds = [], []
     for column, limit in rule.null_ratios.items() if error is None else ():
-        if column not in present:
-            null_flags.append(F.lit(False))
-            said.append(F.lit(f"[{name}] null check for {column} failed: column is missing"))
-            ratio, passed, fault = F.lit(None).cast("double"), F.lit(False), ["column is missing"]
-        else:
-            ratio = F.when(rows > 0, F.col(f"null__{column}") / rows).otherwise(0.0)
-            passed, fault = ratio <= limit, []
-            null_flags.append(passed)
-            text = f"[{name}] null ratio for {column} %.6f exceeds max {limit:.6f}"
-            said.append(F.when(~passed, F.format_string(text, ratio)))
-        entry = [*[F.lit(f).alias("error") for f in fault], F.lit(float(limit)).alias("max_null_ratio"),
-                 ratio.alias("null_ratio"), passed.alias("passed")]
-        null_parts.append(F.struct(*entry).alias(column))
-    nulls_ok = _all(null_flags)
-
-    duplicates_ok, duplicate_part = F.lit(True), F.lit(None).cast("string")
-    if rule.keys and error is None:
-        absent = [k for k in rule.keys if k not in present]
-        count = F.col("duplicate_count")
-        if absent:
-            duplicates_ok, fault = F.lit(False), [f"missing key columns: {', '.join(absent)}"]
-            said.append(F.lit(f"[{name}] duplicate check failed: {fault[0]}"))
-        else:
-            duplicates_ok, fault = count <= rule.max_duplicates, []
-            text = f"[{name}] duplicate_count %d exceeds max {rule.max_duplicates} for keys [{', '.join(rule.keys)}]"
-            said.append(F.when(~duplicates_ok, F.format_string(text, count)))
-        duplicate_part = F.struct(
-            count.alias("duplicate_count"), *[F.lit(f).alias("error") for f in fault],
-            F.array(*[F.lit(k) for k in rule.keys]).alias("key_columns"),
-            F.lit(rule.max_duplicates).alias("max_duplicate_count"), duplicates_ok.alias("passed"),
+        known = column in present
+        count, fault = (f"null__{column}", None) if known else ("CAST(NULL AS bigint)", absent)
+        nulls.append(
+            f"named_struct('column', {_text(column)}, 'nulls', {count}, 'limit', {float(limit)}D, 'error', {_text(fault)})"
         )
-
-    fresh_ok, fresh_part = F.lit(True), F.lit(None).cast("string")
-    if rule.freshness and error is None:
-        column, limit = rule.freshness
-        if column not in present:
-            age, fault = F.lit(None).cast("double"), F.lit("column is missing")
-        else:
-            age = F.greatest(age_seconds(as_of_column(as_of), F.col("newest")), F.lit(0.0))
-            age = F.when(F.col("newest").isNotNull(), age)
-            fault = F.when(F.col("newest").isNull(), F.lit("no timestamp values available"))
-        fresh_ok = F.coalesce(age <= limit, F.lit(False))
-        stale = f"[{name}] freshness age %.2fs exceeds max {limit}s for column {column}"
-        said.append(
-            F.when(fault.isNotNull(), F.concat(F.lit(f"[{name}] freshness check failed: "), fault))
-            .when(~fresh_ok, F.format_string(stale, age))
+    for column in rule.bounded if error is None else ():
+        known = column in present
+        low, high = (f"low__{column}", f"high__{column}") if known else ("CAST(NULL AS double)",) * 2
+        least, most = (
+            "CAST(NULL AS double)" if limit is None else f"{float(limit)}D"
+            for limit in (rule.minimum.get(column), rule.maximum.get(column))
         )
-        fresh_part = F.struct(
-            age.alias("age_seconds"), F.lit(column).alias("column"), fault.alias("error"),
-            F.lit(limit).alias("max_age_seconds"), fresh_ok.alias("passed"),
+        bounds.append(
+            f"named_struct('column', {_text(column)}, 'low', {low}, 'high', {high}, 'min', {least}, 'max', {most}, "
+            f"'error', {_text(None if known else absent)})"
         )
-
-    bound_flags, bound_parts = [], []
-    for column in rule.bounded if error is None else ():
-        low, high = F.col(f"low__{column}"), F.col(f"high__{column}")
-        least, most = rule.minimum.get(column), rule.maximum.get(column)
-        fault = []
-        if column not in present:
-            passed, fault = F.lit(False), ["column is missing"]
-            said.append(F.lit(f"[{name}] bounds check for {column} failed: column is missing"))
-        else:
-            below = low < least if least is not None else F.lit(False)
-            above = high > most if most is not None else F.lit(False)
-            passed = F.coalesce(~below & ~above, F.lit(False))
-            if least is not None:
-                text = f"[{name}] observed minimum for {column} %.8f is below allowed {least:.8f}"
-                said.append(F.when(below, F.format_string(text, low)))
-            if most is not None:
-                text = f"[{name}] observed maximum for {column} %.8f exceeds allowed {most:.8f}"
-                said.append(F.when(above, F.format_string(text, high)))
-            said.append(F.when(low.isNull(), F.lit(f"[{name}] bounds check for {column} has no comparable values")))
-        bound_flags.append(passed)
-        entry = [*[F.lit(f).alias("error") for f in fault], F.lit(most).cast("double").alias("max"),
-                 F.lit(least).cast("double").alias("min"), high.alias("observed_max"),
-                 low.alias("observed_min"), passed.alias("passed")]
-        bound_parts.append(F.struct(*entry).alias(column))
-    bounds_ok = _all(bound_flags)
-
-    summary = F.struct(
-        F.struct(_metrics_part(bound_parts), bounds_ok.alias("passed")).alias("bounds_check"),
-        duplicate_part.alias("duplicate_check"),
-        fresh_part.alias("freshness_check"),
-        F.struct(_metrics_part(null_parts), nulls_ok.alias("passed")).alias("null_checks"),
-        F.struct(
-            _texts(missing).alias("missing_columns"), F.lit(not missing).alias("passed"),
-            _texts(rule.required).alias("required_columns"),
-        ).alias("schema"),
-    )
-    judged = measured.withColumn("violations", F.array_compact(F.array(*said)))
-    return judged.select(
-        *by,
-        F.lit(name).alias("dataset_name"),
-        F.lit(TABLES[rule.table].layer).alias("layer"),
-        (F.size("violations") == 0).alias("passed"),
+    keys = rule.keys if error is None else ()
+    lacking = [k for k in keys if k not in present]
+    counted = keys and not lacking
+    aged, limit = rule.freshness if rule.freshness and error is None else (None, 0)
+    newest = "newest" if aged in present else "CAST(NULL AS timestamp)"
+    missing = sorted(set(rule.required) - present) if error is None else []
+    return found.selectExpr(
+        *[f"`{c}`" for c in by],
+        f"{_text(rule.dataset)} AS dataset_name",
+        f"{_text(TABLES[rule.table].layer)} AS layer",
+        f"{_text(error)} AS read_error",
         "row_count",
-        F.lit(rule.min_rows).cast("bigint").alias("min_row_count"),
-        "violations",
-        F.lit(not missing).alias("schema_passed"),
-        nulls_ok.alias("null_checks_passed"),
-        duplicates_ok.alias("duplicate_check_passed"),
-        fresh_ok.alias("freshness_check_passed"),
-        bounds_ok.alias("bounds_check_passed"),
-        F.to_json(summary, {"ignoreNullFields": "false"}).alias("summary_json"),
+        f"CAST({rule.min_rows} AS bigint) AS min_row_count",
+        f"{_texts(rule.required)} AS required_columns",
+        f"{_texts(missing)} AS missing_columns",
+        f"CAST(array({', '.join(nulls)}) AS {_NULLS}) AS nulls",
+        f"{_texts(keys)} AS key_columns",
+        f"{_text('missing key columns: ' + ', '.join(lacking) if lacking else None)} AS key_error",
+        f"{'coalesce(duplicate_count, 0L)' if counted else 'CAST(NULL AS bigint)'} AS duplicate_count",
+        f"CAST({rule.max_duplicates} AS bigint) AS max_duplicate_count",
+        f"{_text(aged)} AS aged_column",
+        f"{newest} AS newest",
+        f"{int(limit)} AS max_age_seconds",
+        f"{_text(absent if aged and aged not in present else None)} AS age_error",
+        f"CAST(array({', '.join(bounds)}) AS {_BOUNDS}) AS bounds",
     )
 
 
-def _texts(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+_NULLS = "array<struct<column:string,nulls:bigint,limit:double,error:string>>"
+_BOUNDS = "array<struct<column:string,low:double,high:double,min:double,max:double,error:string>>"
+
+# Per-check results as SQL over the measured columns.
+_JUDGED = {
+    "nulls": """transform(nulls, n -> named_struct('column', n.column, 'limit', n.limit, 'error', n.error,
+        'ratio', CASE WHEN n.error IS NULL THEN if(row_count > 0, n.nulls / row_count, 0D) END,
+        'passed', n.error IS NULL AND if(row_count > 0, n.nulls / row_count, 0D) <= n.limit))""",
+    "bounds": """transform(bounds, b -> named_struct('column', b.column, 'low', b.low, 'high', b.high, 'min', b.min,
+        'max', b.max, 'error', b.error,
+        'passed', b.low IS NOT NULL AND coalesce(b.low >= b.min, true) AND coalesce(b.high <= b.max, true)))""",
+    "age_error": """coalesce(age_error,
+        CASE WHEN aged_column IS NOT NULL AND newest IS NULL THEN 'no timestamp values available' END)""",
+    "age_seconds": """CASE WHEN newest IS NOT NULL
+        THEN greatest((unix_micros(_as_of) - unix_micros(newest)) / 1000000D, 0D) END""",
+    "schema_passed": "size(missing_columns) = 0",
+    "duplicate_check_passed": "key_error IS NULL AND coalesce(duplicate_count <= max_duplicate_count, true)",
+}
+_FLAGS = {
+    "null_checks_passed": "forall(nulls, n -> n.passed)",
+    "freshness_check_passed": "aged_column IS NULL OR coalesce(age_seconds <= max_age_seconds, false)",
+    "bounds_check_passed": "forall(bounds, b -> b.passed)",
+}
+
+# Wording, order and number formats of the violations.
+_VIOLATIONS = """array_compact(flatten(array(
+    array(concat(_name, 'unable to read dataset: ', read_error)),
+    array(CASE WHEN row_count < min_row_count
+        THEN format_string('%srow_count %d is below minimum %d', _name, row_count, min_row_count) END),
+    array(CASE WHEN NOT schema_passed
+        THEN concat(_name, 'missing required columns: ', array_join(missing_columns, ', ')) END),
+    transform(nulls, n -> CASE
+        WHEN n.error IS NOT NULL THEN concat(_name, 'null check for ', n.column, ' failed: ', n.error)
+        WHEN NOT n.passed
+        THEN format_string('%snull ratio for %s %.6f exceeds max %.6f', _name, n.column, n.ratio, n.limit) END),
+    array(CASE
+        WHEN key_error IS NOT NULL THEN concat(_name, 'duplicate check failed: ', key_error)
+        WHEN NOT duplicate_check_passed
+        THEN format_string('%sduplicate_count %d exceeds max %d for keys [%s]', _name, duplicate_count,
+            max_duplicate_count, array_join(key_columns, ', ')) END),
+    array(CASE
+        WHEN age_error IS NOT NULL THEN concat(_name, 'freshness check failed: ', age_error)
+        WHEN NOT freshness_check_passed
+        THEN format_string('%sfreshness age %.2fs exceeds max %ds for column %s', _name, age_seconds,
+            max_age_seconds, aged_column) END),
+    flatten(transform(bounds, b -> array(
+        CASE WHEN b.error IS NOT NULL THEN concat(_name, 'bounds check for ', b.column, ' failed: ', b.error) END,
+        CASE WHEN b.low < b.min
+        THEN format_string('%sobserved minimum for %s %.8f is below allowed %.8f', _name, b.column, b.low, b.min) END,
+        CASE WHEN b.high > b.max
+        THEN format_string('%sobserved maximum for %s %.8f exceeds allowed %.8f', _name, b.column, b.high, b.max) END,
+        CASE WHEN b.error IS NULL AND b.low IS NULL
+        THEN concat(_name, 'bounds check for ', b.column, ' has no comparable values') END)))
+)))"""
+
+# Keys in alphabetical order, absent checks null.
+_SUMMARY = """to_json(named_struct(
+    'bounds_check', named_struct(
+        'metrics', map_from_entries(transform(bounds, b -> struct(b.column, named_struct('error', b.error, 'max', b.max,
+            'min', b.min, 'observed_max', b.high, 'observed_min', b.low, 'passed', b.passed)))),
+        'passed', bounds_check_passed),
+    'duplicate_check', CASE WHEN size(key_columns) > 0 THEN named_struct('duplicate_count', duplicate_count,
+        'error', key_error, 'key_columns', key_columns, 'max_duplicate_count', max_duplicate_count,
+        'passed', duplicate_check_passed) END,
+    'freshness_check', CASE WHEN aged_column IS NOT NULL THEN named_struct('age_seconds', age_seconds,
+        'column', aged_column, 'error', age_error, 'max_age_seconds', max_age_seconds,
+        'passed', freshness_check_passed) END,
+    'null_checks', named_struct(
+        'metrics', map_from_entries(transform(nulls, n -> struct(n.column, named_struct('error', n.error,
+            'max_null_ratio', n.limit, 'null_ratio', n.ratio, 'passed', n.passed)))),
+        'passed', null_checks_passed),
+    'schema', named_struct('missing_columns', missing_columns, 'passed', schema_passed,
+        'required_columns', required_columns)), map('ignoreNullFields', 'false'))"""
 
 
-def _metrics_part(parts: list[Column]) -> Column:
-    filled = F.struct(*parts) if parts else F.create_map().cast("map<string,string>")
-    return filled.alias("metrics")
+def judge(
+    measured: DataFrame, as_of: datetime | Column | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """Verdict per measured row: violations in a fixed order, a flag per check and the JSON summary."""
+    rows = measured.withColumn("_as_of", as_of_column(as_of))
+    rows = rows.withColumns({name: F.expr(sql) for name, sql in _JUDGED.items()})
+    rows = rows.withColumns({name: F.expr(sql) for name, sql in _FLAGS.items()})
+    rows = rows.withColumn("_name", F.expr("concat('[', dataset_name, '] ')"))
+    rows = rows.withColumns({"violations": F.expr(_VIOLATIONS), "summary_json": F.expr(_SUMMARY)})
+    return rows.selectExpr(
+        *[f"`{c}`" for c in by],
+        "dataset_name", "layer", "size(violations) = 0 AS passed", "row_count", "min_row_count", "violations",
+        "schema_passed", "null_checks_passed", "duplicate_check_passed", "freshness_check_passed",
+        "bounds_check_passed", "summary_json",
+    )
 
 
 def check_dataset(
     df: DataFrame, rule: Rule, as_of: datetime | Column | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
     """The verdict of one rule over one dataset: one row, or one per ``by`` group."""
-    return judge(measure(df, rule, by), rule, df.columns, as_of, by)
+    return judge(measure(df, rule, by), as_of, by)
 
 
 def unreadable_dataset(spark: SparkSession, rule: Rule, error: str) -> DataFrame:
-    """The verdict when a dataset cannot be opened: a violation, not a crash."""
-    measured = spark.range(1).select(F.lit(0).cast("bigint").alias("row_count"))
-    return judge(measured, rule, (), error=error)
+    """The measurement of a dataset that cannot be opened: it becomes a violation, not a crash."""
+    return _beside_limits(spark.range(1).selectExpr("0L AS row_count"), rule, set(), error=error)
 
 
 def check_datasets(
@@ -233,14 +233,14 @@ def check_datasets(
     as_of: datetime | Column | None = None,
 ) -> DataFrame:
     """All verdicts of a run as one DataFrame. A dataset that failed to open is given by its error."""
-    verdicts = []
+    measured = []
     for rule in rules:
         found = datasets.get(rule.dataset, LookupError("dataset not found"))
         if isinstance(found, DataFrame):
-            verdicts.append(check_dataset(found, rule, as_of))
+            measured.append(measure(found, rule))
         else:
-            verdicts.append(unreadable_dataset(spark, rule, str(found)))
-    return reduce(DataFrame.unionByName, verdicts)
+            measured.append(unreadable_dataset(spark, rule, str(found)))
+    return judge(reduce(DataFrame.union, measured), as_of)
 
 
 def audit_rows(

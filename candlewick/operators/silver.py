@@ -69,12 +69,13 @@ def project_klines(bronze: DataFrame) -> DataFrame:
 
 def silver_trades(bronze: DataFrame) -> DataFrame:
     """Typed trades, one per (symbol, trade_id), the newest delivery winning."""
-    return newest_per_key(project_trades(bronze), TABLES["silver.trades"].keys, NEWEST)
+    # The numeric key first: its sort prefix settles nearly every comparison.
+    return newest_per_key(project_trades(bronze), ("trade_id", "symbol"), NEWEST)
 
 
 def silver_klines(bronze: DataFrame) -> DataFrame:
     """Typed closed candles, one per (symbol, interval, open_time), the newest delivery winning."""
-    return newest_per_key(project_klines(bronze), TABLES["silver.klines_1m"].keys, NEWEST)
+    return newest_per_key(project_klines(bronze), ("open_time", "symbol", "interval"), NEWEST)
 
 
 def union_klines(history: DataFrame, live: DataFrame) -> DataFrame:

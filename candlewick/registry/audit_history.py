@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick import feeds
-from candlewick.operators.quality import audit_rows, check_dataset
+from candlewick.operators.quality import audit_rows, judge, measure
 from candlewick.operators.quality_rules import RULE_OF
 
 DAY = "run_day"
@@ -26,11 +26,10 @@ def day_end():
 
 
 def audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    verdicts = []
-    for dataset, (source, moment) in SLICED.items():
-        rows = source(spark, sf_dir)
-        dated = rows.withColumn(DAY, F.to_date(moment))
-        verdicts.append(check_dataset(dated, RULE_OF[dataset], day_end(), [DAY]))
-    runs = reduce(DataFrame.unionByName, verdicts)
+    measured = [
+        measure(source(spark, sf_dir).withColumn(DAY, F.to_date(moment)), RULE_OF[dataset], [DAY])
+        for dataset, (source, moment) in SLICED.items()
+    ]
+    runs = judge(reduce(DataFrame.union, measured), day_end(), [DAY])
     run_id = F.concat(F.lit("run-"), F.date_format(DAY, "yyyyMMdd"))
     return audit_rows(runs, run_id, day_end(), "test", "data_quality_checks", "quality")

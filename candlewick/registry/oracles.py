@@ -70,7 +70,7 @@ PARTS = {
                round(sum(notional), 8) AS notional_1m, CAST(count(*) AS INTEGER) AS trade_count
         FROM trades GROUP BY symbol, date_trunc('minute', trade_time)""",
     "body": """
-        SELECT *, '"s":"' || symbol || '","t":' || trade_id AS ids, CAST(epoch_ms(trade_time) AS VARCHAR) AS ms,
+        SELECT *, '"s":"' || symbol || '","t":' || trade_id AS ids, CAST(epoch_us(trade_time) // 1000 AS VARCHAR) AS ms,
                CAST(price AS VARCHAR) AS price_text, CAST(quantity AS VARCHAR) AS quantity_text
         FROM feed""",
     "texts": """
@@ -514,7 +514,7 @@ def oracle_sql() -> dict[str, str]:
         "upsert": _with("usable", UPSERTED.format(columns=SILVER_TRADE, order="again DESC")),
         "upsert_last_batch_wins": _with("usable", UPSERTED.format(columns=SILVER_TRADE, order="again")),
         "upsert_newer_than": _with("silver", "SELECT * FROM silver"),
-        "upsert_replace": _with("volume", "SELECT * FROM volume WHERE trade_count > 1"),
+        "upsert_replace": _with("volume", "SELECT * FROM volume WHERE volume_1m >= 50"),
         # quality
         "dq_row_count": _with("movers volatility volume latest live_candles", counts),
         "dq_schema": _with(

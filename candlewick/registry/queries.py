@@ -507,7 +507,7 @@ def upsert_replace(spark, sf_dir):
     lake = _lake(spark, "replace")
     volume = feeds.gold_volume(spark, sf_dir)
     lake.upsert("gold.volume_1m", volume)
-    lake.upsert("gold.volume_1m", volume.where(F.col("trade_count") > 1), delete_unmatched=True)
+    lake.upsert("gold.volume_1m", volume.where(F.col("volume_1m") >= 50), delete_unmatched=True)
     return lake.read("gold.volume_1m")
 
 

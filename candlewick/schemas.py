@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Column lists are fixed values: names, order and types of the stored tables.
 _BRONZE_TRADES = """
@@ -88,11 +87,11 @@ class Table:
 
     def conform(self, df: DataFrame) -> DataFrame:
         """Project to the stored column order and types; absent columns become null."""
-        stored = {name: kind for name, kind in (_split(part) for part in self.ddl.split(","))}
-        return df.select(
+        present = set(df.columns)
+        return df.selectExpr(
             *[
-                (F.col(f"`{name}`") if name in df.columns else F.lit(None)).cast(kind).alias(name)
-                for name, kind in stored.items()
+                f"CAST({f'`{name}`' if name in present else 'NULL'} AS {kind}) AS `{name}`"
+                for name, kind in (_split(part) for part in self.ddl.split(","))
             ]
         )
 

@@ -23,6 +23,8 @@ from candlewick.schemas import TABLES, Table
 PART = "part_date"
 # Spark's own directory name for a null partition value.
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+# An incomplete commit file this old belongs to a writer that died.
+ABANDONED_SECONDS = 60
 
 
 class CommitConflict(RuntimeError):
@@ -74,6 +76,16 @@ class Lake:
                 return commit
         return None
 
+    def _base(self, name: str) -> list[int]:
+        """Commit numbers a write builds on; refuses while another writer's commit file is incomplete."""
+        numbers = self._commit_numbers(name)
+        if numbers and self._load_commit(name, numbers[0]) is None:
+            fs, file = self._hadoop(f"{self.path(name)}/_commits/{numbers[0]:012d}.json")
+            age = time.time() - fs.getFileStatus(file).getModificationTime() / 1000
+            if age < ABANDONED_SECONDS:
+                raise CommitConflict(f"{name}: commit {numbers[0]} is being written")
+        return numbers
+
     def _commit(self, name: str, base: list[int], directories: Iterable[str], batches: dict) -> None:
         number = (base[0] if base else 0) + 1
         fs, file = self._hadoop(f"{self.path(name)}/_commits/{number:012d}.json")
@@ -127,14 +139,14 @@ class Lake:
         return [f"{directory}/{n}" for n in names if n.startswith(f"{PART}=")]
 
     def overwrite(self, name: str, df: DataFrame) -> str:
-        table, base = TABLES[name], self._commit_numbers(name)
+        table, base = TABLES[name], self._base(name)
         previous = self.current(name) or {}
         self._commit(name, base, self._write(table, table.conform(df)), previous.get("batches", {}))
         return "overwrite"
 
     def append(self, name: str, df: DataFrame, batch: tuple[str, int] | None = None) -> str:
         """Add rows. ``batch=(stream, id)`` makes a replayed streaming batch a no-op."""
-        table, base = TABLES[name], self._commit_numbers(name)
+        table, base = TABLES[name], self._base(name)
         previous = self.current(name) or {"directories": [], "batches": {}}
         batches = dict(previous["batches"])
         if batch is not None:
@@ -154,7 +166,7 @@ class Lake:
         delete_unmatched: bool = False,
     ) -> str:
         """Merge one row per key into the table; ``created`` on first write, else ``merged``."""
-        table, base = TABLES[name], self._commit_numbers(name)
+        table, base = TABLES[name], self._base(name)
         previous = self.current(name)
         if previous is None:
             self.overwrite(name, source)
@@ -194,7 +206,7 @@ class Lake:
     def expire(self, name: str, keep: int = 2, min_age_hours: float = 24.0) -> int:
         """Delete data directories that none of the last ``keep`` commits uses; return how many.
 
-        Directories younger than ``min_age_hours`` stay: a running write may still need them.
+        Older commit files go too. Directories younger than ``min_age_hours`` stay: a running write may still need them.
         """
         table, root = TABLES[name], self.path(name)
         numbers = self._commit_numbers(name)[:keep]
@@ -212,6 +224,9 @@ class Lake:
                 if is_data and leaf.getModificationTime() <= latest:
                     self._hadoop(f"{root}/{relative}")[0].delete(leaf.getPath(), True)
                     deleted += 1
+        for number in self._commit_numbers(name)[keep:]:
+            fs, file = self._hadoop(f"{root}/_commits/{number:012d}.json")
+            fs.delete(file, False)
         return deleted
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ def local_session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="candlewick-warehouse-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
