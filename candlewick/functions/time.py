@@ -15,6 +15,12 @@ def utc(value: datetime | None) -> datetime | None:
     return value.replace(tzinfo=timezone.utc) if value.tzinfo is None else value.astimezone(timezone.utc)
 
 
+def micros(value: datetime) -> int:
+    """Microseconds since the epoch, exact."""
+    since = utc(value) - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return (since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds
+
+
 def as_of_column(as_of: datetime | Column | None) -> Column:
     """The evaluation instant: a given value, or the query's own current timestamp."""
     if as_of is None:

@@ -31,10 +31,14 @@ def after_watermark(
     df: DataFrame, column: str, last_processed_at: datetime | None, overlap_seconds: int = 0
 ) -> DataFrame:
     """Rows newer than the stored watermark minus the overlap; without a watermark, all rows."""
+    bound = watermark_bound(last_processed_at, overlap_seconds)
+    return df if bound is None else df.where(F.col(column) > F.lit(bound))
+
+
+def watermark_bound(last_processed_at: datetime | None, overlap_seconds: int = 0) -> datetime | None:
     if last_processed_at is None:
-        return df
-    bound = utc(last_processed_at) - timedelta(seconds=max(overlap_seconds, 0))
-    return df.where(F.col(column) > F.lit(bound))
+        return None
+    return utc(last_processed_at) - timedelta(seconds=max(overlap_seconds, 0))
 
 
 def cast_to_schema(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:

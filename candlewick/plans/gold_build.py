@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.operators.filters import after_watermark
+from candlewick.operators.filters import after_watermark, watermark_bound
 from candlewick.operators.gold import (
     TOP_MOVERS, WINDOW_SIZE, latest_price, minute_of, rolling_volatility, top_movers, volume_1m,
 )
@@ -16,6 +16,10 @@ from candlewick.sinks.lake import Lake
 
 PIPELINE = "build_gold_metrics"
 TRADES, KLINES = "silver.trades", "silver.klines_1m"
+# Affected symbols up to this number are broadcast (some tens of megabytes), more are shuffled.
+BROADCAST_SYMBOLS = 200_000
+# Days before the earliest change that are searched for lead-in candles first.
+LEAD_IN_DAYS = 7
 
 
 def latest_price_update(changed: DataFrame, stored: DataFrame | None) -> DataFrame:
@@ -48,43 +52,76 @@ def volume_update(changed: DataFrame, all_trades: DataFrame) -> DataFrame:
     return volume_1m(touched)
 
 
+def first_changes(changed: DataFrame) -> DataFrame:
+    """The earliest changed candle of each affected symbol."""
+    return changed.groupBy("symbol").agg(F.min("open_time").alias("_changed"))
+
+
+def lead_in(all_klines: DataFrame, changes: DataFrame, depth: int) -> DataFrame:
+    """Per affected symbol: the start of the ``depth`` candles before its first change, and how many exist."""
+    newest = Window.partitionBy("symbol").orderBy(F.col("open_time").desc())
+    before = all_klines.select("symbol", "open_time").join(changes, "symbol")
+    return (
+        before.where(F.col("open_time") < F.col("_changed"))
+        .withColumn("_rank", F.row_number().over(newest))
+        .where(F.col("_rank") <= depth)
+        .groupBy("symbol")
+        .agg(F.min("open_time").alias("_from"), F.count(F.lit(1)).alias("_depth"))
+    )
+
+
 def volatility_update(
-    changed: DataFrame, all_klines: DataFrame, window_size: int = WINDOW_SIZE, bounded: bool = True
+    changed: DataFrame,
+    all_klines: DataFrame,
+    window_size: int = WINDOW_SIZE,
+    bounded: bool = True,
+    changes: DataFrame | None = None,
+    few_symbols: bool = False,
 ) -> DataFrame:
     """Volatility windows of the symbols that received a candle.
 
     A candle changes the windows that start at most ``window_size - 1`` candles before it, and all
     later ones may shift. ``bounded`` therefore recomputes each symbol from ``window_size`` candles
     before its earliest change (one more than the windows need, for the first return) instead of
-    from its first candle; the result equals a full recompute.
+    from its first candle; the result equals a full recompute. ``few_symbols`` says that the caller
+    counted the affected symbols and they fit a broadcast.
     """
+    small = F.broadcast if few_symbols else lambda df: df
     if not bounded:
         affected = changed.select("symbol").distinct()
-        return rolling_volatility(all_klines.join(affected, "symbol", "left_semi"), window_size)
-    first_change = changed.groupBy("symbol").agg(F.min("open_time").alias("_changed"))
-    before = all_klines.select("symbol", "open_time").join(first_change, "symbol")
-    newest = Window.partitionBy("symbol").orderBy(F.col("open_time").desc())
-    lead_in = (
-        before.where(F.col("open_time") < F.col("_changed"))
-        .withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") <= window_size)
-        .groupBy("symbol")
-        .agg(F.min("open_time").alias("_from"), F.count(F.lit(1)).alias("_depth"))
-    )
+        return rolling_volatility(all_klines.join(small(affected), "symbol", "left_semi"), window_size)
+    changes = first_changes(changed) if changes is None else changes
     # Without that many earlier candles the symbol is recomputed from its first one.
-    starts = first_change.join(lead_in, "symbol", "left").select(
+    starts = changes.join(small(lead_in(all_klines, small(changes), window_size)), "symbol", "left").select(
         "symbol", F.when(F.col("_depth") == window_size, F.col("_from")).alias("_from")
     )
-    scoped = all_klines.join(starts, "symbol").where(F.col("_from").isNull() | (F.col("open_time") >= F.col("_from")))
+    scoped = all_klines.join(small(starts), "symbol")
+    scoped = scoped.where(F.col("_from").isNull() | (F.col("open_time") >= F.col("_from")))
     windows = rolling_volatility(scoped.drop("_from"), window_size)
     # A window that starts on the very first lead-in candle lacks that candle's return.
     return (
-        windows.join(starts, "symbol")
+        windows.join(small(starts), "symbol")
         .where(F.col("_from").isNull() | (F.col("window_start") > F.col("_from")))
         .drop("_from")
     )
 
 
+def changed_volatility(lake: Lake, changed: DataFrame, window_size: int) -> DataFrame:
+    """``volatility_update`` over as few date partitions as hold the affected windows.
+
+    The recent partitions suffice when every affected symbol has its lead-in there; otherwise the
+    whole table is read.
+    """
+    changes = first_changes(changed)
+    symbols, earliest = changes.agg(F.count(F.lit(1)), F.to_date(F.min("_changed"))).first()
+    few = symbols <= BROADCAST_SYMBOLS
+    recent = lake.read(KLINES, from_date=earliest - timedelta(days=LEAD_IN_DAYS))
+    ready = lead_in(recent, F.broadcast(changes) if few else changes, window_size)
+    complete = ready.where(F.col("_depth") == window_size).count() == symbols
+    klines = recent if complete else lake.read(KLINES)
+    return volatility_update(changed, klines, window_size, changes=changes, few_symbols=few)
+
+
 def build_gold(
     lake: Lake,
     mode: str = "merge",
@@ -107,13 +144,13 @@ def build_gold(
         states.append(State(PIPELINE, source.partition(".")[2], "silver", "gold", newest, metadata))
 
     last = since.get("trades")
-    trades = lake.read(TRADES)
-    changed = after_watermark(trades, WATERMARK, last, overlap_seconds)
+    stored = lake.read(TRADES, arrived_after=watermark_bound(last, overlap_seconds))
+    changed = after_watermark(stored, WATERMARK, last, overlap_seconds)
     rows, newest = batch_extent(changed)
     if rows and newest is not None:
         write("gold.latest_price", latest_price_update(changed, lake.optional("gold.latest_price") if incremental else None))
         if last is None:
-            write("gold.volume_1m", volume_1m(trades))
+            write("gold.volume_1m", volume_1m(changed))
         else:
             # The days that hold an affected minute bound the scan: one value per partition.
             days = [row[0] for row in changed.select(F.to_date("trade_time")).distinct().collect()]
@@ -123,16 +160,16 @@ def build_gold(
         outcome["gold.latest_price"] = outcome["gold.volume_1m"] = "skipped"
 
     last = since.get("klines_1m")
-    klines = lake.read(KLINES)
-    changed = after_watermark(klines, WATERMARK, last, overlap_seconds)
+    stored = lake.read(KLINES, arrived_after=watermark_bound(last, overlap_seconds))
+    changed = after_watermark(stored, WATERMARK, last, overlap_seconds)
     rows, newest = batch_extent(changed)
     if rows and newest is not None:
         if last is None:
-            write("gold.volatility_5m", rolling_volatility(klines, window_size))
+            write("gold.volatility_5m", rolling_volatility(changed, window_size))
         else:
-            write("gold.volatility_5m", volatility_update(changed, klines, window_size))
+            write("gold.volatility_5m", changed_volatility(lake, changed, window_size))
         # The ranking is global: it replaces the table, which drops symbols that fell out.
-        ranking = top_movers(klines, movers)
+        ranking = top_movers(lake.read(KLINES), movers)
         outcome["gold.top_movers"] = (
             lake.upsert("gold.top_movers", ranking, delete_unmatched=True)
             if incremental

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from candlewick.operators.filters import after_watermark
+from candlewick.operators.filters import after_watermark, watermark_bound
 from candlewick.operators.silver import silver_klines, silver_trades, union_klines
 from candlewick.plans.state import OVERLAP_SECONDS, WATERMARK, State, batch_extent, last_watermarks, save_state
 from candlewick.sinks.lake import Lake
@@ -19,10 +19,9 @@ TRADES, HISTORY, LIVE = "bronze.trades_live_raw", "bronze.klines_history_raw", "
 def _new_rows(
     lake: Lake, table: str, since: dict[str, datetime | None], overlap: int
 ) -> tuple[DataFrame, datetime | None]:
-    stored = lake.optional(table)
-    if stored is None:
-        return lake.read(table), None
-    rows = after_watermark(stored, WATERMARK, since.get(_short(table)), overlap)
+    last = since.get(_short(table))
+    stored = lake.read(table, arrived_after=watermark_bound(last, overlap))
+    rows = after_watermark(stored, WATERMARK, last, overlap)
     count, newest = batch_extent(rows)
     return rows, newest if count else None
 

@@ -2,9 +2,11 @@
 
 Parquet has no MERGE, and overwriting the directory a query reads from loses data when the driver
 dies midway. So every write goes to a fresh ``commit=<id>`` directory and becomes visible by one
-small file, ``_commits/<number>.json``, that lists the directories in use. Readers see a whole
-commit or none. A merge rewrites only the date partitions that its keys touch. Where the table
-format itself takes row-level changes, use ``operators.merging.merge_into_table`` instead.
+small file, ``_commits/<number>.json``, that lists the directories in use, each with its newest
+arrival time. Readers see a whole commit or none, and a reader that wants only rows newer than a
+watermark opens only the directories that hold some. A merge rewrites only the date partitions that
+its keys touch. Where the table format itself takes row-level changes, use
+``operators.merging.merge_into_table`` instead.
 """
 
 from __future__ import annotations
@@ -12,17 +14,20 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.functions.time import micros
 from candlewick.operators.merging import merge_rows, same_key
 from candlewick.schemas import TABLES, Table
 
 PART = "part_date"
 # Spark's own directory name for a null partition value.
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+ARRIVAL = "ingested_at"
 # An incomplete commit file this old belongs to a writer that died.
 ABANDONED_SECONDS = 60
 
@@ -69,7 +74,8 @@ class Lake:
             return None
 
     def current(self, name: str) -> dict | None:
-        """The newest readable commit: ``directories`` in use and the ``batches`` of streams."""
+        """The newest readable commit: ``directories`` in use (with the newest arrival in each, if the
+        table records arrivals) and the last ``batches`` of streams."""
         for number in self._commit_numbers(name):
             commit = self._load_commit(name, number)
             if commit is not None:
@@ -86,10 +92,10 @@ class Lake:
                 raise CommitConflict(f"{name}: commit {numbers[0]} is being written")
         return numbers
 
-    def _commit(self, name: str, base: list[int], directories: Iterable[str], batches: dict) -> None:
+    def _commit(self, name: str, base: list[int], directories: Mapping[str, int | None], batches: dict) -> None:
         number = (base[0] if base else 0) + 1
         fs, file = self._hadoop(f"{self.path(name)}/_commits/{number:012d}.json")
-        text = json.dumps({"directories": sorted(directories), "batches": batches})
+        text = json.dumps({"directories": directories, "batches": batches}, sort_keys=True)
         try:
             stream = fs.create(file, False)
         except Exception as error:
@@ -102,14 +108,29 @@ class Lake:
     def exists(self, name: str) -> bool:
         return self.current(name) is not None
 
-    def read(self, name: str, dates: Iterable[str | None] | None = None) -> DataFrame:
-        """The committed rows; ``dates`` limits a dated table to those partitions."""
+    def read(
+        self,
+        name: str,
+        dates: Iterable[object] | None = None,
+        from_date: object | None = None,
+        arrived_after: datetime | None = None,
+    ) -> DataFrame:
+        """The committed rows.
+
+        ``dates`` and ``from_date`` limit a dated table to those partitions. ``arrived_after`` leaves
+        out directories without a newer row; the remaining rows still need the row filter.
+        """
         commit = self.current(name)
-        directories = commit["directories"] if commit else []
+        found = commit["directories"] if commit else {}
         if dates is not None:
             wanted = {_part_name(d) for d in dates}
-            directories = [d for d in directories if d.partition(f"/{PART}=")[2] in wanted]
-        return self._open(TABLES[name], directories).drop(PART)
+            found = {d: newest for d, newest in found.items() if _part_of(d) in wanted}
+        if from_date is not None:
+            found = {d: newest for d, newest in found.items() if _part_of(d) in (NULL_PART, "") or _part_of(d) >= str(from_date)}
+        if arrived_after is not None:
+            bound = micros(arrived_after)
+            found = {d: newest for d, newest in found.items() if newest is None or newest > bound}
+        return self._open(TABLES[name], sorted(found)).drop(PART)
 
     def optional(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
@@ -125,18 +146,24 @@ class Lake:
 
     # -- writing ------------------------------------------------------------------------------
 
-    def _write(self, table: Table, df: DataFrame) -> list[str]:
+    def _write(self, table: Table, df: DataFrame) -> dict[str, int | None]:
         """Write rows to a new commit directory; return the directories that hold rows."""
         directory = f"commit={uuid.uuid4().hex}"
         target = f"{self.path(table.full_name)}/{directory}"
         if table.dated_by is None:
             df.write.parquet(target)
-            return [directory]
+            return {directory: None}
         # REBALANCE gathers each date into few files and splits a date that is too big for one task.
         dated = df.withColumn(PART, part_date(table)).hint("rebalance", F.col(PART))
         dated.write.partitionBy(PART).parquet(target)
         names = [status.getPath().getName() for status in self._children(target)]
-        return [f"{directory}/{n}" for n in names if n.startswith(f"{PART}=")]
+        written = {f"{directory}/{n}": None for n in names if n.startswith(f"{PART}=")}
+        if written and ARRIVAL in table.columns:
+            # One row per date just written, from a single column of it.
+            newest = self._open(table, list(written)).groupBy(PART).agg(F.max(F.unix_micros(ARRIVAL)))
+            for date, arrival in newest.collect():
+                written[f"{directory}/{PART}={_part_name(date)}"] = arrival
+        return written
 
     def overwrite(self, name: str, df: DataFrame) -> str:
         table, base = TABLES[name], self._base(name)
@@ -147,7 +174,7 @@ class Lake:
     def append(self, name: str, df: DataFrame, batch: tuple[str, int] | None = None) -> str:
         """Add rows. ``batch=(stream, id)`` makes a replayed streaming batch a no-op."""
         table, base = TABLES[name], self._base(name)
-        previous = self.current(name) or {"directories": [], "batches": {}}
+        previous = self.current(name) or {"directories": {}, "batches": {}}
         batches = dict(previous["batches"])
         if batch is not None:
             stream, number = batch
@@ -155,7 +182,7 @@ class Lake:
                 return "replayed"
             batches[stream] = number
         added = self._write(table, table.conform(df))
-        self._commit(name, base, [*previous["directories"], *added], batches)
+        self._commit(name, base, {**previous["directories"], **added}, batches)
         return "append"
 
     def upsert(
@@ -178,17 +205,35 @@ class Lake:
         source = table.conform(source).persist()
         try:
             if table.dated_by is None:
-                touched = previous["directories"]
+                touched = list(previous["directories"])
             else:
-                touched = self._touched(table, source, previous["directories"])
+                touched = self._touched(table, source, list(previous["directories"]))
             target = table.conform(self._open(table, touched))
             written = self._write(table, merge_rows(target, source, table.keys, newer_than))
         finally:
             source.unpersist()
-        untouched = set(previous["directories"]) - set(touched)
-        self._commit(name, base, [*untouched, *written], previous["batches"])
+        self._commit(name, base, {**_without(previous["directories"], touched), **written}, previous["batches"])
         return "merged"
 
+    def compact(self, name: str, more_than: int = 8) -> int:
+        """Rewrite dates that lie in more than so many directories as one; return how many.
+
+        Frequent small appends leave one directory each; readers then open too many small files.
+        """
+        table, base = TABLES[name], self._base(name)
+        previous = self.current(name)
+        if previous is None:
+            return 0
+        by_date: dict[str, list[str]] = {}
+        for directory in previous["directories"]:
+            by_date.setdefault(_part_of(directory), []).append(directory)
+        scattered = [group for group in by_date.values() if len(group) > more_than]
+        if scattered:
+            old = [directory for group in scattered for directory in group]
+            written = self._write(table, table.conform(self._open(table, old)))
+            self._commit(name, base, {**_without(previous["directories"], old), **written}, previous["batches"])
+        return len(scattered)
+
     def _touched(self, table: Table, source: DataFrame, directories: Sequence[str]) -> list[str]:
         """Directories of the date partitions that hold or will hold a key of the batch.
 
@@ -201,7 +246,7 @@ class Lake:
             held = stored.join(source.select(*table.keys), same_key(stored, source, table.keys), "left_semi")
             arriving = arriving.unionByName(held.select(PART))
         dates = {_part_name(row[0]) for row in arriving.distinct().collect()}
-        return [d for d in directories if d.partition(f"/{PART}=")[2] in dates]
+        return [d for d in directories if _part_of(d) in dates]
 
     def expire(self, name: str, keep: int = 2, min_age_hours: float = 24.0) -> int:
         """Delete data directories that none of the last ``keep`` commits uses; return how many.
@@ -210,7 +255,7 @@ class Lake:
         """
         table, root = TABLES[name], self.path(name)
         numbers = self._commit_numbers(name)[:keep]
-        used = {d for n in numbers for d in (self._load_commit(name, n) or {}).get("directories", [])}
+        used = {d for n in numbers for d in (self._load_commit(name, n) or {}).get("directories", {})}
         latest = (time.time() - min_age_hours * 3600) * 1000
         deleted = 0
         for commit in self._children(root):
@@ -236,3 +281,12 @@ def part_date(table: Table) -> Column:
 
 def _part_name(date) -> str:
     return NULL_PART if date is None else str(date)
+
+
+def _part_of(directory: str) -> str:
+    return directory.partition(f"/{PART}=")[2]
+
+
+def _without(directories: Mapping[str, int | None], gone: Iterable[str]) -> dict[str, int | None]:
+    dropped = set(gone)
+    return {d: newest for d, newest in directories.items() if d not in dropped}

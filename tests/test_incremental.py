@@ -64,6 +64,24 @@ def test_batches_equal_one_build(spark, lake, tmp_path, seed):
     assert rows_of(lake.read("gold.top_movers")) == rows_of(gold.top_movers(expected_klines))
 
 
+@pytest.mark.parametrize("step_days, recent_only", [(1, True), (9, False)])
+def test_lead_in_beyond_the_recent_partitions(spark, lake, monkeypatch, step_days, recent_only):
+    """Candles a day apart find their lead-in in the recent partitions, those nine days apart do not."""
+    rng = random.Random(step_days)
+    df = candles(spark, {s: [rng.randrange(1, 9) for _ in range(16)] for s in "AB"}, step_seconds=step_days * 86_400)
+    old, new = df.where(F.col("open_time") < F.lit(at(14 * step_days * 86_400))), df.where(F.col("open_time") >= F.lit(at(14 * step_days * 86_400)))
+    opened = []
+    real = Lake.read
+    monkeypatch.setattr(Lake, "read", lambda self, name, *a, **k: opened.append((name, k)) or real(self, name, *a, **k))
+    for part in (old, new):
+        lake.append("silver.klines_1m", part)
+        opened.clear()
+        gold_build.build_gold(lake)
+    whole = [k for name, k in opened if name == "silver.klines_1m" and not k]
+    assert len(whole) == (1 if recent_only else 2)
+    assert rows_of(real(lake, "gold.volatility_5m")) == rows_of(gold.rolling_volatility(df))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_bounded_volatility_update_equals_full_recompute(spark, seed):
     """Late, changed and inserted candles anywhere in the series."""

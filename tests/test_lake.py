@@ -118,6 +118,29 @@ def test_append_and_replayed_stream_batch(spark, lake):
     assert lake.read("gold.volume_1m").count() == 2
 
 
+def test_only_directories_with_newer_arrivals_are_opened(spark, lake):
+    lake.append("silver.trades", trades(spark, ("A", 1, 1, 0, 10), ("A", 2, 1, 1, 500)))
+    lake.append("silver.trades", trades(spark, ("A", 3, 1, 0, 900)))
+    ids = lambda second: sorted(r.trade_id for r in lake.read("silver.trades", arrived_after=at(second)).collect())
+    assert ids(0) == [1, 2, 3]
+    assert ids(10) == [2, 3]
+    assert ids(600) == [3]
+    assert ids(900) == []
+    assert lake.read("silver.trades", from_date="2024-03-25").count() == 1
+
+
+def test_compaction_keeps_rows_and_arrivals(spark, lake):
+    for i in range(4):
+        lake.append("silver.trades", trades(spark, ("A", i, i, 0, i)), ("stream", i))
+    lake.append("silver.trades", trades(spark, ("B", 9, 9, 1, 9)))
+    assert lake.compact("silver.trades", more_than=4) == 0
+    assert lake.compact("silver.trades", more_than=3) == 1
+    assert len(lake.current("silver.trades")["directories"]) == 2
+    assert len(prices(lake)) == 5
+    assert lake.append("silver.trades", trades(spark, ("A", 3, 3, 0, 3)), ("stream", 3)) == "replayed"
+    assert lake.read("silver.trades", arrived_after=at(3)).count() == 1
+
+
 def test_readers_keep_their_commit(spark, lake):
     lake.overwrite("gold.volume_1m", volume(spark, ("A", 0, 1)))
     seen = lake.read("gold.volume_1m")
@@ -131,7 +154,7 @@ def test_second_writer_of_a_commit_fails(spark, lake):
     base = lake._base("gold.volume_1m")
     lake.append("gold.volume_1m", volume(spark, ("B", 0, 1)))
     with pytest.raises(CommitConflict):
-        lake._commit("gold.volume_1m", base, [], {})
+        lake._commit("gold.volume_1m", base, {}, {})
 
 
 def test_a_cut_off_commit_file_is_ignored_by_readers_and_held_by_writers(spark, lake, tmp_path):
