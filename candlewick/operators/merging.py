@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions.rows import newest_per_key
-
 
 def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality on all keys; Spark still plans it as a hash join."""
@@ -24,16 +22,26 @@ def merge_rows(
     """``target`` after updating matched and inserting unmatched ``source`` rows.
 
     ``source`` must hold one row per key. The batch always wins unless ``newer_than`` names
-    ordering columns; then the newer of the stored and the arriving row stays.
+    ordering columns: then a strictly newer stored row stays. Both forms are joins on the keys, so a
+    small batch is broadcast and the stored rows are neither shuffled nor sorted.
     """
     if newer_than:
-        both = target.withColumn("_arriving", F.lit(0)).unionByName(source.withColumn("_arriving", F.lit(1)))
-        return newest_per_key(both, keys, [*newer_than, "_arriving"]).drop("_arriving")
-    old, new = target.alias("old"), source.select(*keys).alias("new")
-    kept = old.join(new, same_key(target, source, keys), "left_anti")
+        source = _without_beaten(target, source, keys, newer_than)
+    kept = target.join(source.select(*keys), same_key(target, source, keys), "left_anti")
     return kept.unionByName(source)
 
 
+def _without_beaten(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], newer_than: Sequence[str]
+) -> DataFrame:
+    """The batch without rows whose stored counterpart is newer; nulls count as oldest."""
+    stored = target.select(*keys, F.struct(*newer_than).alias("_stored"))
+    arriving = source.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*newer_than).alias("_arriving"))
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    beaten = stored.join(arriving, match).where(F.col("_stored") > F.col("_arriving")).select(*arriving.columns[:-1])
+    return source.join(beaten, match, "left_anti")
+
+
 def merge_into_table(
     source: DataFrame, table_name: str, keys: Sequence[str], delete_unmatched: bool = False
 ) -> None:

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from candlewick.operators.filters import after_watermark, watermark_bound
-from candlewick.operators.silver import silver_klines, silver_trades, union_klines
+from candlewick.operators.silver import NEWEST, silver_klines, silver_trades, union_klines
 from candlewick.plans.state import OVERLAP_SECONDS, WATERMARK, State, batch_extent, last_watermarks, save_state
 from candlewick.sinks.lake import Lake
 
@@ -36,15 +36,15 @@ def build_silver(
     trades: bool = True,
     klines: bool = True,
     overlap_seconds: int = OVERLAP_SECONDS,
-    newer_than: Sequence[str] = (),
+    newer_than: Sequence[str] = NEWEST,
     updated_at: datetime | None = None,
 ) -> dict[str, str]:
     """Build the silver tables; returns what happened to each output.
 
     ``merge`` reads each source from its own watermark and merges by key; ``overwrite`` rebuilds.
     The watermark is saved after the data: a crash in between repeats the batch, which the keyed
-    merge absorbs. By default the arriving batch wins; ``newer_than=("event_time","ingested_at")``
-    protects newer stored rows from late, older deliveries.
+    merge absorbs. A late, older delivery does not replace a newer stored row, so the result equals
+    one full build; ``newer_than=()`` lets the arriving batch win instead.
     """
     if not trades and not klines:
         raise ValueError("at least one of trades and klines must be built")

@@ -52,7 +52,7 @@ def test_batches_equal_one_build(spark, lake, tmp_path, seed):
         lake.append("bronze.trades_live_raw", frame(rows[start:end]))
         inside = (F.col("open_time") >= F.lit(at(low * 60))) & (F.col("open_time") < F.lit(at(high * 60)))
         lake.append("bronze.klines_history_raw", bronze_klines.where(inside))
-        silver_build.build_silver(lake, newer_than=silver.NEWEST)
+        silver_build.build_silver(lake)
         gold_build.build_gold(lake)
 
     expected_trades = silver.silver_trades(frame(rows))
