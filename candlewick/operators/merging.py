@@ -9,11 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on all keys; Spark still plans it as a hash join."""
+def arriving_keys(source: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """The batch's keys under names of their own, so that joins stay clear when both sides share a source."""
     if not keys:
         raise ValueError("a merge needs at least one key column")
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    return source.select(*[F.col(f"`{k}`").alias(f"_{k}") for k in keys], *more)
+
+
+def on_keys(keys: Sequence[str]) -> Column:
+    """Null-safe equality with ``arriving_keys``; Spark still plans it as a hash join."""
+    return reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_{k}`")) for k in keys])
 
 
 def merge_rows(
@@ -27,7 +32,7 @@ def merge_rows(
     """
     if newer_than:
         source = _without_beaten(target, source, keys, newer_than)
-    kept = target.join(source.select(*keys), same_key(target, source, keys), "left_anti")
+    kept = target.join(arriving_keys(source, keys), on_keys(keys), "left_anti")
     return kept.unionByName(source)
 
 
@@ -36,10 +41,9 @@ def _without_beaten(
 ) -> DataFrame:
     """The batch without rows whose stored counterpart is newer; nulls count as oldest."""
     stored = target.select(*keys, F.struct(*newer_than).alias("_stored"))
-    arriving = source.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*newer_than).alias("_arriving"))
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    beaten = stored.join(arriving, match).where(F.col("_stored") > F.col("_arriving")).select(*arriving.columns[:-1])
-    return source.join(beaten, match, "left_anti")
+    arriving = arriving_keys(source, keys, F.struct(*newer_than).alias("_arriving"))
+    newer = stored.join(arriving, on_keys(keys)).where(F.col("_stored") > F.col("_arriving"))
+    return source.join(newer.select(*arriving.columns[:-1]), on_keys(keys), "left_anti")
 
 
 def merge_into_table(

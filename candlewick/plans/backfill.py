@@ -7,12 +7,12 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from candlewick.operators.silver import silver_klines
-from candlewick.sinks.lake import Lake
+from candlewick.sinks.lake import Store
 from candlewick.sources.history import explode_candles, project_candles, read_history_groups, rejected_candles
 
 
 def backfill_history(
-    lake: Lake,
+    lake: Store,
     path: str,
     layout: str = "document",
     write_silver: bool = True,

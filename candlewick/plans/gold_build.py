@@ -12,7 +12,7 @@ from candlewick.operators.gold import (
     TOP_MOVERS, WINDOW_SIZE, latest_price, minute_of, rolling_volatility, top_movers, volume_1m,
 )
 from candlewick.plans.state import OVERLAP_SECONDS, WATERMARK, State, batch_extent, last_watermarks, save_state
-from candlewick.sinks.lake import Lake
+from candlewick.sinks.lake import Store
 
 PIPELINE = "build_gold_metrics"
 TRADES, KLINES = "silver.trades", "silver.klines_1m"
@@ -106,7 +106,7 @@ def volatility_update(
     )
 
 
-def changed_volatility(lake: Lake, changed: DataFrame, window_size: int) -> DataFrame:
+def changed_volatility(lake: Store, changed: DataFrame, window_size: int) -> DataFrame:
     """``volatility_update`` over as few date partitions as hold the affected windows.
 
     The recent partitions suffice when every affected symbol has its lead-in there; otherwise the
@@ -123,7 +123,7 @@ def changed_volatility(lake: Lake, changed: DataFrame, window_size: int) -> Data
 
 
 def build_gold(
-    lake: Lake,
+    lake: Store,
     mode: str = "merge",
     overlap_seconds: int = OVERLAP_SECONDS,
     window_size: int = WINDOW_SIZE,

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 
 from candlewick.operators import reports
 from candlewick.schemas import SERVING_DATASETS
-from candlewick.sinks.lake import Lake
+from candlewick.sinks.lake import Store
 
 
-def optional_datasets(lake: Lake) -> dict[str, DataFrame | None]:
+def optional_datasets(lake: Store) -> dict[str, DataFrame | None]:
     return {dataset: lake.optional(table) for dataset, table in SERVING_DATASETS.items()}
 
 

@@ -7,10 +7,11 @@ from datetime import datetime, timezone
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from candlewick.operators.quality import audit_rows, check_datasets
 from candlewick.operators.quality_rules import RULES, Rule
-from candlewick.sinks.lake import Lake
+from candlewick.sinks.lake import Store
 
 AUDIT = "audit.quality_check_runs"
 
@@ -19,7 +20,7 @@ class QualityError(RuntimeError):
     """A gated quality run found violations."""
 
 
-def open_datasets(lake: Lake, rules: Sequence[Rule] = RULES) -> dict[str, DataFrame | Exception]:
+def open_datasets(lake: Store, rules: Sequence[Rule] = RULES) -> dict[str, DataFrame | Exception]:
     found: dict[str, DataFrame | Exception] = {}
     for rule in rules:
         try:
@@ -32,7 +33,7 @@ def open_datasets(lake: Lake, rules: Sequence[Rule] = RULES) -> dict[str, DataFr
 
 
 def run_quality(
-    lake: Lake,
+    lake: Store,
     audit_run_id: str,
     rules: Sequence[Rule] = RULES,
     checked_at: datetime | None = None,
@@ -42,13 +43,15 @@ def run_quality(
     fail_on_violation: bool = True,
 ) -> DataFrame:
     """Check all datasets, append the audit rows, then fail if any check found a violation."""
+    if not rules:  # nothing checked, nothing written
+        return lake.read(AUDIT).limit(0)
     checked_at = checked_at or datetime.now(timezone.utc)
     verdicts = check_datasets(lake.spark, open_datasets(lake, rules), rules, checked_at)
     locations = {rule.dataset: (rule.table.partition(".")[2], lake.path(rule.table)) for rule in rules}
     # At most one row per rule.
     rows = audit_rows(verdicts, audit_run_id, checked_at, environment, job_name, task_name, locations).coalesce(1)
     lake.append(AUDIT, rows)
-    stored = lake.read(AUDIT).where(f"audit_run_id = '{audit_run_id}'")
+    stored = lake.read(AUDIT).where(F.col("audit_run_id") == audit_run_id)
     if fail_on_violation:
         gate(stored)
     return stored

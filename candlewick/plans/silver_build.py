@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame
 from candlewick.operators.filters import after_watermark, watermark_bound
 from candlewick.operators.silver import NEWEST, silver_klines, silver_trades, union_klines
 from candlewick.plans.state import OVERLAP_SECONDS, WATERMARK, State, batch_extent, last_watermarks, save_state
-from candlewick.sinks.lake import Lake
+from candlewick.sinks.lake import Store
 
 PIPELINE = "transform_silver"
 TRADES, HISTORY, LIVE = "bronze.trades_live_raw", "bronze.klines_history_raw", "bronze.klines_live_raw"
 
 
 def _new_rows(
-    lake: Lake, table: str, since: dict[str, datetime | None], overlap: int
+    lake: Store, table: str, since: dict[str, datetime | None], overlap: int
 ) -> tuple[DataFrame, datetime | None]:
     last = since.get(_short(table))
     stored = lake.read(table, arrived_after=watermark_bound(last, overlap))
@@ -31,7 +31,7 @@ def _short(table: str) -> str:
 
 
 def build_silver(
-    lake: Lake,
+    lake: Store,
     mode: str = "merge",
     trades: bool = True,
     klines: bool = True,

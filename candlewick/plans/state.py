@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.time import utc
 from candlewick.schemas import TABLES
-from candlewick.sinks.lake import Lake
+from candlewick.sinks.lake import Store
 
 STATE = "audit.processing_state"
 # Default processing column and overlap (fixed values).
@@ -52,19 +52,19 @@ def state_rows(spark: SparkSession, states: Sequence[State], updated_at: datetim
     return spark.createDataFrame(rows, TABLES[STATE].ddl)
 
 
-def load_state(lake: Lake, pipeline: str | None = None) -> DataFrame:
+def load_state(lake: Store, pipeline: str | None = None) -> DataFrame:
     """Stored states, all or of one pipeline; no rows when nothing was stored yet."""
     stored = lake.read(STATE)
     return stored if pipeline is None else stored.where(F.col("pipeline_name") == pipeline)
 
 
-def last_watermarks(lake: Lake, pipeline: str) -> dict[str, datetime | None]:
+def last_watermarks(lake: Store, pipeline: str) -> dict[str, datetime | None]:
     """Dataset -> watermark: one row per source of the pipeline, read to bound the next scan."""
     rows = load_state(lake, pipeline).select("dataset_name", F.unix_micros("last_processed_at")).collect()
     return {name: _from_micros(micros) for name, micros in rows}
 
 
-def save_state(lake: Lake, states: Sequence[State], updated_at: datetime | None = None) -> str:
+def save_state(lake: Store, states: Sequence[State], updated_at: datetime | None = None) -> str:
     if not states:
         return "skipped"
     return lake.upsert(STATE, state_rows(lake.spark, states, updated_at))

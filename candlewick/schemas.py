@@ -77,6 +77,11 @@ class Table:
     def columns(self) -> list[str]:
         return [part.split()[0].strip("`") for part in self.ddl.split(",")]
 
+    @property
+    def casts(self) -> dict[str, str]:
+        """Types of the columns that are not text, for rows that arrive as text."""
+        return {name: kind for name, kind in map(_split, self.ddl.split(",")) if kind != "string"}
+
     @property
     def date_follows_key(self) -> bool:
         """True when a key can never move to another date partition."""

@@ -16,12 +16,13 @@ import time
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.time import micros
-from candlewick.operators.merging import merge_rows, same_key
+from candlewick.operators.merging import arriving_keys, merge_rows, on_keys
 from candlewick.schemas import TABLES, Table
 
 PART = "part_date"
@@ -32,6 +33,34 @@ ARRIVAL = "ingested_at"
 ABANDONED_SECONDS = 60
 
 
+class Store(Protocol):
+    """What plans and streams ask of stored tables; ``Lake`` and ``catalog.CatalogTables`` offer it."""
+
+    spark: SparkSession
+
+    def path(self, name: str) -> str: ...
+
+    def exists(self, name: str) -> bool: ...
+
+    def read(
+        self,
+        name: str,
+        dates: Iterable[object] | None = None,
+        from_date: object | None = None,
+        arrived_after: datetime | None = None,
+    ) -> DataFrame: ...
+
+    def optional(self, name: str) -> DataFrame | None: ...
+
+    def append(self, name: str, df: DataFrame, batch: tuple[str, int] | None = None) -> str: ...
+
+    def overwrite(self, name: str, df: DataFrame) -> str: ...
+
+    def upsert(
+        self, name: str, source: DataFrame, newer_than: Sequence[str] = (), delete_unmatched: bool = False
+    ) -> str: ...
+
+
 class CommitConflict(RuntimeError):
     """Another writer committed to the table first; the write can be repeated."""
 
@@ -243,7 +272,7 @@ class Lake:
         if not table.date_follows_key:
             # A key may be stored under another date: find it by a scan of the key columns only.
             stored = self._open(table, directories)
-            held = stored.join(source.select(*table.keys), same_key(stored, source, table.keys), "left_semi")
+            held = stored.join(arriving_keys(source, table.keys), on_keys(table.keys), "left_semi")
             arriving = arriving.unionByName(held.select(PART))
         dates = {_part_name(row[0]) for row in arriving.distinct().collect()}
         return [d for d in directories if _part_of(d) in dates]

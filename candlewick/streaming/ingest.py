@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from candlewick.operators.payloads import LIVE_SOURCE, klines_of, parse_market, quarantine_of, trades_of
 from candlewick.operators.silver import NEWEST, silver_klines, silver_trades
-from candlewick.sinks.lake import Lake
+from candlewick.sinks.lake import Store
 
 
 def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -19,7 +19,7 @@ def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000
 
 def stream_ingest(
     messages: DataFrame,
-    lake: Lake,
+    lake: Store,
     checkpoint: str,
     source: str = LIVE_SOURCE,
     klines: bool = True,

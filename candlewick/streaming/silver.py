@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from candlewick.operators.silver import NEWEST, silver_klines, silver_trades
-from candlewick.sinks.lake import Lake
+from candlewick.sinks.lake import Store
 
 
-def stream_silver(bronze: DataFrame, lake: Lake, checkpoint: str, kind: str = "trades") -> DataStreamWriter:
+def stream_silver(bronze: DataFrame, lake: Store, checkpoint: str, kind: str = "trades") -> DataStreamWriter:
     """Deduplicate each micro-batch and merge it by key.
 
     Newer stored rows stay, so the result does not depend on how the stream was cut into batches,
