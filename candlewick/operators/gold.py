@@ -11,7 +11,8 @@ from candlewick.schemas import TABLES
 
 WINDOW_SIZE = 5
 TOP_MOVERS = 10
-SLICE_DAYS = 30
+# A week of one-second candles is some 600,000 rows; of hourly ones 168, so lead-in rows stay few.
+SLICE_DAYS = 7
 
 
 def minute_of(moment: str | Column) -> Column:

@@ -6,6 +6,7 @@ Each entry names the shared subqueries it needs; ``_with`` puts them in front in
 from __future__ import annotations
 
 from candlewick.operators.quality_rules import RULE_OF, Rule
+from candlewick.schemas import TABLES
 
 AS_OF = "TIMESTAMP '2024-01-30 18:00:00'"
 ARRIVED = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -386,6 +387,25 @@ def oracle_sql() -> dict[str, str]:
         "top_movers": "movers", "quality_runs": "(SELECT DISTINCT audit_run_id FROM audit)",
         "quality_status": "last_run", "processing_state": "state",
     }
+    gated = {
+        "bronze_trades_live_raw": "bronze", "bronze_klines_history_raw": "candles",
+        "bronze_klines_live_raw": "live_candles", "silver_trades": "silver", "silver_klines_1m": "silver_candles",
+    }
+    gate = " UNION ALL ".join(
+        f"SELECT 'gated' AS audit_run_id, {VERDICT}, CAST(len(said) AS INTEGER) AS violation_count "
+        f"FROM ({_verdict(RULE_OF[name], relation, ARRIVED)})"
+        for name, relation in gated.items()
+    )
+    # Gold was not built: each of its datasets fails for being unreadable and for having no rows.
+    for name in ("latest_price", "volume_1m", "volatility_5m", "top_movers"):
+        gate += f" UNION ALL SELECT 'gated', 'gold_{name}', 'gold', false, 0, 1, true, true, true, true, true, 2"
+    stored = {"silver.trades": "trades", "silver.klines_1m": "candles", "gold.volume_1m": "volume", "gold.top_movers": "movers"}
+    schema_rows = " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, {place} AS "position", '{column}' AS column_name, '{kind}' AS data_type,
+            {column in TABLES[name].keys} AS is_key, (SELECT count(*) FROM {relation}) AS row_count"""
+        for name, relation in stored.items()
+        for place, (column, kind) in enumerate(TABLES[name].fields)
+    )
     two_widths = """(SELECT * FROM candles UNION ALL
         SELECT * REPLACE ('12h' AS "interval") FROM candles WHERE hour(open_time) < 12)"""
     shifted = """(SELECT symbol, "interval", open_time, close_time, round("open" - 20, 6) AS "open",
@@ -509,6 +529,7 @@ def oracle_sql() -> dict[str, str]:
         "volatility_incremental": _with("volatility", "SELECT * FROM volatility"),
         "top_movers_incremental": _with("movers", "SELECT * FROM movers"),
         # storage
+        "table_schemas": _with("movers volume", schema_rows),
         "write_dataset": _with("trades", "SELECT symbol, trade_id, price, trade_time FROM trades"),
         "read_optional": _with("volume", "SELECT * FROM volume"),
         "upsert": _with("usable", UPSERTED.format(columns=SILVER_TRADE, order="again DESC")),
@@ -556,6 +577,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {VERDICT}, array_to_string(said, chr(10)) AS violations FROM ({verdicts})",
         ),
         "quality_audit_rows": _with("audit", f"SELECT {AUDIT} FROM audit"),
+        "dq_gate": _with("silver_candles silver bronze live_candles", gate),
         # reports
         "latest_prices_report": _with(
             "latest", "SELECT * FROM latest WHERE symbol IN ('VIEW-1', 'PURCHASE-3', 'ERROR-7')"

@@ -75,12 +75,16 @@ class Table:
 
     @property
     def columns(self) -> list[str]:
-        return [part.split()[0].strip("`") for part in self.ddl.split(",")]
+        return [name for name, _ in self.fields]
 
     @property
     def casts(self) -> dict[str, str]:
         """Types of the columns that are not text, for rows that arrive as text."""
-        return {name: kind for name, kind in map(_split, self.ddl.split(",")) if kind != "string"}
+        return {name: kind for name, kind in self.fields if kind != "string"}
+
+    @property
+    def fields(self) -> list[tuple[str, str]]:
+        return [_split(part) for part in self.ddl.split(",")]
 
     @property
     def date_follows_key(self) -> bool:
@@ -96,7 +100,7 @@ class Table:
         return df.selectExpr(
             *[
                 f"CAST({f'`{name}`' if name in present else 'NULL'} AS {kind}) AS `{name}`"
-                for name, kind in (_split(part) for part in self.ddl.split(","))
+                for name, kind in self.fields
             ]
         )
 
@@ -137,7 +141,7 @@ SERVING_DATASETS = {
 
 def table_ddl(table: Table, catalog: str | None = None, file_format: str = "parquet") -> str:
     qualified = ".".join(part for part in (catalog, table.layer, table.name) if part)
-    columns = ", ".join(f"`{name}` {kind}" for name, kind in (_split(p) for p in table.ddl.split(",")))
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in table.fields)
     return f"CREATE TABLE IF NOT EXISTS {qualified} ({columns}) USING {file_format}"
 
 
@@ -157,7 +161,7 @@ def table_schemas(spark: SparkSession) -> DataFrame:
         spark.createDataFrame(
             [
                 (table.full_name, position, name, kind, name in table.keys)
-                for position, (name, kind) in enumerate(_split(p) for p in table.ddl.split(","))
+                for position, (name, kind) in enumerate(table.fields)
             ],
             "table_name string, position int, column_name string, data_type string, is_key boolean",
         )

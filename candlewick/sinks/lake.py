@@ -175,15 +175,17 @@ class Lake:
 
     # -- writing ------------------------------------------------------------------------------
 
-    def _write(self, table: Table, df: DataFrame) -> dict[str, int | None]:
+    def _write(self, table: Table, df: DataFrame, gather: bool = True) -> dict[str, int | None]:
         """Write rows to a new commit directory; return the directories that hold rows."""
         directory = f"commit={uuid.uuid4().hex}"
         target = f"{self.path(table.full_name)}/{directory}"
         if table.dated_by is None:
             df.write.parquet(target)
             return {directory: None}
-        # REBALANCE gathers each date into few files and splits a date that is too big for one task.
-        dated = df.withColumn(PART, part_date(table)).hint("rebalance", F.col(PART))
+        dated = df.withColumn(PART, part_date(table))
+        if gather:
+            # REBALANCE gathers each date into few files and splits a date that is too big for one task.
+            dated = dated.hint("rebalance", F.col(PART))
         dated.write.partitionBy(PART).parquet(target)
         names = [status.getPath().getName() for status in self._children(target)]
         written = {f"{directory}/{n}": None for n in names if n.startswith(f"{PART}=")}
@@ -201,7 +203,10 @@ class Lake:
         return "overwrite"
 
     def append(self, name: str, df: DataFrame, batch: tuple[str, int] | None = None) -> str:
-        """Add rows. ``batch=(stream, id)`` makes a replayed streaming batch a no-op."""
+        """Add rows. ``batch=(stream, id)`` makes a replayed streaming batch a no-op.
+
+        Arrivals share few dates, so they are written where they are, without a shuffle.
+        """
         table, base = TABLES[name], self._base(name)
         previous = self.current(name) or {"directories": {}, "batches": {}}
         batches = dict(previous["batches"])
@@ -210,7 +215,7 @@ class Lake:
             if batches.get(stream, -1) >= number:
                 return "replayed"
             batches[stream] = number
-        added = self._write(table, table.conform(df))
+        added = self._write(table, table.conform(df), gather=False)
         self._commit(name, base, {**previous["directories"], **added}, batches)
         return "append"
 
