@@ -7,8 +7,12 @@ import pytest
 import __spark_entry__ as contract
 from tests.compare import DATA, database, difference, spark_result, sql_result
 
-# Whole pipelines; ``python tests/compare.py`` runs them too.
-LONG = {"silver_build_incremental", "silver_klines_incremental", "state_upsert", "dq_gate", "load_state"}
+# Whole pipelines and further reports over the daily audit trail; ``python tests/compare.py`` runs them too.
+LONG = {
+    "silver_build_incremental", "silver_klines_incremental", "state_upsert", "dq_gate", "load_state", "gold_build",
+    "quality_dataset_health", "quality_latest_status", "quality_failed_datasets", "quality_status_counts",
+    "dashboard_kpis", "observability_report", "serving_snapshot",
+}
 ORACLES = contract.oracle_sql()
 
 
