@@ -413,6 +413,22 @@ def oracle_sql() -> dict[str, str]:
     return {
         # sources
         "history_scan": _with("candles", f"{history} WHERE {SHORT}"),
+        "history_quarantine": _with(
+            "candles",
+            f"""SELECT CASE WHEN {SHORT} THEN 'usable' ELSE 'candle with fewer than 11 cells' END AS reason,
+                count(*) AS elements FROM candles GROUP BY 1
+                UNION ALL SELECT 'no readable list of candles', 2 * count(DISTINCT (symbol, CAST(open_time AS DATE))) FROM candles""",
+        ),
+        "rest_quarantine": _with(
+            "body",
+            """SELECT 'usable' AS reason, count(*) AS elements FROM body
+               UNION ALL SELECT 'not a JSON list', 2 * count(DISTINCT (symbol, trade_id // 500)) FROM body""",
+        ),
+        "document_quarantine": _with(
+            "body",
+            """SELECT 'usable' AS reason, count(*) AS elements FROM body
+               UNION ALL SELECT 'unsupported payload', 2 * count(DISTINCT trade_id // 500) FROM body""",
+        ),
         "rest_candles_scan": _with(
             "candles", history.replace("'binance_history' AS source", "'binance_rest' AS source")
         ),

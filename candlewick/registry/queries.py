@@ -105,14 +105,31 @@ def rest_candles_scan(spark, sf_dir):
     return scanned.select("source", "event_type", *KLINE_VALUES, "is_closed", "event_time", "ingested_at")
 
 
+def _with_faults(lines):
+    """Every line, and beside it a cut copy and an error body."""
+    value = F.explode(F.array("value", F.substring("value", 1, 30), F.lit('{"code":-1121}')))
+    return lines.select(*[c for c in lines.columns if c != "value"], value.alias("value"))
+
+
+def _by_reason(rows):
+    return rows.groupBy(F.coalesce("reason", F.lit("usable")).alias("reason")).agg(F.count("*").alias("elements"))
+
+
+@query
+def history_quarantine(spark, sf_dir):
+    """What becomes of every element of damaged history files."""
+    folder = new_folder(spark, "history-faults")
+    _with_faults(spark.read.text(_history_files(spark, sf_dir))).write.text(folder)
+    return _by_reason(history.explode_candles(history.read_history_groups(spark, folder, "lines")))
+
+
 TRADE_VALUES = (
     "source", "event_type", "symbol", "trade_id", "price", "quantity", "trade_time", "event_time",
     "is_market_maker", "ingested_at",
 )
 
 
-@query
-def rest_trades_scan(spark, sf_dir):
+def _trade_pages(spark, sf_dir):
     rows = feeds.events(spark, sf_dir)
     trade = F.struct(
         F.col("trade_id").alias("id"), F.col("price").cast("string").alias("price"),
@@ -121,12 +138,38 @@ def rest_trades_scan(spark, sf_dir):
     )
     # A response holds at most 500 trades, however many a symbol has.
     pages = rows.groupBy(F.lower("symbol").alias("symbol"), F.floor(F.col("trade_id") / 500).alias("page"))
-    lines = pages.agg(F.to_json(F.collect_list(trade)).alias("value")).select("symbol", "value")
+    return pages.agg(F.to_json(F.collect_list(trade)).alias("value")).select("symbol", "value")
+
+
+@query
+def rest_trades_scan(spark, sf_dir):
     folder = new_folder(spark, "rest-trades")
-    lines.write.partitionBy("symbol").text(folder)
+    _trade_pages(spark, sf_dir).write.partitionBy("symbol").text(folder)
     return live.rest_trades_scan(spark, folder, ARRIVED).select(*TRADE_VALUES)
 
 
+@query
+def rest_quarantine(spark, sf_dir):
+    """What becomes of every element of damaged snapshot responses."""
+    folder = new_folder(spark, "rest-faults")
+    _with_faults(_trade_pages(spark, sf_dir)).write.partitionBy("symbol").text(folder)
+    return _by_reason(live.read_rest_trades(spark, folder))
+
+
+@query
+def document_quarantine(spark, sf_dir):
+    """What becomes of the messages in files of one list each, and of the same files cut short."""
+    folder = new_folder(spark, "documents")
+    pages = feeds.events(spark, sf_dir).groupBy(F.floor(F.col("trade_id") / 500))
+    event = F.struct(
+        F.lit("trade").alias("e"), F.col("symbol").alias("s"), F.col("trade_id").alias("t"), F.col("price").cast("string").alias("p"),
+        F.col("quantity").cast("string").alias("q"), F.unix_millis("trade_time").alias("T"),
+    )
+    lists = pages.agg(F.to_json(F.collect_list(event)).alias("value")).select("value")
+    _with_faults(lists).write.option("maxRecordsPerFile", 1).text(folder)
+    return _by_reason(live.live_scan(spark, folder, "document", ingested_at=ARRIVED))
+
+
 @query
 def live_scan(spark, sf_dir):
     """Messages written to files, scanned back: the usable trades."""

@@ -25,44 +25,75 @@ CELLS = {
 }
 
 
-def read_history_groups(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
-    """History groups from JSON files.
+def listed(texts: DataFrame, column: str, *kept: str) -> DataFrame:
+    """One row per element of the JSON lists in ``column``: ``element`` as JSON text.
+
+    A text that is no readable list stays as one row, itself the element, with a ``fault``.
+    """
+    elements = F.from_json(column, "array<string>")
+    as_rows = F.transform(elements, lambda e: F.struct(e.alias("element"), F.lit(None).cast("string").alias("fault")))
+    whole = F.array(F.struct(F.col(column).alias("element"), F.lit("not a JSON list").alias("fault")))
+    written = texts.where(F.trim(column) != "")
+    return written.select(*kept, F.explode(F.when(elements.isNull(), whole).otherwise(as_rows)).alias("_row")).select(*kept, "_row.*")
+
+
+def read_history_groups(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+    """History groups from JSON files, with their text as ``raw_payload`` and a ``fault`` when unreadable.
 
-    ``layout="document"``: every file is one group or a list of groups and is read by one task.
     ``layout="lines"``: one group per line, so large files are split between tasks.
+    ``layout="document"``: every file is one group or a list of groups and is read by one task.
     """
-    reader = spark.read.schema(GROUP_SCHEMA).option("multiLine", layout == "document")
-    return reader.json(path).select(
-        "symbol",
-        F.coalesce("interval", F.lit(DEFAULT_INTERVAL)).alias("interval"),
-        F.coalesce("source", F.lit(HISTORY_SOURCE)).alias("source"),
-        "klines",
+    texts = spark.read.text(path, wholetext=layout == "document").where(F.trim("value") != "")
+    if layout == "document":
+        whole = F.trim("value", F.lit(" \t\r\n"))
+        list_text = F.when(whole.startswith("["), whole).otherwise(F.concat(F.lit("["), whole, F.lit("]")))
+        groups = listed(texts.select(list_text.alias("value")), "value")
+    else:
+        groups = texts.select(F.col("value").alias("element"), F.lit(None).cast("string").alias("fault"))
+    opened = groups.withColumn("group", F.from_json("element", GROUP_SCHEMA))
+    return opened.select(
+        "group.symbol",
+        F.coalesce("group.interval", F.lit(DEFAULT_INTERVAL)).alias("interval"),
+        F.coalesce("group.source", F.lit(HISTORY_SOURCE)).alias("source"),
+        "group.klines",
+        F.col("element").alias("raw_payload"),
+        "fault",
     )
 
 
 def read_rest_candles(spark: SparkSession, path: str, interval: str = DEFAULT_INTERVAL) -> DataFrame:
     """Landed snapshot responses (a bare list of candle arrays per line) under ``symbol=…`` folders."""
-    lines = spark.read.text(path)
+    lines = spark.read.text(path).where(F.trim("value") != "")
     return lines.select(
         F.upper("symbol").alias("symbol"),
         F.lit(interval).alias("interval"),
         F.lit(REST_SOURCE).alias("source"),
         F.from_json("value", "array<string>").alias("klines"),
+        F.col("value").alias("raw_payload"),
+        F.lit(None).cast("string").alias("fault"),
     )
 
 
 def explode_candles(groups: DataFrame) -> DataFrame:
-    """One row per candle array, with a ``reason`` where it cannot be used."""
-    rows = groups.select("symbol", "interval", "source", F.explode("klines").alias("raw_payload"))
+    """One row per candle array, with a ``reason`` where it cannot be used.
+
+    A group without a readable list of candles is one row, its text the payload.
+    """
+    fault = F.coalesce("fault", F.when(F.col("klines").isNull(), F.lit("no readable list of candles")))
+    none = F.array(F.struct(F.col("raw_payload").alias("payload"), fault.alias("fault")))
+    candles = F.transform("klines", lambda k: F.struct(k.alias("payload"), F.lit(None).cast("string").alias("fault")))
+    rows = groups.select("symbol", "interval", "source", F.explode(F.when(fault.isNotNull(), none).otherwise(candles)).alias("_row"))
+    rows = rows.select("symbol", "interval", "source", F.col("_row.payload").alias("raw_payload"), F.col("_row.fault").alias("_fault"))
     rows = rows.withColumn("cells", F.from_json("raw_payload", "array<string>"))
     reason = (
-        F.when(F.col("symbol").isNull(), F.lit("history group without symbol"))
+        F.when(F.col("_fault").isNotNull(), F.col("_fault"))
+        .when(F.col("symbol").isNull(), F.lit("history group without symbol"))
         .when(F.col("cells").isNull(), F.lit("candle is not an array"))
         .when(F.size("cells") < MINIMUM_CELLS, F.lit("candle with fewer than 11 cells"))
         .when(_cell("open_time").try_cast("bigint").isNull(), F.lit("candle without open time"))
         .when(_cell("close_time").try_cast("bigint").isNull(), F.lit("candle without close time"))
     )
-    return rows.withColumn("reason", reason)
+    return rows.withColumn("reason", reason).drop("_fault")
 
 
 def _cell(name: str) -> Column:
@@ -101,7 +132,7 @@ def rejected_candles(exploded: DataFrame, ingested_at: datetime | Column | None
 
 
 def history_scan(
-    spark: SparkSession, path: str, layout: str = "document", ingested_at: datetime | Column | None = None
+    spark: SparkSession, path: str, layout: str = "lines", ingested_at: datetime | Column | None = None
 ) -> DataFrame:
     return project_candles(explode_candles(read_history_groups(spark, path, layout)), ingested_at)
 

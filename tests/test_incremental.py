@@ -160,7 +160,7 @@ def test_backfill(spark, lake, tmp_path):
     groups = history_groups()
     groups[0]["klines"].append([1, 2, 3])
     (tmp_path / "h.json").write_text(json.dumps(groups))
-    outcome = backfill.backfill_history(lake, str(tmp_path / "h.json"), ingested_at=ARRIVED)
+    outcome = backfill.backfill_history(lake, str(tmp_path / "h.json"), "document", ingested_at=ARRIVED)
     assert outcome["bronze.quarantine"] == "append"
     assert lake.read("bronze.klines_history_raw").count() == 11
     assert lake.read("silver.klines_1m").count() == 11

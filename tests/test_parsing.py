@@ -5,8 +5,8 @@ import json
 from tests.fixtures import ARRIVED, START, START_MS, TRADES, at, history_groups, kline_event, live_messages, raw, trade_event, trade_lines
 
 from candlewick.operators import payloads
-from candlewick.sources.history import explode_candles, history_scan, read_history_groups, rejected_candles, rest_candles_scan
-from candlewick.sources.live import live_scan, rest_trades_scan
+from candlewick.sources.history import explode_candles, history_scan, read_history_groups, read_rest_candles, rejected_candles, rest_candles_scan
+from candlewick.sources.live import live_scan, read_rest_trades, rejected_rest_trades, rest_trades_scan
 
 
 def one(df):
@@ -111,7 +111,7 @@ def test_live_file_with_a_single_message(spark, tmp_path):
 
 def test_history_file_gives_one_row_per_candle(spark, tmp_path):
     (tmp_path / "history.json").write_text(json.dumps(history_groups()))
-    rows = history_scan(spark, str(tmp_path), ingested_at=ARRIVED).orderBy("symbol", "open_time").collect()
+    rows = history_scan(spark, str(tmp_path), "document", ARRIVED).orderBy("symbol", "open_time").collect()
     assert len(rows) == 11
     first = rows[0]
     assert (first.symbol, first.close, first.trade_count, first.is_closed) == ("BTCUSDT", "65000.00", 1200, True)
@@ -123,12 +123,53 @@ def test_history_file_gives_one_row_per_candle(spark, tmp_path):
 def test_history_defaults_and_short_candles(spark, tmp_path):
     good = history_groups()[0]["klines"][0]
     (tmp_path / "h.json").write_text(json.dumps({"symbol": "A", "klines": [good, good[:10], {"o": 1}]}))
-    row = one(history_scan(spark, str(tmp_path)))
+    row = one(history_scan(spark, str(tmp_path), "document"))
     assert (row.interval, row.source) == ("1m", "binance_history")
-    rejected = rejected_candles(explode_candles(read_history_groups(spark, str(tmp_path))))
+    rejected = rejected_candles(explode_candles(read_history_groups(spark, str(tmp_path), "document")))
     assert sorted(r.reason for r in rejected.collect()) == ["candle is not an array", "candle with fewer than 11 cells"]
 
 
+def test_no_history_input_disappears(spark, tmp_path):
+    good = history_groups()[0]["klines"][0]
+    group = json.dumps({"symbol": "A", "klines": [good]})
+    lines = [group, group[:40], json.dumps({"symbol": "B", "klines": 5}), json.dumps([1]), json.dumps({"klines": [good]})]
+    (tmp_path / "h.json").write_text("\n".join([*lines, "", "  "]))
+    exploded = explode_candles(read_history_groups(spark, str(tmp_path), "lines"))
+    assert history_scan(spark, str(tmp_path)).count() == 1
+    reasons = {r.raw_payload: r.reason for r in rejected_candles(exploded).collect()}
+    assert reasons == {**dict.fromkeys(lines[1:4], "no readable list of candles"), json.dumps(good, separators=(",", ":")): "history group without symbol"}
+    cut = tmp_path / "cut"
+    cut.mkdir()
+    (cut / "c.json").write_text(json.dumps(history_groups())[:-9])
+    (cut / "d.json").write_text(json.dumps([5, {"symbol": "A", "klines": [good]}]))
+    rows = explode_candles(read_history_groups(spark, str(cut), "document")).collect()
+    assert sorted(r.reason or "" for r in rows) == ["", "no readable list of candles", "not a JSON list"]
+
+
+def test_no_snapshot_input_disappears(spark, tmp_path):
+    folder = tmp_path / "symbol=a"
+    folder.mkdir()
+    trade = {"id": 7, "price": "1", "qty": "2", "time": START_MS}
+    lines = [json.dumps([trade, 5, None]), json.dumps([trade])[:20], '{"code":-1}', "[]", ""]
+    (folder / "a.json").write_text("\n".join(lines))
+    found = read_rest_trades(spark, str(tmp_path))
+    assert rest_trades_scan(spark, str(tmp_path)).count() == 1
+    reasons = sorted((r.raw_payload, r.reason) for r in rejected_rest_trades(found).collect())
+    assert reasons == sorted([("5", "trade is not an object"), ("null", "trade is not an object"), (lines[1], "not a JSON list"), (lines[2], "not a JSON list")])
+    candles = explode_candles(read_rest_candles(spark, str(tmp_path))).collect()
+    assert [r.reason for r in candles if r.raw_payload == lines[2]] == ["no readable list of candles"]
+    assert [r.reason for r in candles if r.raw_payload == lines[1]] == ["no readable list of candles"]
+
+
+def test_no_message_file_disappears(spark, tmp_path):
+    event = json.dumps(live_messages()[0])
+    (tmp_path / "cut.json").write_text(f"[{event}, {event[:30]}")
+    (tmp_path / "null.json").write_text(f"[{event}, null]")
+    parsed = live_scan(spark, str(tmp_path), "document")
+    assert payloads.trades_of(parsed).count() == 1
+    assert sorted(r.raw_payload[:4] for r in payloads.quarantine_of(parsed).collect()) == sorted([f"[{event}"[:4], "null"])
+
+
 def test_landed_snapshots(spark, tmp_path):
     candles, trades = tmp_path / "candles" / "symbol=btcusdt", tmp_path / "trades" / "symbol=btcusdt"
     candles.mkdir(parents=True), trades.mkdir(parents=True)
