@@ -33,6 +33,12 @@ def epoch_ms_to_second(millis: Column) -> Column:
     return F.timestamp_seconds(F.floor(millis.try_cast("bigint") / F.lit(1000)))
 
 
+def utc_date(moment: str | Column) -> Column:
+    """UTC date of a timestamp, whatever the session's time zone."""
+    column = F.col(moment) if isinstance(moment, str) else moment
+    return F.date_from_unix_date(F.floor(F.unix_seconds(column) / F.lit(86_400)).cast("int"))
+
+
 def age_minutes(as_of: Column, moment: Column) -> Column:
     """Whole-second difference in minutes, two decimals."""
     return F.round((F.unix_seconds(as_of) - F.unix_seconds(moment)) / F.lit(60.0), 2)

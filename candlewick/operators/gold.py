@@ -23,8 +23,9 @@ def latest_price(trades: DataFrame, ties: str = "last") -> DataFrame:
     """Newest trade per symbol.
 
     Order: trade_time, event_time, ingested_at, then trade_id. ``ties="first"`` looks at
-    trade_time alone and lets the lowest trade_id win. An aggregate, not a window: each input
-    task sends one row per symbol, so a symbol with most of the rows costs nothing extra.
+    trade_time alone and lets the lowest trade_id win. The newest time of each symbol is a hash
+    aggregate, combined in every task; only the trades at that time are compared further, so no
+    task sorts its trades and a symbol with most of the rows costs nothing extra.
     """
     if "trade_id" not in trades.columns:
         trades = trades.withColumn("trade_id", F.lit(None).cast("bigint"))
@@ -33,7 +34,10 @@ def latest_price(trades: DataFrame, ties: str = "last") -> DataFrame:
     else:
         order = F.struct("trade_time", "event_time", "ingested_at", "trade_id")
     newest = F.max_by(F.struct("price", "trade_time", "source"), order)
-    return trades.groupBy("symbol").agg(newest.alias("newest")).select(
+    latest = trades.groupBy(F.col("symbol").alias("_symbol")).agg(F.max("trade_time").alias("_latest"))
+    at_it = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col("trade_time").eqNullSafe(F.col("_latest"))
+    last = trades.join(latest, at_it, "left_semi")
+    return last.groupBy("symbol").agg(newest.alias("newest")).select(
         "symbol",
         F.col("newest.price").alias("latest_price"),
         F.col("newest.trade_time").alias("trade_time"),

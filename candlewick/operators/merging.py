@@ -27,8 +27,9 @@ def merge_rows(
     """``target`` after updating matched and inserting unmatched ``source`` rows.
 
     ``source`` must hold one row per key. The batch always wins unless ``newer_than`` names
-    ordering columns: then a strictly newer stored row stays. Both forms are joins on the keys, so a
-    small batch is broadcast and the stored rows are neither shuffled nor sorted.
+    ordering columns: then a strictly newer stored row stays. Both forms are hash joins on the keys. When the
+    batch's *estimated* size is small it is broadcast and the stored rows stay where they are; when only its
+    real size is, AQE broadcasts it after the stored keys were exchanged.
     """
     if newer_than:
         source = _without_beaten(target, source, keys, newer_than)
@@ -46,8 +47,23 @@ def _without_beaten(
     return source.join(newer.select(*arriving.columns[:-1]), on_keys(keys), "left_anti")
 
 
+def not_beaten(arriving: str, stored: str, newer_than: Sequence[str]) -> Column:
+    """True unless the stored row is strictly newer by the ordering columns; nulls count as oldest."""
+    order = lambda side: F.struct(*[F.col(f"{side}.`{c}`").alias(c) for c in newer_than])
+    return F.coalesce(order(arriving) >= order(stored), F.lit(True))
+
+
+def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that stand in several rows of a batch; a merge has no defined result for them."""
+    return source.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+
+
 def merge_into_table(
-    source: DataFrame, table_name: str, keys: Sequence[str], delete_unmatched: bool = False
+    source: DataFrame,
+    table_name: str,
+    keys: Sequence[str],
+    delete_unmatched: bool = False,
+    newer_than: Sequence[str] = (),
 ) -> None:
     """The same merge for a catalog table whose format takes row-level changes."""
     if not keys:
@@ -56,7 +72,8 @@ def merge_into_table(
         lambda a, b: a & b, [F.col(f"source.`{k}`").eqNullSafe(F.col(f"{table_name}.`{k}`")) for k in keys]
     )
     merge = source.alias("source").mergeInto(table_name, condition)
-    merge = merge.whenMatched().updateAll().whenNotMatched().insertAll()
+    matched = merge.whenMatched(not_beaten("source", table_name, newer_than)) if newer_than else merge.whenMatched()
+    merge = matched.updateAll().whenNotMatched().insertAll()
     if delete_unmatched:
         merge = merge.whenNotMatchedBySource().delete()
     merge.merge()

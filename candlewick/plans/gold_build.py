@@ -4,32 +4,46 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from candlewick.functions.time import utc_date
 from candlewick.operators.filters import after_watermark, watermark_bound
 from candlewick.operators.gold import (
     TOP_MOVERS, WINDOW_SIZE, latest_price, minute_of, rolling_volatility, top_movers, volume_1m,
 )
 from candlewick.plans.state import OVERLAP_SECONDS, WATERMARK, State, batch_extent, last_watermarks, save_state
 from candlewick.sinks.lake import Store
+from candlewick.sinks.workspace import new_folder
 
 PIPELINE = "build_gold_metrics"
 TRADES, KLINES = "silver.trades", "silver.klines_1m"
-# Affected symbols up to this number are broadcast (some tens of megabytes), more are shuffled.
-BROADCAST_SYMBOLS = 200_000
+# Candles of several widths are series of their own.
+SERIES = ("symbol", "interval")
 # Days before the earliest change that are searched for lead-in candles first.
 LEAD_IN_DAYS = 7
 
 
-def latest_price_update(changed: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Newest price of the symbols that traded: arriving trades against the stored prices."""
+def latest_price_update(
+    changed: DataFrame, stored: DataFrame | None, moved: DataFrame | None = None, all_trades: DataFrame | None = None
+) -> DataFrame:
+    """Newest price of the symbols that traded: arriving trades against the stored prices.
+
+    A stored price whose own trade was ``moved`` to another time no longer holds: such symbols are looked up
+    in ``all_trades``.
+    """
     candidates = changed.select(
         "symbol", "price", "trade_time", "event_time", "ingested_at", "source", "trade_id"
     )
     if stored is not None:
         affected = changed.select("symbol").distinct()
-        kept = stored.join(affected, "symbol", "left_semi").select(
+        kept = stored.join(affected, "symbol", "left_semi")
+        if moved is not None and all_trades is not None:
+            stale = moved.select("symbol", "trade_time").distinct()
+            renewed = kept.join(stale, ["symbol", "trade_time"], "left_semi").select("symbol")
+            kept = kept.join(stale, ["symbol", "trade_time"], "left_anti")
+            candidates = candidates.unionByName(all_trades.join(renewed, "symbol", "left_semi").select(*candidates.columns))
+        kept = kept.select(
             "symbol",
             F.col("latest_price").alias("price"),
             "trade_time",
@@ -53,19 +67,19 @@ def volume_update(changed: DataFrame, all_trades: DataFrame) -> DataFrame:
 
 
 def first_changes(changed: DataFrame) -> DataFrame:
-    """The earliest changed candle of each affected symbol."""
-    return changed.groupBy("symbol").agg(F.min("open_time").alias("_changed"))
+    """The earliest changed candle of each affected series."""
+    return changed.groupBy(*SERIES).agg(F.min("open_time").alias("_changed"))
 
 
 def lead_in(all_klines: DataFrame, changes: DataFrame, depth: int) -> DataFrame:
-    """Per affected symbol: the start of the ``depth`` candles before its first change, and how many exist."""
-    newest = Window.partitionBy("symbol").orderBy(F.col("open_time").desc())
-    before = all_klines.select("symbol", "open_time").join(changes, "symbol")
+    """Per affected series: the start of the ``depth`` candles before its first change, and how many exist."""
+    newest = Window.partitionBy(*SERIES).orderBy(F.col("open_time").desc())
+    before = all_klines.select(*SERIES, "open_time").join(changes, list(SERIES))
     return (
         before.where(F.col("open_time") < F.col("_changed"))
         .withColumn("_rank", F.row_number().over(newest))
         .where(F.col("_rank") <= depth)
-        .groupBy("symbol")
+        .groupBy(*SERIES)
         .agg(F.min("open_time").alias("_from"), F.count(F.lit(1)).alias("_depth"))
     )
 
@@ -76,31 +90,29 @@ def volatility_update(
     window_size: int = WINDOW_SIZE,
     bounded: bool = True,
     changes: DataFrame | None = None,
-    few_symbols: bool = False,
 ) -> DataFrame:
-    """Volatility windows of the symbols that received a candle.
+    """Volatility windows of the series that received a candle.
 
     A candle changes the windows that start at most ``window_size - 1`` candles before it, and all
-    later ones may shift. ``bounded`` therefore recomputes each symbol from ``window_size`` candles
+    later ones may shift. ``bounded`` therefore recomputes each series from ``window_size`` candles
     before its earliest change (one more than the windows need, for the first return) instead of
-    from its first candle; the result equals a full recompute. ``few_symbols`` says that the caller
-    counted the affected symbols and they fit a broadcast.
+    from its first candle; the result equals a full recompute. Join strategies are left to AQE.
     """
-    small = F.broadcast if few_symbols else lambda df: df
+    series = list(SERIES)
     if not bounded:
-        affected = changed.select("symbol").distinct()
-        return rolling_volatility(all_klines.join(small(affected), "symbol", "left_semi"), window_size)
+        affected = changed.select(*series).distinct()
+        return rolling_volatility(all_klines.join(affected, series, "left_semi"), window_size, by=SERIES)
     changes = first_changes(changed) if changes is None else changes
-    # Without that many earlier candles the symbol is recomputed from its first one.
-    starts = changes.join(small(lead_in(all_klines, small(changes), window_size)), "symbol", "left").select(
-        "symbol", F.when(F.col("_depth") == window_size, F.col("_from")).alias("_from")
+    # Without that many earlier candles the series is recomputed from its first one.
+    starts = changes.join(lead_in(all_klines, changes, window_size), series, "left").select(
+        *series, F.when(F.col("_depth") == window_size, F.col("_from")).alias("_from")
     )
-    scoped = all_klines.join(small(starts), "symbol")
+    scoped = all_klines.join(starts, series)
     scoped = scoped.where(F.col("_from").isNull() | (F.col("open_time") >= F.col("_from")))
-    windows = rolling_volatility(scoped.drop("_from"), window_size)
+    windows = rolling_volatility(scoped.drop("_from"), window_size, by=SERIES)
     # A window that starts on the very first lead-in candle lacks that candle's return.
     return (
-        windows.join(small(starts), "symbol")
+        windows.join(starts, series)
         .where(F.col("_from").isNull() | (F.col("window_start") > F.col("_from")))
         .drop("_from")
     )
@@ -109,17 +121,31 @@ def volatility_update(
 def changed_volatility(lake: Store, changed: DataFrame, window_size: int) -> DataFrame:
     """``volatility_update`` over as few date partitions as hold the affected windows.
 
-    The recent partitions suffice when every affected symbol has its lead-in there; otherwise the
-    whole table is read.
+    Series with their lead-in in the recent partitions are computed from these; only the rows of
+    the others, such as sparse or new ones, are sought in the whole table.
     """
+    changes = first_changes(changed).persist()
+    try:
+        series = list(SERIES)
+        total, earliest = changes.agg(F.count(F.lit(1)), utc_date(F.min("_changed"))).first()
+        recent = lake.read(KLINES, from_date=earliest - timedelta(days=LEAD_IN_DAYS))
+        ready = written(lake.spark, lead_in(recent, changes, window_size).where(F.col("_depth") == window_size).select(*series))
+    finally:
+        changes.unpersist()
     changes = first_changes(changed)
-    symbols, earliest = changes.agg(F.count(F.lit(1)), F.to_date(F.min("_changed"))).first()
-    few = symbols <= BROADCAST_SYMBOLS
-    recent = lake.read(KLINES, from_date=earliest - timedelta(days=LEAD_IN_DAYS))
-    ready = lead_in(recent, F.broadcast(changes) if few else changes, window_size)
-    complete = ready.where(F.col("_depth") == window_size).count() == symbols
-    klines = recent if complete else lake.read(KLINES)
-    return volatility_update(changed, klines, window_size, changes=changes, few_symbols=few)
+    near = volatility_update(changed, recent, window_size, changes=changes.join(ready, series, "left_semi"))
+    if ready.count() == total:
+        return near
+    others = changes.join(ready, series, "left_anti")
+    far = volatility_update(changed, lake.read(KLINES).join(others.select(*series), series, "left_semi"), window_size, changes=others)
+    return near.unionByName(far)
+
+
+def written(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A small intermediate result as files in the shared folder."""
+    folder = new_folder(spark, "gold")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def build_gold(
@@ -148,13 +174,16 @@ def build_gold(
     changed = after_watermark(stored, WATERMARK, last, overlap_seconds)
     rows, newest = batch_extent(changed)
     if rows and newest is not None:
-        write("gold.latest_price", latest_price_update(changed, lake.optional("gold.latest_price") if incremental else None))
+        moved = after_watermark(lake.moved(TRADES, watermark_bound(last, overlap_seconds)), WATERMARK, last, overlap_seconds)
+        prices = lake.optional("gold.latest_price") if incremental else None
+        write("gold.latest_price", latest_price_update(changed, prices, moved, lake.read(TRADES)))
         if last is None:
             write("gold.volume_1m", volume_1m(changed))
         else:
-            # The days that hold an affected minute bound the scan: one value per partition.
-            days = [row[0] for row in changed.select(F.to_date("trade_time")).distinct().collect()]
-            write("gold.volume_1m", volume_update(changed, lake.read(TRADES, days)))
+            # Days with a trade that came, or that a redelivery took away: one value per partition.
+            touched = changed.select("trade_time").union(moved.select("trade_time"))
+            days = [row[0] for row in touched.select(utc_date("trade_time")).distinct().collect()]
+            outcome["gold.volume_1m"] = lake.replace_dates("gold.volume_1m", volume_1m(lake.read(TRADES, days)), days)
         advance(TRADES, newest, ["latest_price", "volume_1m"])
     else:
         outcome["gold.latest_price"] = outcome["gold.volume_1m"] = "skipped"
@@ -165,7 +194,7 @@ def build_gold(
     rows, newest = batch_extent(changed)
     if rows and newest is not None:
         if last is None:
-            write("gold.volatility_5m", rolling_volatility(changed, window_size))
+            write("gold.volatility_5m", rolling_volatility(changed, window_size, by=SERIES))
         else:
             write("gold.volatility_5m", changed_volatility(lake, changed, window_size))
         # The ranking is global: it replaces the table, which drops symbols that fell out.

@@ -497,20 +497,20 @@ def write_dataset(spark, sf_dir):
     folder = new_folder(spark, "dataset")
     rows = feeds.trades(spark, sf_dir).select("symbol", "trade_id", "price", "trade_time")
     early = F.col("trade_time") < F.lit(HALFWAY)
-    datasets.write_dataset(rows.where(early), path=folder, mode="overwrite")
-    datasets.write_dataset(rows.where(~early), path=folder, mode="append")
-    return datasets.read_dataset(spark, path=folder)
+    target = datasets.Target(path=folder)
+    target.write(rows.where(early), "overwrite")
+    target.write(rows.where(~early), "append")
+    return target.read(spark)
 
 
 @query
 def read_optional(spark, sf_dir):
     """A dataset chosen by path, together with a missing one that reads as empty."""
     base = new_folder(spark, "optional")
-    name, path = datasets.choose_source("gold", "volume_1m", base)
-    datasets.write_dataset(feeds.gold_volume(spark, sf_dir), name, path)
-    _, missing = datasets.choose_source("gold", "absent", base)
-    found = datasets.optional_dataset(spark, "gold.volume_1m", name, path)
-    return found.unionByName(datasets.optional_dataset(spark, "gold.volume_1m", path=missing))
+    target = datasets.choose_source("gold", "volume_1m", base)
+    target.write(feeds.gold_volume(spark, sf_dir))
+    missing = datasets.choose_source("gold", "absent", base)
+    return target.read_or_empty(spark, "gold.volume_1m").unionByName(missing.read_or_empty(spark, "gold.volume_1m"))
 
 
 def _deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

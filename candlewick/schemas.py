@@ -121,7 +121,7 @@ TABLES = {
         Table("silver", "klines_1m", _SILVER_KLINES, ("symbol", "interval", "open_time"), "open_time", "open_time"),
         Table("gold", "latest_price", _LATEST_PRICE, ("symbol",), "trade_time"),
         Table("gold", "volume_1m", _VOLUME_1M, ("symbol", "window_start"), "window_start", "window_start"),
-        Table("gold", "volatility_5m", _VOLATILITY_5M, ("symbol", "window_start"), "window_end", "window_start"),
+        Table("gold", "volatility_5m", _VOLATILITY_5M, ("symbol", "interval", "window_start"), "window_end", "window_start"),
         Table("gold", "top_movers", _TOP_MOVERS, ("symbol",), "window_end"),
         Table("audit", "quality_check_runs", _QUALITY_RUNS, ("audit_run_id", "dataset_name"), "checked_at"),
         Table("audit", "processing_state", _PROCESSING_STATE, ("state_key",), "updated_at"),
@@ -139,8 +139,13 @@ SERVING_DATASETS = {
 }
 
 
+def dotted(*parts: str | None) -> str:
+    """A catalog name of the parts that are given."""
+    return ".".join(filter(None, parts))
+
+
 def table_ddl(table: Table, catalog: str | None = None, file_format: str = "parquet") -> str:
-    qualified = ".".join(part for part in (catalog, table.layer, table.name) if part)
+    qualified = dotted(catalog, table.layer, table.name)
     columns = ", ".join(f"`{name}` {kind}" for name, kind in table.fields)
     return f"CREATE TABLE IF NOT EXISTS {qualified} ({columns}) USING {file_format}"
 
@@ -148,8 +153,7 @@ def table_ddl(table: Table, catalog: str | None = None, file_format: str = "parq
 def create_tables(spark: SparkSession, catalog: str | None = None, file_format: str = "parquet") -> list[str]:
     """Create every schema and table that does not exist yet; return the table names."""
     for layer in dict.fromkeys(table.layer for table in TABLES.values()):
-        qualified = ".".join(part for part in (catalog, layer) if part)
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {qualified}")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {dotted(catalog, layer)}")
     for table in TABLES.values():
         spark.sql(table_ddl(table, catalog, file_format))
     return list(TABLES)

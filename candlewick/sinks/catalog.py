@@ -8,10 +8,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.operators.merging import merge_into_table, merge_rows
-from candlewick.schemas import TABLES, table_ddl
+from candlewick.functions.time import utc_date
+from candlewick.operators.merging import merge_into_table, merge_rows, repeated_keys
+from candlewick.schemas import TABLES, dotted, table_ddl
 from candlewick.sinks.workspace import new_folder
-from candlewick.sources.datasets import qualified_name
 
 # Formats whose catalog tables take row-level changes.
 ROW_LEVEL_FORMATS = ("delta", "iceberg", "hudi")
@@ -31,7 +31,7 @@ class CatalogTables:
 
     def path(self, name: str) -> str:
         table = TABLES[name]
-        return qualified_name(self.catalog, table.layer, table.name)
+        return dotted(self.catalog, table.layer, table.name)
 
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.path(name))
@@ -49,7 +49,7 @@ class CatalogTables:
             return table.empty(self.spark)
         rows = self.spark.table(self.path(name))
         if dates is not None and table.dated_by:
-            rows = rows.where(F.to_date(table.dated_by).isin(list(dates)))
+            rows = rows.where(utc_date(table.dated_by).isin(list(dates)))
         if from_date is not None and table.dated_by:
             rows = rows.where(F.col(table.dated_by) >= F.lit(from_date).cast("timestamp"))
         if arrived_after is not None and "ingested_at" in table.columns:
@@ -60,8 +60,7 @@ class CatalogTables:
         return self.read(name) if self.exists(name) else None
 
     def _create(self, name: str) -> None:
-        schema = qualified_name(self.catalog, TABLES[name].layer, "")
-        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {dotted(self.catalog, TABLES[name].layer)}")
         self.spark.sql(table_ddl(TABLES[name], self.catalog, self.file_format))
 
     def append(self, name: str, df: DataFrame, batch: tuple[str, int] | None = None) -> str:
@@ -85,13 +84,32 @@ class CatalogTables:
         """Merge one row per key into the table; ``created`` on first write, else ``merged``."""
         table, created = TABLES[name], not self.exists(name)
         source = table.conform(source)
+        repeated = repeated_keys(source, table.keys).first()
+        if repeated is not None:
+            raise ValueError(f"{name}: the batch holds a key more than once: {repeated.asDict()}")
         if created:
             self.append(name, source)
             return "created"
-        if self.file_format in ROW_LEVEL_FORMATS and not newer_than:
-            merge_into_table(source, self.path(name), table.keys, delete_unmatched)
+        if self.file_format in ROW_LEVEL_FORMATS:
+            merge_into_table(source, self.path(name), table.keys, delete_unmatched, newer_than)
         elif delete_unmatched:
             self.overwrite(name, source)
         else:
             self.overwrite(name, merge_rows(self.read(name), source, table.keys, newer_than))
         return "merged"
+
+    def replace_dates(self, name: str, df: DataFrame, dates: Iterable[object]) -> str:
+        """Replace the rows of whole dates."""
+        table, created = TABLES[name], not self.exists(name)
+        self._create(name)
+        day = utc_date(table.dated_by)
+        if self.file_format in ROW_LEVEL_FORMATS:
+            table.conform(df).writeTo(self.path(name)).overwrite(day.isin(list(dates)))
+        else:
+            kept = self.read(name).where(~F.coalesce(day.isin(list(dates)), F.lit(False)))
+            self.overwrite(name, kept.unionByName(table.conform(df)))
+        return "created" if created else "merged"
+
+    def moved(self, name: str, arrived_after: datetime | None = None) -> DataFrame:
+        """Catalog tables keep no former versions here: a trade that moves leaves its old minute until a full build."""
+        return TABLES[name].empty(self.spark)

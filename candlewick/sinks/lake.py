@@ -21,8 +21,8 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.functions.time import micros
-from candlewick.operators.merging import arriving_keys, merge_rows, on_keys
+from candlewick.functions.time import micros, utc_date
+from candlewick.operators.merging import arriving_keys, merge_rows, on_keys, repeated_keys
 from candlewick.schemas import TABLES, Table
 
 PART = "part_date"
@@ -60,6 +60,10 @@ class Store(Protocol):
         self, name: str, source: DataFrame, newer_than: Sequence[str] = (), delete_unmatched: bool = False
     ) -> str: ...
 
+    def replace_dates(self, name: str, df: DataFrame, dates: Iterable[object]) -> str: ...
+
+    def moved(self, name: str, arrived_after: datetime | None = None) -> DataFrame: ...
+
 
 class CommitConflict(RuntimeError):
     """Another writer committed to the table first; the write can be repeated."""
@@ -121,10 +125,13 @@ class Lake:
                 raise CommitConflict(f"{name}: commit {numbers[0]} is being written")
         return numbers
 
-    def _commit(self, name: str, base: list[int], directories: Mapping[str, int | None], batches: dict) -> None:
+    def _commit(
+        self, name: str, base: list[int], directories: Mapping[str, int | None], batches: dict, moved: Mapping[str, int | None] | None = None
+    ) -> None:
         number = (base[0] if base else 0) + 1
         fs, file = self._hadoop(f"{self.path(name)}/_commits/{number:012d}.json")
-        text = json.dumps({"directories": directories, "batches": batches}, sort_keys=True)
+        earlier = (self.current(name) or {}).get("moved", {})
+        text = json.dumps({"directories": directories, "batches": batches, "moved": {**earlier, **(moved or {})}}, sort_keys=True)
         try:
             stream = fs.create(file, False)
         except Exception as error:
@@ -226,29 +233,67 @@ class Lake:
         newer_than: Sequence[str] = (),
         delete_unmatched: bool = False,
     ) -> str:
-        """Merge one row per key into the table; ``created`` on first write, else ``merged``."""
+        """Merge one row per key into the table; ``created`` on first write, else ``merged``.
+
+        A batch with several rows of one key is refused: which of them should win is not defined. Rows
+        whose key is stored under another time are kept aside for ``moved``.
+        """
         table, base = TABLES[name], self._base(name)
         previous = self.current(name)
-        if previous is None:
-            self.overwrite(name, source)
-            return "created"
-        if delete_unmatched:  # only the arriving rows remain
-            self.overwrite(name, source)
-            return "merged"
-
+        moved: dict[str, int | None] = {}
         source = table.conform(source).persist()
         try:
+            repeated = repeated_keys(source, table.keys).first()
+            if repeated is not None:
+                raise ValueError(f"{name}: the batch holds a key more than once: {repeated.asDict()}")
+            if previous is None or delete_unmatched:  # only the arriving rows remain
+                self.overwrite(name, source)
+                return "created" if previous is None else "merged"
             if table.dated_by is None:
                 touched = list(previous["directories"])
             else:
                 touched = self._touched(table, source, list(previous["directories"]))
             target = table.conform(self._open(table, touched))
             written = self._write(table, merge_rows(target, source, table.keys, newer_than))
+            if not table.date_follows_key and ARRIVAL in table.columns:
+                moved = self._set_aside(table, target, source)
         finally:
             source.unpersist()
-        self._commit(name, base, {**_without(previous["directories"], touched), **written}, previous["batches"])
+        self._commit(name, base, {**_without(previous["directories"], touched), **written}, previous["batches"], moved)
         return "merged"
 
+    def _set_aside(self, table: Table, target: DataFrame, source: DataFrame) -> dict[str, int | None]:
+        """Write the stored rows that the batch moves to another time; they get the batch's arrival."""
+        arriving = arriving_keys(source, table.keys, F.col(table.dated_by).alias("_time"), F.col(ARRIVAL).alias("_arrival"))
+        gone = target.join(arriving, on_keys(table.keys)).where(~F.col(table.dated_by).eqNullSafe(F.col("_time")))
+        gone = table.conform(gone.withColumn(ARRIVAL, F.col("_arrival")))
+        directory = f"_moved/{uuid.uuid4().hex}"
+        folder = f"{self.path(table.full_name)}/{directory}"
+        gone.write.parquet(folder)
+        newest = self.spark.read.schema(table.ddl).parquet(folder).agg(F.max(F.unix_micros(ARRIVAL)), F.count(F.lit(1))).first()
+        return {directory: newest[0]} if newest[1] else {}
+
+    def moved(self, name: str, arrived_after: datetime | None = None) -> DataFrame:
+        """Former versions of rows that a merge moved to another time, with the arrival of the row that moved them.
+
+        What was computed at their old time has to be computed again. A version that a newer stored row had
+        kept from moving may be among them.
+        """
+        table, bound = TABLES[name], micros(arrived_after) if arrived_after is not None else None
+        found = (self.current(name) or {}).get("moved", {})
+        folders = [f"{self.path(name)}/{d}" for d, newest in found.items() if bound is None or newest is None or newest > bound]
+        return self.spark.read.schema(table.ddl).parquet(*folders) if folders else table.empty(self.spark)
+
+    def replace_dates(self, name: str, df: DataFrame, dates: Iterable[object]) -> str:
+        """Replace whole date partitions; a date without a row becomes empty."""
+        table, base = TABLES[name], self._base(name)
+        previous = self.current(name)
+        wanted = {_part_name(d) for d in dates}
+        kept = {d: n for d, n in (previous or {}).get("directories", {}).items() if _part_of(d) not in wanted}
+        written = self._write(table, table.conform(df))
+        self._commit(name, base, {**kept, **written}, (previous or {}).get("batches", {}))
+        return "created" if previous is None else "merged"
+
     def compact(self, name: str, more_than: int = 8) -> int:
         """Rewrite dates that lie in more than so many directories as one; return how many.
 
@@ -310,7 +355,7 @@ class Lake:
 
 
 def part_date(table: Table) -> Column:
-    return F.to_date(F.col(table.dated_by))
+    return utc_date(table.dated_by)
 
 
 def _part_name(date) -> str:

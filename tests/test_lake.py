@@ -192,27 +192,27 @@ def test_catalog_tables(spark):
     for name, table in TABLES.items():
         assert spark.table(name).dtypes == table.empty(spark).dtypes
     assert table_schemas(spark).where("is_key").count() == sum(len(t.keys) for t in TABLES.values())
-    assert datasets.dataset_exists(spark, "gold.latest_price")
-    assert not datasets.dataset_exists(spark, "gold.nothing")
+    assert datasets.Target("gold.latest_price").exists(spark)
+    assert not datasets.Target("gold.nothing").exists(spark)
     # Parquet tables take no row-level merge; the engine says so instead of losing rows.
     with pytest.raises(PySparkException):
         merge_into_table(TABLES["gold.latest_price"].empty(spark), "gold.latest_price", ["symbol"])
 
 
 def test_datasets_by_path(spark, tmp_path):
-    path = str(tmp_path / "data")
-    assert not datasets.dataset_exists(spark, path=path)
-    assert datasets.optional_dataset(spark, "gold.volume_1m", path=path).count() == 0
-    datasets.write_dataset(volume(spark, ("A", 0, 1)), path=path, mode="append")
-    datasets.write_dataset(volume(spark, ("A", 0, 2)), path=path, mode="append")
-    assert datasets.optional_dataset(spark, "gold.volume_1m", path=path).count() == 2
-    for call in (datasets.read_dataset, datasets.dataset_exists):
+    target = datasets.Target(path=str(tmp_path / "data"))
+    assert not target.exists(spark)
+    assert target.read_or_empty(spark, "gold.volume_1m").count() == 0
+    target.write(volume(spark, ("A", 0, 1)), "append")
+    target.write(volume(spark, ("A", 0, 2)), "append")
+    assert target.read_or_empty(spark, "gold.volume_1m").count() == 2
+    for call in (datasets.Target().read, datasets.Target().exists):
         with pytest.raises(ValueError):
             call(spark)
 
 
 def test_source_choice():
     choice = dict(schemas={"gold": "g"}, tables={"gold": {"latest_price": "lp"}}, catalog="c")
-    assert datasets.choose_source("gold", "latest_price", "/b/", registered=True, **choice) == ("c.g.lp", "/b/gold/latest_price")
-    assert datasets.choose_source("gold", "latest_price", "/b", **choice) == (None, "/b/gold/latest_price")
-    assert datasets.choose_source("gold", "other", None, registered=True, **choice) == (None, None)
+    assert datasets.choose_source("gold", "latest_price", "/b/", registered=True, **choice) == datasets.Target("c.g.lp", "/b/gold/latest_price")
+    assert datasets.choose_source("gold", "latest_price", "/b", **choice) == datasets.Target(None, "/b/gold/latest_price")
+    assert datasets.choose_source("gold", "other", None, registered=True, **choice) == datasets.Target()

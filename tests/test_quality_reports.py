@@ -197,12 +197,13 @@ def test_publishing(spark, lake, tmp_path):
     assert (summary["gold_volume_1m"].selection, summary["gold_volume_1m"].row_count) == ("recent_24h", 1)
     assert (summary["gold_volatility_5m"].selection, summary["gold_volatility_5m"].row_count) == ("latest_per_symbol", 2)
     assert summary["audit_processing_state"].row_count == 5
+    assert serving_lake.read("audit.processing_state").where("state_key IS NULL").isEmpty()
     assert serving_lake.read("gold.latest_price").count() == 2
 
 
 def direct(spark, tmp_path, messages):
     (tmp_path / "h.json").write_text(json.dumps(history_groups()))
-    history = serving.load_history(spark, "fixture", str(tmp_path / "h.json"))
+    history = serving.load_history(spark, "fixture", str(tmp_path / "h.json"), layout="document")
     parsed = payloads.parse_market(raw(spark, [json.dumps(m) for m in messages]), ingested_at=at(200))
     return serving.direct_snapshot(history, payloads.trades_of(parsed), payloads.klines_of(parsed), ARRIVED, "test")
 
