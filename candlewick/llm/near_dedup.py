@@ -28,7 +28,7 @@ from candlewick.llm.tables import whole, written
 #: Minhashes of a sketch; chance that a link of exactly the threshold has no common key.
 ROWS, MISSED = 4, 1e-4
 #: Minhashes of a long signature, and standard deviations below the threshold where a pair is given up.
-SIGNATURE, DEVIATIONS = 256, 4.5
+SIGNATURE, DEVIATIONS = 512, 4.0
 #: Nodes that one task compares with each other at once.
 TILE = 1024
 #: Rows of ids that are broadcast at most; more are joined by a shuffle.
@@ -67,28 +67,29 @@ def sketches(docs: DataFrame, words: int, tables: int, key: str = "doc_id", text
     return rows.mapInArrow(made, "doc_id long, mark long, n_shingles long, node binary, first array<long>, second array<long>")
 
 
-def keyed(nodes: DataFrame) -> DataFrame:
-    """``key`` and ``node`` for all pairs of a first and a second sketch that any other node can share.
+def keyed(nodes: DataFrame, tables: int) -> DataFrame:
+    """``key``, its ``table`` and ``node`` for all pairs of a first and a second sketch that any other node can share.
 
     A first sketch that only one node has makes no candidates, so its pairs are not formed.
     """
-    firsts = nodes.select("node", F.explode("first").alias("sketch"))
+    firsts = nodes.select("node", F.posexplode("first").alias("i", "sketch"))
     shared = firsts.groupBy("sketch").agg(F.count("*").alias("n")).filter("n > 1").select("sketch")
-    mine = firsts.join(shared, "sketch").groupBy("node").agg(F.collect_list("sketch").alias("mine"))  # at most ``tables``
+    mine = firsts.join(shared, "sketch").groupBy("node").agg(F.collect_list(F.struct("i", "sketch")).alias("mine"))  # at most ``tables``
     pairs = nodes.select("node", "second").join(mine, "node").select("node", "second", F.explode("mine").alias("one"))
-    pairs = pairs.select("node", "one", F.explode("second").alias("other"))
-    return pairs.select(F.xxhash64("one", "other").alias("key"), "node")
+    pairs = pairs.select("node", "one", F.posexplode("second").alias("j", "other"))
+    return pairs.select(F.xxhash64("one.sketch", "other").alias("key"), (F.col("one.i") * tables + F.col("j")).alias("table"), "node")
 
 
 def buckets(keys: DataFrame) -> DataFrame:
-    """``key``, ``node``, ``pivot``, ``n`` of keys with several nodes; of keys with the same nodes only one is kept."""
+    """``key``, ``table``, ``node``, ``pivot`` of keys with several nodes; of keys with the same nodes only that of the
+    first table is kept."""
     mark = F.xxhash64("node")
     found = keys.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("node").alias("pivot"), F.bit_xor(mark).alias("mixed"),
+        F.count("*").alias("n"), F.min("node").alias("pivot"), F.min("table").alias("table"), F.bit_xor(mark).alias("mixed"),
         F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("mixed_again"),
     ).filter("n > 1")
-    once = found.groupBy("n", "pivot", "mixed", "mixed_again").agg(F.min("key").alias("key"))
-    return keys.join(once.select("key", "pivot", "n"), "key")
+    once = found.groupBy("n", "pivot", "mixed", "mixed_again").agg(F.min_by("key", "table").alias("key"))
+    return keys.join(once.select("key", "pivot"), "key")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -127,17 +128,24 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("common").cast("long") * 100 >= union.cast("long") * percent).select("a", "b")
 
 
-def _apart(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes that share a key, lie in different components and may be alike by their long signatures."""
+def _apart(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, tables: int) -> DataFrame:
+    """Pairs of nodes that share a key, lie in different components and may be alike by their long signatures.
+
+    Of the keys that two nodes share, the first table's makes the pair, so each pair is made once. (That key is always
+    there: if others have the same nodes, it is the one that ``buckets`` keeps.)
+    """
     limit = percent / 100 - DEVIATIONS * math.sqrt(percent / 100 * (1 - percent / 100) / SIGNATURE)
     least = math.floor(SIGNATURE * (limit + (1 - limit) / 256))
     alive = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).filter("low < high")
-    rows = members.select("key", "node", "label").join(alive.select("key", "size"), "key")
+    rows = members.select("key", "table", "node", "label").join(alive.select("key", "size"), "key")
     blocks = F.ceil(F.col("size") / TILE).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "node", "label")
-    rows = rows.join(sets.select("node", "signature"), "node")
+    rows = rows.select(
+        "key", "table", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "node", "label"
+    )
+    short = lambda c: F.transform(c, lambda x: F.shiftright(x, 32).cast("int")).alias(c)
+    rows = rows.join(sets.select("node", "signature"), "node").join(nodes.select("node", short("first"), short("second")), "node")
     dealt = rows.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "node")
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -148,13 +156,16 @@ def _apart(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         numbers = {label: i for i, label in enumerate(dict.fromkeys(labels))}
         component = np.array([numbers[x] for x in labels])
         marks = np.frombuffer(b"".join(tile.column("signature").to_pylist()), np.uint8).reshape(len(nodes), SIGNATURE)
+        first, second = (tile.column(c).combine_chunks().flatten().to_numpy().reshape(len(nodes), tables) for c in ("first", "second"))
+        table = tile.column("table")[0].as_py()
         a, b = [], []
         for i in range(len(nodes)):
             if not alone and block[i] != left:
                 continue
             others = np.flatnonzero((component != component[i]) & ((np.arange(len(nodes)) > i) if alone else (block != left)))
             close = others[np.count_nonzero(marks[others] == marks[i], axis=1) >= least] if len(others) else others
-            for j in close.tolist():
+            own = np.argmax(first[close] == first[i], axis=1) * tables + np.argmax(second[close] == second[i], axis=1)
+            for j in close[own == table].tolist():
                 a.append(min(nodes[i], nodes[j]))
                 b.append(max(nodes[i], nodes[j]))
         if a:
@@ -178,20 +189,20 @@ def _apart(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(pairs, "a binary, b binary").distinct()
 
 
-def _labels(docs: DataFrame, drawn: DataFrame, words: int, percent: int, key: str, text: str) -> DataFrame | None:
+def _labels(docs: DataFrame, drawn: DataFrame, words: int, percent: int, tables: int, key: str, text: str) -> DataFrame | None:
     """Component labels of all nodes that have a link to another node."""
     nodes = written(
         drawn.filter("node is not null").groupBy("node").agg(F.first("first").alias("first"), F.first("second").alias("second"), F.min("doc_id").alias("rep")),
         "nodes",
     )
-    members = written(buckets(written(keyed(nodes), "keys")), "buckets")
+    members = written(buckets(written(keyed(nodes, tables), "keys")), "buckets")
     candidates = members.select("node").distinct()
     sets = full_sets(docs, nodes.select("node", "rep").join(candidates, "node"), words, key, text)
     stars = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     links = written(confirmed(stars, sets, percent), "links")
     labels = components(links)
     placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    more = written(confirmed(_apart(placed, sets, percent), sets, percent), "links")
+    more = written(confirmed(_apart(placed, nodes, sets, percent, tables), sets, percent), "links")
     if more.isEmpty():
         return labels
     # Links between components join whole components.
@@ -220,7 +231,7 @@ def near_duplicates(
     """
     tables = tables_for(percent)
     drawn = written(sketches(docs, words, tables, key, text), "sketches")
-    labels = _labels(docs, drawn, words, percent, key, text)
+    labels = _labels(docs, drawn, words, percent, tables, key, text)
     rows = drawn.select("doc_id", "mark", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     out = rows.join(least, "label", "left").withColumn("component_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")))
