@@ -23,7 +23,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "shards")
     sharding.write_shards(table(spark, sf_dir, "documents"), path, shards=40)
-    return sharding.digests(sharding.read_shards(spark, path))
+    return sharding.digests(spark.read.parquet(path))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

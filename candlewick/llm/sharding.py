@@ -73,7 +73,11 @@ def write_shards(
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """Rows of written shards with ``slot``, their place in the shard."""
-    rows = spark.read.parquet(path)
+    return with_slots(spark.read.parquet(path))
+
+
+def with_slots(rows: DataFrame) -> DataFrame:
+    """Adds ``slot`` to rows that have ``shard``, ``bucket`` and ``position``; drop wide columns before, if not needed."""
     counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
@@ -81,11 +85,13 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def digests(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Law, shard and slot of written rows, with size and checksum of their texts."""
     body = F.col(f"record.{text}")
-    return rows.select(
+    narrow = rows.select(
         F.col(f"record.{key}").alias("doc_id"),
         (F.coalesce(F.octet_length(body), F.lit(0)).cast("long") + ROW_BYTES).alias("size"),
         F.crc32(F.coalesce(body, F.lit(""))).alias("text_crc32"),
-        F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot"),
-        F.col("grown_shard").cast("int").alias("grown_shard"),
+        F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("grown_shard").cast("int").alias("grown_shard"),
+        "bucket", "position",
     )
+    return with_slots(narrow).drop("bucket", "position")
