@@ -16,34 +16,37 @@ def arriving_keys(source: DataFrame, keys: Sequence[str], *more: Column) -> Data
     return source.select(*[F.col(f"`{k}`").alias(f"_{k}") for k in keys], *more)
 
 
+def broadcast_if(small: bool, df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
 def on_keys(keys: Sequence[str]) -> Column:
     """Null-safe equality with ``arriving_keys``; Spark still plans it as a hash join."""
     return reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_{k}`")) for k in keys])
 
 
 def merge_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], newer_than: Sequence[str] = ()
+    target: DataFrame, source: DataFrame, keys: Sequence[str], newer_than: Sequence[str] = (), small: bool = False
 ) -> DataFrame:
     """``target`` after updating matched and inserting unmatched ``source`` rows.
 
     ``source`` must hold one row per key. The batch always wins unless ``newer_than`` names
-    ordering columns: then a strictly newer stored row stays. Both forms are hash joins on the keys. When the
-    batch's *estimated* size is small it is broadcast and the stored rows stay where they are; when only its
-    real size is, AQE broadcasts it after the stored keys were exchanged.
+    ordering columns: then a strictly newer stored row stays. Both forms are hash joins on the keys. ``small``
+    says that the caller counted the batch and its keys fit a broadcast: then stored rows are not exchanged.
     """
     if newer_than:
-        source = _without_beaten(target, source, keys, newer_than)
-    kept = target.join(arriving_keys(source, keys), on_keys(keys), "left_anti")
+        source = _without_beaten(target, source, keys, newer_than, small)
+    kept = target.join(broadcast_if(small, arriving_keys(source, keys)), on_keys(keys), "left_anti")
     return kept.unionByName(source)
 
 
 def _without_beaten(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], newer_than: Sequence[str]
+    target: DataFrame, source: DataFrame, keys: Sequence[str], newer_than: Sequence[str], small: bool
 ) -> DataFrame:
     """The batch without rows whose stored counterpart is newer; nulls count as oldest."""
     stored = target.select(*keys, F.struct(*newer_than).alias("_stored"))
     arriving = arriving_keys(source, keys, F.struct(*newer_than).alias("_arriving"))
-    newer = stored.join(arriving, on_keys(keys)).where(F.col("_stored") > F.col("_arriving"))
+    newer = stored.join(broadcast_if(small, arriving), on_keys(keys)).where(F.col("_stored") > F.col("_arriving"))
     return source.join(newer.select(*arriving.columns[:-1]), on_keys(keys), "left_anti")
 
 

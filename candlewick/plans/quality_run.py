@@ -5,17 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.operators.quality import audit_rows, check_datasets
+from candlewick.operators.quality import audit_rows, check_datasets, measure
 from candlewick.operators.quality_rules import RULES, Rule
 from candlewick.sinks.lake import Store
 
 AUDIT = "audit.quality_check_runs"
 
 
+# A file that cannot be read reaches Python in either form.
+READ_ERRORS = (PySparkException, Py4JJavaError)
+
+
 class QualityError(RuntimeError):
     """A gated quality run found violations."""
 
@@ -32,6 +37,25 @@ def open_datasets(lake: Store, rules: Sequence[Rule] = RULES) -> dict[str, DataF
     return found
 
 
+def measurable_datasets(
+    datasets: dict[str, DataFrame | Exception], rules: Sequence[Rule] = RULES
+) -> dict[str, DataFrame | Exception]:
+    """The datasets with those that fail while they are measured given by their error.
+
+    Each is measured by itself, so this runs only after a run over all of them failed.
+    """
+    found = dict(datasets)
+    for rule in rules:
+        df = found.get(rule.dataset)
+        if isinstance(df, DataFrame):
+            try:
+                measure(df, rule).write.format("noop").mode("overwrite").save()
+            except READ_ERRORS as error:
+                told = error.java_exception.getMessage() if isinstance(error, Py4JJavaError) else str(error)
+                found[rule.dataset] = RuntimeError(told.strip().splitlines()[0])
+    return found
+
+
 def run_quality(
     lake: Store,
     audit_run_id: str,
@@ -42,15 +66,27 @@ def run_quality(
     task_name: str | None = None,
     fail_on_violation: bool = True,
 ) -> DataFrame:
-    """Check all datasets, append the audit rows, then fail if any check found a violation."""
+    """Check all datasets, append the audit rows, then fail if any check found a violation.
+
+    A dataset that cannot be read to its end, such as one with a damaged file, is a violation of its own; the
+    others are judged as usual.
+    """
     if not rules:  # nothing checked, nothing written
         return lake.read(AUDIT).limit(0)
     checked_at = checked_at or datetime.now(timezone.utc)
-    verdicts = check_datasets(lake.spark, open_datasets(lake, rules), rules, checked_at)
     locations = {rule.dataset: (rule.table.partition(".")[2], lake.path(rule.table)) for rule in rules}
-    # At most one row per rule.
-    rows = audit_rows(verdicts, audit_run_id, checked_at, environment, job_name, task_name, locations).coalesce(1)
-    lake.append(AUDIT, rows)
+
+    def record(datasets: dict[str, DataFrame | Exception]) -> None:
+        verdicts = check_datasets(lake.spark, datasets, rules, checked_at)
+        # At most one row per rule.
+        rows = audit_rows(verdicts, audit_run_id, checked_at, environment, job_name, task_name, locations).coalesce(1)
+        lake.append(AUDIT, rows)
+
+    opened = open_datasets(lake, rules)
+    try:
+        record(opened)  # one job for all
+    except READ_ERRORS:
+        record(measurable_datasets(opened, rules))
     stored = lake.read(AUDIT).where(F.col("audit_run_id") == audit_run_id)
     if fail_on_violation:
         gate(stored)

@@ -6,7 +6,8 @@ Each entry names the shared subqueries it needs; ``_with`` puts them in front in
 from __future__ import annotations
 
 from candlewick.operators.quality_rules import RULE_OF, Rule
-from candlewick.schemas import TABLES
+from candlewick.registry.served import SERVED
+from candlewick.schemas import SERVING_DATASETS, TABLES
 
 AS_OF = "TIMESTAMP '2024-01-30 18:00:00'"
 ARRIVED = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -356,6 +357,19 @@ def _gold_state(updated: str) -> str:
     )
 
 
+def _served(dataset: str, relation: str) -> str:
+    """Rows of a served dataset as text, as the query shows them."""
+    kinds = dict(TABLES[SERVING_DATASETS[dataset]].fields)
+
+    def shown(column: str) -> str:
+        forms = {"timestamp": f"epoch_us({column})", "double": f"CAST(round({column} * 1000000) AS BIGINT)"}
+        return f"coalesce(CAST({forms.get(kinds[column], column)} AS VARCHAR), '-')"
+
+    quoted = lambda columns: " || '|' || ".join(shown(c).replace("interval", '"interval"') for c in columns)
+    keys, values = SERVED[dataset]
+    return f"SELECT '{dataset}' AS dataset_name, {quoted(keys)} AS key, {quoted(values)} AS row FROM {relation}"
+
+
 def oracle_sql() -> dict[str, str]:
     history = f"""SELECT 'binance_history' AS source, 'kline_history' AS event_type, {KLINE_TEXT}, true AS is_closed,
         close_time AS event_time, {ARRIVED} AS ingested_at FROM candles"""
@@ -382,6 +396,17 @@ def oracle_sql() -> dict[str, str]:
         for name, relation in direct_rows.items()
     )
     recent_24 = f"SELECT * FROM volume WHERE window_start >= {AS_OF} - INTERVAL 24 HOUR"
+    served = {
+        "gold_latest_price": ("latest", "current_snapshot"),
+        "gold_volume_1m": (f"({recent_24})", "recent_24h"),
+        "gold_volatility_5m": (
+            "(SELECT * FROM volatility QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC, window_start DESC) = 1)",
+            "latest_per_symbol",
+        ),
+        "gold_top_movers": ("movers", "current_snapshot"),
+        "audit_quality_check_runs": ("last_run", "latest_audit_run"),
+        "audit_processing_state": ("state", "full_state"),
+    }
     report = {
         "freshness": "overview", "latest_prices": "latest", "volume": "volume", "volatility": "volatility",
         "top_movers": "movers", "quality_runs": "(SELECT DISTINCT audit_run_id FROM audit)",
@@ -678,15 +703,13 @@ def oracle_sql() -> dict[str, str]:
         "state_upsert": _with("silver_candles", f"{_silver_state(ARRIVED)} UNION ALL {_gold_state(ARRIVED)}"),
         # serving
         "serving_snapshot": _with(
-            "overview",
-            f"""SELECT 'gold_latest_price' AS dataset_name, 'current_snapshot' AS selection, count(*) AS row_count FROM latest
-                UNION ALL SELECT 'gold_volume_1m', 'recent_24h', count(*) FROM ({recent_24})
-                UNION ALL SELECT 'gold_volatility_5m', 'latest_per_symbol', count(DISTINCT symbol) FROM volatility
-                UNION ALL SELECT 'gold_top_movers', 'current_snapshot', count(*) FROM movers
-                UNION ALL SELECT 'audit_quality_check_runs', 'latest_audit_run', count(*) FROM last_run
-                UNION ALL SELECT 'audit_processing_state', 'full_state', count(*) FROM state""",
-        ),
-        "publish_serving": _with("volume", recent_24),
+            "latest volume volatility movers last_run state",
+            " UNION ALL ".join(f"SELECT *, '{label}' AS selection FROM ({_served(n, r)})" for n, (r, label) in served.items()),
+        ),
+        "publish_serving": _with(
+            "latest volume volatility movers last_run state",
+            " UNION ALL ".join(_served(n, r) for n, (r, _) in served.items()),
+        ),
         "direct_snapshot": _with(
             "silver direct_volatility silver_movers",
             _measures(

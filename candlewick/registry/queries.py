@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,10 @@ from candlewick.operators import filters, gold, payloads, quality, reports, silv
 from candlewick.operators.merging import merge_rows
 from candlewick.operators.quality_rules import RULE_OF, RULES
 from candlewick.plans import backfill, gold_build, quality_run, serving, silver_build, state
-from candlewick.plans.observability import dashboard, observability_report, optional_datasets
+from candlewick.plans.observability import dashboard, observability_report
 from candlewick.registry.audit_history import audit_history
+from candlewick.registry.served import SERVED
+from candlewick.schemas import SERVING_DATASETS
 from candlewick.sinks.lake import Lake
 from candlewick.sinks.workspace import new_folder
 from candlewick.sources import datasets, history, live
@@ -801,32 +804,40 @@ def state_upsert(spark, sf_dir):
 # -- serving --------------------------------------------------------------------------------------
 
 
+def _contents(tables):
+    """Rows of several tables as one: the table, a row's key and its values, as text."""
+    parts = []
+    for name, (df, keys, values) in tables.items():
+        text = lambda columns, df=df: F.concat_ws("|", *[_shown(F.col(c), dict(df.dtypes)[c]) for c in columns])
+        parts.append(df.select(F.lit(name).alias("dataset_name"), text(keys).alias("key"), text(values).alias("row")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _shown(column, kind):
+    if kind.startswith("timestamp"):
+        return F.coalesce(F.unix_micros(column.cast("timestamp")).cast("string"), F.lit("-"))
+    if kind == "double":  # eight decimals are stored
+        return F.coalesce(F.round(column * 1_000_000).cast("bigint").cast("string"), F.lit("-"))
+    return F.coalesce(column.cast("string"), F.lit("-"))
+
+
 @query
 def serving_snapshot(spark, sf_dir):
-    """The serving choice of every dataset, as row counts per choice."""
-    parts = []
-    for name, df in _datasets(spark, sf_dir).items():
-        rows, selection = serving.serving_selection(name, df, as_of=AS_OF)
-        parts.append(
-            rows.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("dataset_name"), F.lit(selection).alias("selection"), "row_count"
-            )
-        )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """The rows that are served of every dataset, with the name of the choice."""
+    chosen = {name: serving.serving_selection(name, df, as_of=AS_OF) for name, df in _datasets(spark, sf_dir).items()}
+    rows = _contents({name: (df, *SERVED[name]) for name, (df, _) in chosen.items()})
+    label = F.create_map(*[F.lit(x) for name, (_, selection) in chosen.items() for x in (name, selection)])
+    return rows.withColumn("selection", label[F.col("dataset_name")])
 
 
 @query
 def publish_serving(spark, sf_dir):
-    """Recent volume as published and read back from the serving lake."""
+    """All six datasets as published and read back from the serving lake."""
     source, target = _lake(spark, "gold"), _lake(spark, "serving")
-    source.overwrite("gold.volume_1m", feeds.gold_volume(spark, sf_dir))
-    source.overwrite("gold.latest_price", gold.latest_price(feeds.trades(spark, sf_dir)))
+    for name, df in _datasets(spark, sf_dir).items():
+        source.overwrite(SERVING_DATASETS[name], df)
     serving.publish_serving(source, target, as_of=AS_OF)
-    assert optional_datasets(target)["gold_top_movers"] is None
-    return target.read("gold.volume_1m")
+    return _contents({name: (target.read(SERVING_DATASETS[name]), *SERVED[name]) for name in SERVING_DATASETS})
 
 
 def _direct(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -894,16 +905,17 @@ def stream_ingest_query(spark, sf_dir):
 QUERIES["stream_ingest"] = QUERIES.pop("stream_ingest_query")
 
 
-def _stream_of(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def _stream_of(spark: SparkSession, df: DataFrame, label: str, batches: int) -> DataFrame:
+    """The rows as files in no order, one for each batch: redeliveries meet their first delivery in another batch."""
     folder = new_folder(spark, label)
-    df.write.parquet(folder)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1000).parquet(folder)
+    df.repartition(batches, F.xxhash64("price", "ingested_at")).write.parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 @query
 def stream_silver_query(spark, sf_dir):
     lake = _lake(spark, "stream-silver")
-    bronze = _stream_of(spark, feeds.bronze_trades(spark, sf_dir), "bronze")
+    bronze = _stream_of(spark, feeds.bronze_trades(spark, sf_dir), "bronze", 3)
     writer = stream_silver(bronze, lake, new_folder(spark, "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
     return lake.read("silver.trades").select(*SILVER_TRADE)

@@ -22,13 +22,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.time import micros, utc_date
-from candlewick.operators.merging import arriving_keys, merge_rows, on_keys, repeated_keys
+from candlewick.operators.merging import arriving_keys, broadcast_if, merge_rows, on_keys, repeated_keys
 from candlewick.schemas import TABLES, Table
 
 PART = "part_date"
 # Spark's own directory name for a null partition value.
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 ARRIVAL = "ingested_at"
+# Keys of a batch of up to so many rows are broadcast (some ten megabytes); those of a larger one are joined by AQE's choice.
+BROADCAST_ROWS = 100_000
 # An incomplete commit file this old belongs to a writer that died.
 ABANDONED_SECONDS = 60
 
@@ -249,12 +251,13 @@ class Lake:
             if previous is None or delete_unmatched:  # only the arriving rows remain
                 self.overwrite(name, source)
                 return "created" if previous is None else "merged"
+            small = source.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
             if table.dated_by is None:
                 touched = list(previous["directories"])
             else:
-                touched = self._touched(table, source, list(previous["directories"]))
+                touched = self._touched(table, source, list(previous["directories"]), small)
             target = table.conform(self._open(table, touched))
-            written = self._write(table, merge_rows(target, source, table.keys, newer_than))
+            written = self._write(table, merge_rows(target, source, table.keys, newer_than, small))
             if not table.date_follows_key and ARRIVAL in table.columns:
                 moved = self._set_aside(table, target, source)
         finally:
@@ -313,7 +316,7 @@ class Lake:
             self._commit(name, base, {**_without(previous["directories"], old), **written}, previous["batches"])
         return len(scattered)
 
-    def _touched(self, table: Table, source: DataFrame, directories: Sequence[str]) -> list[str]:
+    def _touched(self, table: Table, source: DataFrame, directories: Sequence[str], small: bool) -> list[str]:
         """Directories of the date partitions that hold or will hold a key of the batch.
 
         The collected values are dates, at most one per stored partition, never rows.
@@ -322,7 +325,7 @@ class Lake:
         if not table.date_follows_key:
             # A key may be stored under another date: find it by a scan of the key columns only.
             stored = self._open(table, directories)
-            held = stored.join(arriving_keys(source, table.keys), on_keys(table.keys), "left_semi")
+            held = stored.join(broadcast_if(small, arriving_keys(source, table.keys)), on_keys(table.keys), "left_semi")
             arriving = arriving.unionByName(held.select(PART))
         dates = {_part_name(row[0]) for row in arriving.distinct().collect()}
         return [d for d in directories if _part_of(d) in dates]

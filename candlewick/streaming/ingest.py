@@ -25,12 +25,15 @@ def stream_ingest(
     klines: bool = True,
     write_silver: bool = False,
     name: str = "live_ingest",
+    compact_every: int = 50,
 ) -> DataStreamWriter:
     """Parse each micro-batch once and append trades, candles and unusable messages.
 
     A batch that is replayed after a crash is recognised by its id, so nothing lands twice.
-    ``klines=False`` keeps only trades. ``write_silver`` also merges the batch into silver.
+    ``klines=False`` keeps only trades. ``write_silver`` also merges the batch into silver. Every
+    ``compact_every`` batches the many small directories of a date are joined, where the store has such.
     """
+    landed = ["bronze.trades_live_raw", "bronze.quarantine", *(["bronze.klines_live_raw"] if klines else [])]
 
     def land(batch: DataFrame, batch_id: int) -> None:
         # The three tables read one parsed batch; losing a cached block only re-reads its files.
@@ -46,5 +49,8 @@ def stream_ingest(
                     lake.upsert("silver.klines_1m", silver_klines(klines_of(parsed)), newer_than=NEWEST)
         finally:
             parsed.unpersist()
+        if (batch_id + 1) % compact_every == 0 and hasattr(lake, "compact"):
+            for table in landed:
+                lake.compact(table)
 
     return messages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)

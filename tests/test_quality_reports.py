@@ -201,6 +201,19 @@ def test_publishing(spark, lake, tmp_path):
     assert serving_lake.read("gold.latest_price").count() == 2
 
 
+def test_a_damaged_file_fails_its_own_dataset_only(spark, lake, tmp_path):
+    filled(spark, lake)
+    files = [p for p in (tmp_path / "lake").rglob("gold/latest_price/**/*.parquet")] or [p for p in tmp_path.rglob("latest_price/**/*.parquet")]
+    for file in files:
+        file.write_bytes(b"PAR1 no parquet at all PAR1")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    audit = quality_run.run_quality(lake, "damaged", checked_at=at(300), fail_on_violation=False)
+    found = {r.dataset_name: r for r in audit.collect()}
+    assert len(found) == 9 and not found["gold_latest_price"].passed
+    assert json.loads(found["gold_latest_price"].violations_json)
+    assert found["silver_trades"].passed
+
+
 def direct(spark, tmp_path, messages):
     (tmp_path / "h.json").write_text(json.dumps(history_groups()))
     history = serving.load_history(spark, "fixture", str(tmp_path / "h.json"), layout="document")
