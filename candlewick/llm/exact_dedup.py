@@ -18,6 +18,7 @@ BITS = 3
 _NO_ID = np.iinfo(np.int64).min
 
 RUN = "digest string, n_bytes long, mark long, keep_id long, group_size long, repeats long"
+_RUN = pa.schema([("digest", pa.string()), *((name, pa.int64()) for name in ("n_bytes", "mark", "keep_id", "group_size", "repeats"))])
 
 
 def _merge(keep: str):
@@ -28,7 +29,7 @@ def _merge(keep: str):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = pa.Table.from_batches([batch])
+            rows = pa.Table.from_batches([batch]).cast(_RUN)
             rows = _adjacent(pa.concat_tables([held, rows]) if held is not None else rows, keep)
             held = rows.slice(rows.num_rows - 1)
             yield from rows.slice(0, rows.num_rows - 1).to_batches()
@@ -58,7 +59,7 @@ def _adjacent(rows: pa.Table, keep: str) -> pa.Table:
         "group_size": pa.array(np.add.reduceat(rows.column("group_size").to_numpy(), starts)),
         "repeats": pa.array(np.add.reduceat(np.where(here, repeats, 0), starts)),
     }
-    return pa.table({name: out.get(name, first.column(name)) for name in rows.column_names})
+    return pa.table({name: out.get(name, first.column(name)) for name in rows.column_names}, schema=_RUN)
 
 
 def digest_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
