@@ -92,17 +92,14 @@ LISTS = sorted({p.split("[]")[0] for p in KNOWN_PATHS if "[]" in p})
 
 def json_fingerprint(record: Column) -> Column:
     """Fingerprint of a JSON object in a text column; all elements of its lists count. Null if it is no object."""
+
+    def under(name: str) -> Column:
+        items = F.from_json(F.get_json_object(record, f"$.{name}"), "array<map<string, string>>")
+        keys = F.transform(F.coalesce(items, F.array()), lambda item: F.coalesce(F.map_keys(item), F.array()))
+        return F.transform(F.array_distinct(F.flatten(keys)), lambda key: F.concat(F.lit(f"{name}[]."), key))
+
     keys = F.json_object_keys(record)
-    nested = [
-        F.transform(
-            F.array_distinct(F.flatten(F.transform(
-                F.coalesce(F.from_json(F.get_json_object(record, f"$.{name}"), "array<map<string, string>>"), F.array()),
-                lambda item: F.coalesce(F.map_keys(item), F.array()),
-            ))),
-            lambda key, name=name: F.concat(F.lit(f"{name}[]."), key),
-        )
-        for name in LISTS
-    ]
+    nested = [under(name) for name in LISTS]
     known = F.array_intersect(F.concat(keys, *nested), F.array(*[F.lit(p) for p in KNOWN_PATHS]))
     return F.sha2(F.array_join(F.array_sort(known), "\n"), 256)
 
