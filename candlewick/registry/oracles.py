@@ -710,6 +710,11 @@ def oracle_sql() -> dict[str, str]:
             "latest volume volatility movers last_run state",
             " UNION ALL ".join(_served(n, r) for n, (r, _) in served.items()),
         ),
+        "load_history": _with(
+            "candles",
+            f"""SELECT 'binance_history' AS source, count(*) AS candles, max(open_time) AS newest FROM candles WHERE {SHORT}
+                UNION ALL SELECT 'binance_rest', count(*), max(open_time) FROM candles""",
+        ),
         "direct_snapshot": _with(
             "silver direct_volatility silver_movers",
             _measures(
@@ -734,7 +739,14 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT {KLINE}, is_closed, event_time, {ARRIVED} AS ingested_at, source FROM candles WHERE {SHORT}""",
         ),
         # streams
-        "stream_ingest": _with("parsed", PARSED_TRADE.replace(f", {ARRIVED} AS ingested_at", "")),
+        "stream_ingest": _with(
+            "parsed live_candles messages",
+            f"""SELECT 'trades' AS dataset_name, symbol || '|' || trade_id AS key,
+                    price || '|' || quantity || '|' || epoch_us(trade_time) || '|' || is_market_maker AS row FROM ({PARSED_TRADE})
+                UNION ALL SELECT 'klines', symbol || '|' || "interval" || '|' || epoch_us(open_time),
+                    "close" || '|' || trade_count || '|' || is_closed FROM (SELECT {KLINE_TEXT}, is_closed FROM live_candles)
+                UNION ALL SELECT 'quarantine', raw_payload, 'unsupported payload' FROM messages WHERE broken""",
+        ),
         "stream_silver": _with("silver", "SELECT * FROM silver"),
         "stream_volume_1m": _with(
             "volume",

@@ -91,8 +91,7 @@ def history_scan(spark, sf_dir):
     return rows.select("source", "event_type", *KLINE_VALUES, "is_closed", "event_time", "ingested_at")
 
 
-@query
-def rest_candles_scan(spark, sf_dir):
+def _candle_responses(spark, sf_dir):
     rows = feeds.candles(spark, sf_dir)
     cells = [
         F.unix_millis("open_time").cast("string"), *[_quoted(c) for c in ("open", "high", "low", "close", "volume")],
@@ -104,7 +103,12 @@ def rest_candles_scan(spark, sf_dir):
     lines = days.agg(F.concat(F.lit("["), F.array_join(F.collect_list("cells"), ","), F.lit("]")).alias("value"))
     folder = new_folder(spark, "rest-candles")
     lines.select(F.lower("symbol").alias("symbol"), "value").write.partitionBy("symbol").text(folder)
-    scanned = history.rest_candles_scan(spark, folder, "1h", ARRIVED)
+    return folder
+
+
+@query
+def rest_candles_scan(spark, sf_dir):
+    scanned = history.rest_candles_scan(spark, _candle_responses(spark, sf_dir), "1h", ARRIVED)
     return scanned.select("source", "event_type", *KLINE_VALUES, "is_closed", "event_time", "ingested_at")
 
 
@@ -840,6 +844,15 @@ def publish_serving(spark, sf_dir):
     return _contents({name: (target.read(SERVING_DATASETS[name]), *SERVED[name]) for name in SERVING_DATASETS})
 
 
+@query
+def load_history(spark, sf_dir):
+    """Usable candles of a direct run by source, from history files and from snapshot responses."""
+    files = serving.load_history(spark, "fixture", _history_files(spark, sf_dir))
+    responses = serving.load_history(spark, "binance_rest", _candle_responses(spark, sf_dir), "1h")
+    rows = files.unionByName(responses).where("interval = '1h'")
+    return rows.groupBy("source").agg(F.count("*").alias("candles"), F.max("open_time").alias("newest"))
+
+
 def _direct(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return serving.direct_snapshot(
         feeds.bronze_history(spark, sf_dir), feeds.bronze_trades(spark, sf_dir),
@@ -898,8 +911,11 @@ def stream_ingest_query(spark, sf_dir):
     stream = message_stream(spark, _landed_messages(spark, sf_dir))
     writer = stream_ingest(stream, lake, new_folder(spark, "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
-    columns = [c for c in TRADE_VALUES if c != "ingested_at"]
-    return lake.read("bronze.trades_live_raw").select(*columns)
+    return _contents({
+        "trades": (lake.read("bronze.trades_live_raw"), ["symbol", "trade_id"], ["price", "quantity", "trade_time", "is_market_maker"]),
+        "klines": (lake.read("bronze.klines_live_raw"), ["symbol", "interval", "open_time"], ["close", "trade_count", "is_closed"]),
+        "quarantine": (lake.read("bronze.quarantine"), ["raw_payload"], ["reason"]),
+    })
 
 
 QUERIES["stream_ingest"] = QUERIES.pop("stream_ingest_query")
