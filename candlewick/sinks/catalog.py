@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from candlewick.functions.time import utc_date
 from candlewick.operators.merging import merge_into_table, merge_rows, repeated_keys
 from candlewick.schemas import TABLES, dotted, table_ddl
-from candlewick.sinks.workspace import new_folder
+from candlewick.sinks.workspace import drop_folder, new_folder
 
 # Formats whose catalog tables take row-level changes.
 ROW_LEVEL_FORMATS = ("delta", "iceberg", "hudi")
@@ -64,11 +64,23 @@ class CatalogTables:
         self.spark.sql(table_ddl(TABLES[name], self.catalog, self.file_format))
 
     def append(self, name: str, df: DataFrame, batch: tuple[str, int] | None = None) -> str:
-        """Add rows. Catalog tables keep no record of stream batches; a replay is removed by the keyed merge."""
+        """Add rows. ``batch=(stream, id)`` makes a replayed streaming batch a no-op.
+
+        The last batch of a stream is a table property, set after the rows: a crash in between repeats one batch.
+        """
         self._create(name)
+        mark = f"candlewick.batch.{batch[0]}" if batch else ""
+        if batch and self._property(name, mark) >= batch[1]:
+            return "replayed"
         TABLES[name].conform(df).write.insertInto(self.path(name))
+        if batch:
+            self.spark.sql(f"ALTER TABLE {self.path(name)} SET TBLPROPERTIES ('{mark}' = '{batch[1]}')")
         return "append"
 
+    def _property(self, name: str, key: str) -> int:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.path(name)}").where(F.col("key") == key).collect()
+        return int(rows[0].value) if rows else -1
+
     def overwrite(self, name: str, df: DataFrame) -> str:
         self._create(name)
         # Staged first: the new rows may be derived from the table they replace.
@@ -76,6 +88,7 @@ class CatalogTables:
         TABLES[name].conform(df).write.parquet(staged)
         rows = self.spark.read.schema(TABLES[name].ddl).parquet(staged)
         rows.write.insertInto(self.path(name), overwrite=True)
+        drop_folder(self.spark, staged)
         return "overwrite"
 
     def upsert(

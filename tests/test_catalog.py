@@ -69,3 +69,10 @@ def test_text_rows_are_cast_by_table(spark):
 def test_no_rules_write_nothing(spark, tables):
     assert quality_run.run_quality(tables, "r", rules=()).count() == 0
     assert not tables.exists("audit.quality_check_runs")
+
+
+def test_a_replayed_batch_lands_once(spark, tables):
+    rows = spark.createDataFrame([("A", at(0), 1.0, 1.0, 1)], TABLES["gold.volume_1m"].ddl)
+    done = [tables.append("gold.volume_1m", rows, ("live", number)) for number in (0, 0, 1, 1, 0)]
+    assert done == ["append", "replayed", "append", "replayed", "replayed"]
+    assert tables.read("gold.volume_1m").count() == 2
