@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.components import components
-from candlewick.llm.shingles import set_digest, shingler, sketcher
-from candlewick.llm.tables import whole, written
+from candlewick.llm.shingles import set_digest, shingles_of, sketcher
+from candlewick.llm.tables import sliced, whole, written
 
 #: Minhashes of a sketch; chance that a link of exactly the threshold has no common key.
 ROWS, MISSED = 4, 1e-4
@@ -50,11 +50,11 @@ def sketches(docs: DataFrame, words: int, tables: int, key: str = "doc_id", text
     ])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, sketch = shingler(words), sketcher(tables, ROWS, 0)
-        for batch in batches:
+        sketch = sketcher(tables, ROWS, 0)
+        for batch in (part for batch in batches for part in sliced(batch)):
             rows = []
             for name, mark, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                shingles = sets(body)
+                shingles = shingles_of(body, words)
                 if len(shingles):
                     keys = sketch(shingles)
                     rows.append((name, mark, len(shingles), set_digest(shingles), keys[:tables], keys[tables:]))
@@ -101,13 +101,12 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int, key: str = "doc_id
     schema = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64())), ("signature", pa.binary())])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, sketch = shingler(words), sketcher(SIGNATURE // 2, 1, 1)
+        sketch = sketcher(SIGNATURE // 2, 1, 1)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
+            for part in sliced(batch):
                 out = []
-                part = batch.slice(at, 256)
                 for node, body in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    shingles = sets(body)
+                    shingles = shingles_of(body, words)
                     if set_digest(shingles) == node:  # else the id stands at another text, too
                         out.append((node, shingles.view(np.int64), sketch(shingles).astype(np.uint8).tobytes()))
                 if out:
@@ -243,5 +242,5 @@ def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, key: st
     smallest id, and all rows without words."""
     found = near_duplicates(docs, words, percent, key, text)
     gone = written(found.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct(), "near-copies")
-    here = docs[key].eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == F.col("_mark"))
+    here = docs[key].eqNullSafe(gone["_id"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == gone["_mark"])
     return docs.join(gone, here, "left_anti")

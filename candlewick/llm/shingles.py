@@ -3,25 +3,23 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
-from candlewick.llm.tokens import _Recent as Recent
-
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_IN_WORD = np.array([b != 0x20 and not 0x09 <= b <= 0x0D for b in range(256)])
 _START, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+#: Bytes of a text that are hashed at once, and of a word that is hashed with its neighbours; longer ones alone.
+PART, LONG_WORD = 1 << 20, 4096
 #: Shingles that are hashed at once, so that very long texts need little memory.
-SLICE = 4096
-
-
-def words(text: str) -> list[bytes]:
-    """Runs of anything but space and \\x09-\\x0D, after lower-casing A-Z."""
-    return text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+SLICE = 512
 
-
-def _word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+# A word's hash is the sum of its bytes' random values, each times the power of an odd number by its place.
+_VALUES = np.random.default_rng(20240101).integers(0, 1 << 64, 256, np.uint64) | np.uint64(1)
+_POWERS = np.cumprod(np.full(LONG_WORD, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -30,22 +28,59 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Shingler:
-    """Sets of ``size``-word shingles; a shorter text is one shingle of all its words, one without words has none."""
-
-    def __init__(self, size: int):
-        self.size, self.known = size, Recent(_word_hash)
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        found = words(text or "")
-        if not found:
-            return np.zeros(0, np.uint64)
-        hashes = np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))
-        size = min(self.size, len(found))
-        out = np.full(len(found) - size + 1, np.uint64(size + 1), np.uint64)
-        for i in range(size):
-            out = _mixed(out + hashes[i : i + len(out)] * _START)
-        return np.unique(out)
+def _parts(data: bytes) -> Iterator[bytes]:
+    """The text in parts of about ``PART`` bytes, cut between words."""
+    at = 0
+    while len(data) - at > PART:
+        cut = re.compile(rb"[\x20\x09-\x0D]").search(data, at + PART)
+        if not cut:
+            break
+        yield data[at : cut.start()]
+        at = cut.start()
+    yield data[at:]
+
+
+def _hashes_of(data: bytes) -> np.ndarray:
+    inside = _IN_WORD[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False]))))
+    starts, stops = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = stops - starts
+    long = np.flatnonzero(lengths > LONG_WORD)
+    for w in long:
+        inside[starts[w] : stops[w]] = False
+    short = np.where(lengths > LONG_WORD, 0, lengths)
+    body = np.frombuffer(data, np.uint8)[inside]
+    offsets = np.concatenate(([0], np.cumsum(short)[:-1]))
+    place = np.arange(len(body)) - np.repeat(offsets, short)
+    sums = np.zeros(len(starts), np.uint64)
+    held = short > 0
+    if len(body):
+        sums[held] = np.add.reduceat(_VALUES[body] * _POWERS[place], offsets[held])
+    out = _mixed(sums + lengths.astype(np.uint64) * _START)
+    for w in long:
+        out[w] = int.from_bytes(hashlib.blake2b(data[starts[w] : stops[w]], digest_size=8).digest(), "little")
+    return out
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the words: runs of anything but space and \\x09-\\x0D, after lower-casing A-Z."""
+    data = text.encode("utf-8", "surrogatepass").translate(_LOWER)
+    return np.concatenate([_hashes_of(part) for part in _parts(data)])
+
+
+def shingles_of(text: str | None, size: int) -> np.ndarray:
+    """The set of ``size``-word shingles, sorted; a shorter text is one shingle of all its words, one without words none."""
+    hashes = word_hashes(text or "")
+    size = min(size, len(hashes))
+    if not size:
+        return hashes
+    out = np.full(len(hashes) - size + 1, np.uint64(size + 1), np.uint64)
+    for i in range(size):
+        out = _mixed(out + hashes[i : i + len(out)] * _START)
+    out.sort()
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def set_digest(shingles: np.ndarray) -> bytes:
@@ -67,9 +102,13 @@ class Sketcher:
         """Signed 64-bit sketches, those of the first collection before those of the second."""
         short = (shingles >> np.uint64(32)).astype(np.uint32)
         least = np.full(len(self.factors), np.uint32(0xFFFFFFFF))
+        room = np.empty((min(SLICE, len(short)), len(least)), np.uint32)
         for at in range(0, len(short), SLICE):
             part = short[at : at + SLICE]
-            least = np.minimum(least, ((part[None, :] ^ self.masks[:, None]) * self.factors[:, None]).min(axis=1))
+            hashed = room[: len(part)]
+            np.bitwise_xor(part[:, None], self.masks[None, :], out=hashed)
+            np.multiply(hashed, self.factors[None, :], out=hashed)
+            np.minimum(least, hashed.min(axis=0), out=least)
         grid = least.astype(np.uint64).reshape(2 * self.tables, self.rows)
         out = np.arange(1, 2 * self.tables + 1, dtype=np.uint64)  # table numbers keep equal values apart
         for i in range(self.rows):
@@ -77,11 +116,6 @@ class Sketcher:
         return out.view(np.int64)
 
 
-@lru_cache(maxsize=4)
-def shingler(size: int) -> Shingler:
-    return Shingler(size)
-
-
 @lru_cache(maxsize=4)
 def sketcher(tables: int, rows: int, seed: int) -> Sketcher:
     return Sketcher(tables, rows, seed)

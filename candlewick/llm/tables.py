@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,12 @@ def whole(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def sliced(batch: pa.RecordBatch | pa.Array, rows: int = 256) -> Iterator[pa.RecordBatch | pa.Array]:
+    """A batch in short pieces, so that only few texts are Python objects at a time."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows)
+
+
 def total_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
