@@ -14,6 +14,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.tables import sliced
+
 #: Words of a window; bytes of benchmark text that one automaton may hold (checked, see ``windows_of``).
 WINDOW, MOST_BYTES = 10, 64 << 20
 
@@ -112,7 +114,7 @@ def hits(text: Column, windows: Broadcast) -> Column:
         scanner = _scanner(windows)
         for batch in batches:
             rows = []
-            for body in batch.to_pylist():
+            for body in (body for part in sliced(batch) for body in part.to_pylist()):
                 n, ranges, items = scanner.scan(body or "")
                 rows.append({
                     "n_words": n, "n_hit": sum(b - a for a, b in ranges), "items": sorted(items),
@@ -143,7 +145,7 @@ def contamination(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that no window hits, all columns."""
     shared = docs.sparkSession.sparkContext.broadcast(windows_of(benchmark, **options))
-    return docs.withColumn("_hit", hits(F.col(text), shared)).filter("_hit.n_hit = 0").drop("_hit")
+    return docs.filter(hits(F.col(text), shared)["n_hit"] == 0)
 
 
 def digests(found: DataFrame) -> DataFrame:

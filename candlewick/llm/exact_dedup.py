@@ -120,8 +120,10 @@ def drop_copies(docs: DataFrame, keep: str = "largest", key: str = "doc_id", tex
     """The rows of ``docs`` without copies: one row of each group of equal texts, all columns."""
     found = written(exact_duplicates(docs, keep, key, text), "exact-groups")
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")).distinct()
-    body = docs.withColumn("_digest_here", F.sha2(whole(text), 256))
-    left = body.join(gone, body[key].eqNullSafe(F.col("_id")) & (F.col("_digest_here") == F.col("_digest")), "left_anti")
-    if not found.filter("kept and repeats > 1").isEmpty():
-        left = left.dropDuplicates([key, "_digest_here"])
-    return left.drop("_digest_here")
+    digest = F.sha2(F.coalesce(docs[text], F.lit("")), 256)
+    left = docs.join(gone, docs[key].eqNullSafe(gone["_id"]) & (digest == gone["_digest"]), "left_anti")
+    if found.filter("kept and repeats > 1").isEmpty():
+        return left
+    # A null text and an empty one are equal, so the digest tells rows apart, under a name that no column has.
+    name = max(docs.columns, key=len) + "_digest"
+    return left.withColumn(name, F.sha2(whole(text), 256)).dropDuplicates([key, name]).drop(name)

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.tables import whole
+from candlewick.llm.tables import sliced, whole
 from candlewick.llm.tokens import byte_level
 
 #: Remainders that are levelled together, and bytes of ids in an output batch.
@@ -151,7 +151,7 @@ def pack(
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, out, pool = byte_level(tokenizer), _Sequences(), []
-        for batch in batches:
+        for batch in (part for batch in batches for part in sliced(batch)):
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encoder.ids(body) + end
                 total = len(ids) // 4

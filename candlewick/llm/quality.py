@@ -18,8 +18,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.tables import written
-from candlewick.llm.tokens import _Recent as Recent
+from candlewick.llm.tables import sliced, written
+from candlewick.llm.tokens import Recent
 
 #: Terms by kind: repetition, short words, word shapes, pairs of shapes.
 REPEATS, SHORT, SHAPES, PAIRS = 2, 254, 256, 512
@@ -134,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = Counter()
-        for batch in batches:
+        for batch in (part for batch in batches for part in sliced(batch, BLOCK)):
             found = count(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([r.tobytes() for r in found], pa.binary())], names=["_id", "_label", "counts"]
@@ -160,9 +160,7 @@ def score(text: Column, model: Broadcast) -> Column:
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         count = Counter()
         for batch in batches:
-            texts, out = batch.to_pylist(), []
-            for at in range(0, len(texts), BLOCK):
-                out.append(_model(model).score(count(texts[at : at + BLOCK])))
+            out = [_model(model).score(count(part.to_pylist())) for part in sliced(batch, BLOCK)]
             yield pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
     return scores(text)
@@ -186,4 +184,4 @@ def quality_scores(
 def drop_poor(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = 0.7, **options) -> DataFrame:
     """The rows of ``docs`` with a score of ``threshold`` or more, all columns."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text=text, **options))
-    return docs.withColumn("_score", score(F.col(text), shared)).filter(F.col("_score") >= threshold).drop("_score")
+    return docs.filter(score(F.col(text), shared) >= threshold)

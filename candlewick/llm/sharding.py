@@ -10,7 +10,6 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.tables import whole
 
 #: Bytes of records that a worker shuffles in memory, and what a row counts beside its text.
 BUCKET_BYTES, ROW_BYTES = 32 << 20, 16

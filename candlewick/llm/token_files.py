@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.tables import total_bytes, whole
+from candlewick.llm.tables import sliced, total_bytes, whole
 from candlewick.llm.tokens import byte_level
 
 # Fixed values of the format.
@@ -165,7 +165,7 @@ def write_tokens(
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, any_row = byte_level(tokenizer), FrameWriter(frame_bytes), False
-        for batch in batches:
+        for batch in (part for batch in batches for part in sliced(batch)):
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 any_row = True
                 for frame in writer.add(name, encoder.ids(body) + end):

@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.tables import whole
+from candlewick.llm.tables import sliced, whole
 
 #: Characters that a batch given to a library holds at most, unless one part alone is longer.
 BATCH_CHARS = 1 << 20
 #: Pieces remembered in each of two generations; long pieces are not kept.
-KEPT_PIECES, LONGEST_KEPT = 200_000, 48
+KEPT_PIECES, LONGEST_KEPT = 100_000, 48
 
 # Letters, numbers and spaces below U+0250, the same in every Unicode version in use.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -41,7 +41,7 @@ UNSETTLED = re.compile("[\x1c-\x1f\x85ɐ-\U0010ffff]")
 _BOUNDARY = re.compile("(?<=[A-Za-z])(?= [A-Za-z])")
 
 
-class _Recent(dict):
+class Recent(dict):
     """Answers of ``compute`` for recent keys; two generations bound the memory and keep frequent keys."""
 
     def __init__(self, compute: Callable):
@@ -81,7 +81,7 @@ class ByteLevelEncoder:
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = iter(range(256, 512))
         self.letters = {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
-        self._ids, self._counts = _Recent(self._piece), _Recent(lambda piece: len(self._piece(piece)) // 4)
+        self._ids, self._counts = Recent(self._piece), Recent(lambda piece: len(self._piece(piece)) // 4)
 
     def _piece(self, piece: str) -> bytes:
         shown = piece.encode().decode("latin-1").translate(self.letters)
@@ -182,7 +182,8 @@ def token_count(text: Column, tokenizer: str) -> Column:
     def lengths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         count = counter(tokenizer)
         for batch in batches:
-            yield pa.array(count.counts(["" if t is None else t for t in batch.to_pylist()]), pa.int64())
+            found = [n for part in sliced(batch) for n in count.counts(["" if t is None else t for t in part.to_pylist()])]
+            yield pa.array(found, pa.int64())
 
     return lengths(text)
 
