@@ -1,7 +1,7 @@
 """Quality scores by nearest-neighbour voting among labelled latent-semantic vectors.
 
-Terms of a text are the shapes of its words, pairs of neighbouring shapes, short words, and repetitions; vectors are
-tf-idf weights of these terms, projected to their leading singular directions. A document's score is the vote of its
+Terms of a text are the shapes of its words, pairs of neighbouring shapes, short words, and repetitions; long words are
+cut into pieces that are terms each, so texts without spaces count to their end. Vectors are tf-idf weights of these terms, projected to their leading singular directions. A document's score is the vote of its
 nearest labelled vectors by cosine, each label weighted by its similarity.
 """
 
@@ -30,6 +30,8 @@ SAMPLE, DIRECTIONS, NEIGHBOURS = 4096, 64, 16
 POWER = 8
 #: Documents multiplied at once with all labelled vectors.
 BLOCK = 256
+#: Characters of a piece of a long word; a rest as short as a short word stays with the last piece.
+PIECE, SHORTEST = 64, 4
 
 _SHAPE = {c: "A" if chr(c).isupper() else "a" if chr(c).isalpha() else "0" if chr(c).isdecimal() else chr(c) for c in range(0x250)}
 
@@ -37,16 +39,21 @@ _SHAPE = {c: "A" if chr(c).isupper() else "a" if chr(c).isalpha() else "0" if ch
 def _term(word: str) -> int:
     """A word's hash, shape number and short-word number in one integer."""
     shape, last, run = [], "", 0
-    for c in word.translate(_SHAPE)[:64]:
+    for c in word.translate(_SHAPE):
         run = run + 1 if c == last else 1
         last = c
         if run <= 2:
             shape.append(c)
     h = zlib.crc32(word.encode("utf-8", "surrogatepass"))
-    short = 1 + zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % SHORT if len(word) <= 4 else 0
+    short = 1 + zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % SHORT if len(word) <= SHORTEST else 0
     return h << 20 | (zlib.crc32("".join(shape).encode("utf-8", "surrogatepass")) % SHAPES) << 10 | short
 
 
+def _pieces(word: str) -> list[str]:
+    ends = [*range(PIECE, len(word) - SHORTEST, PIECE), len(word)]
+    return [word[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Counter:
     """Term counts of texts, as square roots of rates."""
 
@@ -59,10 +66,14 @@ class Counter:
             words = (text or "").split()
             if not words:
                 continue
+            again = 0
+            if max(map(len, words)) > PIECE:
+                again = sum(a == b and len(a) > PIECE for a, b in zip(words, words[1:]))
+                words = [p for word in words for p in (_pieces(word) if len(word) > PIECE else (word,))]
             packed = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
             marks, shapes, short = packed >> 20, packed >> 10 & 1023, packed & 1023
             n = len(words)
-            row[0] = np.count_nonzero(marks[1:] == marks[:-1])
+            row[0] = np.count_nonzero(marks[1:] == marks[:-1]) + again
             row[1] = n - len(np.unique(marks))
             row[REPEATS : REPEATS + SHORT] = np.bincount(short, minlength=SHORT + 1)[1:]
             row[REPEATS + SHORT :][:SHAPES] = np.bincount(shapes, minlength=SHAPES)

@@ -168,6 +168,21 @@ def test_quality(spark, docs, none, repeated):
     assert kept.columns == train.columns and kept.where("quality = 0").isEmpty() and kept.count() == 100
 
 
+def test_texts_without_spaces_count_to_their_end():
+    rng = random.Random(2)
+    head = "".join(rng.choice("天地玄黃宇宙洪荒") for _ in range(64))
+    good, spam = head + "".join(rng.choice("日月盈昃辰宿列張") for _ in range(3000)), head + "$!#%" * 750
+    count = quality.Counter()
+    rows = count([good, spam, good + "完", spam[:-1] + "x"])
+    assert len({r.tobytes() for r in rows}) == 4
+    model = quality.fitted(count([good, spam]), np.array([1.0, 0.0]))
+    assert (model.score(count([good, spam])) > 0.7).tolist() == [True, False]
+    # Words up to a piece's length are one term each; a piece is never a short word; repeated long words count.
+    assert quality._pieces("x" * 64) == ["x" * 64] and [len(p) for p in quality._pieces("x" * 132)] == [64, 68]
+    assert "".join(quality._pieces(good)) == good and min(map(len, quality._pieces(good))) > 4
+    assert count([f"{good} {good}"])[0, 0] > 0
+
+
 def test_exact_duplicates(spark, docs, none, repeated):
     for keep, best in (("largest", max), ("smallest", min)):
         found = {r.doc_id: r for r in exact_dedup.exact_duplicates(docs, keep).collect()}
