@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,17 +81,17 @@ def write_warc(
     told.select(record.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
 
 
-class Damaged(ValueError):
-    """A place where no whole record stands."""
-
-
 @dataclass(frozen=True)
 class Record:
+    """``member`` is the start of the gzip member that holds more than this record: ``start`` and ``stop`` then are that
+    place plus offsets in the member's content."""
+
     start: int
     stop: int
     fields: dict[str, str]
     http_head: bytes
     payload: bytes
+    member: int | None = None
 
 
 @dataclass(frozen=True)
@@ -97,6 +99,15 @@ class Gap:
     start: int
     stop: int
     reason: str
+    member: int | None = None
+
+
+class Damaged(ValueError):
+    """A place where no whole record stands; the end of the damaged record, if known, and what its member still gives."""
+
+    def __init__(self, reason: str, stop: int = 0, records: Iterable[Record] = ()):
+        super().__init__(reason)
+        self.stop, self.records = stop, list(records)
 
 
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -126,70 +137,170 @@ def _plain(data: bytes, start: int) -> tuple[int, dict[str, str], bytes]:
 
 
 def _member(data: bytes, start: int) -> tuple[int, bytes]:
-    """End and content of the gzip member at ``start``; its checksum and length are checked."""
+    """End and content of the gzip member at ``start``; its checksum and length are checked.
+
+    A damaged member still gives the records that stand whole before the fault: with right digests, or, where the
+    member is only cut short, by their form as in a plain archive.
+    """
     opened = zlib.decompressobj(31)
     try:
         content = opened.decompress(memoryview(data)[start:])
     except zlib.error as error:
-        raise Damaged(f"gzip member: {error}") from error
+        raise Damaged(f"gzip member: {error}", records=_before_fault(_inflated(data, start), start, True)) from error
     if not opened.eof:
-        raise Damaged("gzip member is cut short")
+        raise Damaged("gzip member is cut short", records=_before_fault(content, start, False))
     return len(data) - len(opened.unused_data), content
 
 
-def _sha256_of(field: str) -> str | None:
+def _inflated(data: bytes, start: int, step: int = 4096) -> bytes:
+    """What the damaged member at ``start`` gives up to the byte where decompression fails."""
+    opened, out, view = zlib.decompressobj(31), [], memoryview(data)
+    for at in range(start, len(data), step):
+        before, part = opened.copy(), view[at : at + step]
+        try:
+            out.append(opened.decompress(part))
+        except zlib.error:
+            try:
+                out.extend(before.decompress(part[i : i + 1]) for i in range(len(part)))
+            except zlib.error:
+                break
+    return b"".join(out)
+
+
+def _before_fault(content: bytes, start: int, proof: bool) -> Iterator[Record]:
+    found = (x for x in salvage(content, members=False) if isinstance(x, Record))
+    return (_moved(x, start) for x in found if not proof or _proven(x))
+
+
+def _moved(x: Record | Gap, start: int) -> Record | Gap:
+    return replace(x, start=start + x.start, stop=start + x.stop, member=start)
+
+
+#: Digest algorithms with the bytes of their values.
+_ALGORITHMS = {"md5": 16, "sha1": 20, "sha256": 32, "sha384": 48, "sha512": 64}
+
+
+def _digest_of(field: str) -> tuple[str, bytes | None] | None:
+    """Algorithm and value of a digest in base 16, 32 or 64; no value if unreadable, nothing for an unknown algorithm."""
     kind, _, value = field.partition(":")
-    return value.lower() if kind.lower() == "sha256" else None
+    kind, value = kind.strip().lower().replace("-", ""), value.strip().rstrip("=")
+    if kind not in _ALGORITHMS:
+        return None
+    size, pad = _ALGORITHMS[kind], "=" * 8
+    try:
+        if len(value) == 2 * size:
+            return kind, bytes.fromhex(value)
+        if len(value) == -(-8 * size // 5):
+            return kind, base64.b32decode(value + pad[: -len(value) % 8], casefold=True)
+        if len(value) == -(-4 * size // 3):
+            return kind, base64.b64decode(value + pad[: -len(value) % 4], altchars=b"-_" if set("-_") & set(value) else None, validate=True)
+    except ValueError:
+        pass
+    return kind, None
+
+
+def _agrees(field: str, *forms: bytes) -> bool:
+    wanted = _digest_of(field)
+    return wanted is None or any(hashlib.new(wanted[0], data, usedforsecurity=False).digest() == wanted[1] for data in forms)
+
+
+def _own_payload(fields: dict[str, str]) -> bool:
+    """Whether the payload digest is one of this record's own bytes: not for a revisit or a segment of a longer record."""
+    return fields.get("warc-type") not in ("revisit", "continuation") and "warc-segment-number" not in fields
+
+
+def _proven(record: Record) -> bool:
+    """Whether a checked record has a digest of a known algorithm."""
+    own = ["warc-block-digest", *["warc-payload-digest"] * _own_payload(record.fields)]
+    return any(_digest_of(record.fields.get(name, "")) for name in own)
+
+
+def _unchunked(body: bytes) -> bytes | None:
+    """A body without its chunked transfer coding, or nothing if it has none."""
+    out, at = [], 0
+    while line := re.compile(rb"([0-9A-Fa-f]{1,8})[^\r\n]*\r\n").match(body, at):
+        size = int(line[1], 16)
+        if not size:
+            return b"".join(out)
+        out.append(body[line.end() : line.end() + size])
+        at = line.end() + size + 2
+    return None
 
 
 def _checked(data: bytes, start: int) -> Record:
-    if data[start : start + 3] == b"\x1f\x8b\x08":
-        stop, content = _member(data, start)
-        inner, fields, block = _plain(content, 0)
-        if inner != len(content):
-            raise Damaged("gzip member holds more than a record")
-    else:
-        stop, fields, block = _plain(data, start)
-    wanted = _sha256_of(fields.get("warc-block-digest", ""))
-    if wanted and hashlib.sha256(block).hexdigest() != wanted:
-        raise Damaged("block digest")
+    """The plain record at ``start``, with right digests."""
+    stop, fields, block = _plain(data, start)
+    if not _agrees(fields.get("warc-block-digest", ""), block):
+        raise Damaged("block digest", stop)
     http = fields.get("content-type", "").startswith("application/http")
     http_head, _, payload = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
-    wanted = _sha256_of(fields.get("warc-payload-digest", ""))
-    if wanted and fields.get("warc-type") != "revisit" and hashlib.sha256(payload).hexdigest() != wanted:
-        raise Damaged("payload digest")
+    if _own_payload(fields) and not _agrees(field := fields.get("warc-payload-digest", ""), payload):
+        # Some writers take the digest after removing the transfer coding.
+        chunked = re.search(rb"(?im)^transfer-encoding:.*chunked", http_head)
+        plain = _unchunked(payload) if chunked else None
+        if plain is None or not _agrees(field, plain):
+            raise Damaged("payload digest", stop)
     return Record(start, stop, fields, http_head, payload)
 
 
-def salvage(data: bytes) -> Iterator[Record | Gap]:
+def _found(data: bytes, start: int, members: bool) -> tuple[int, Iterator[Record | Gap]]:
+    """End of what stands at ``start``, a plain record or a gzip member, and its records and gaps."""
+    if not members or data[start : start + 3] != b"\x1f\x8b\x08":
+        record = _checked(data, start)
+        return record.stop, iter([record])
+    stop, content = _member(data, start)
+    inside = salvage(content, members=False)
+    first = next(inside, None) or Gap(0, 0, "gzip member is empty")
+    if first.stop < len(content):
+        return stop, (_moved(x, start) for x in chain([first], inside))
+    if isinstance(first, Gap):
+        raise Damaged(first.reason, stop)
+    return stop, iter([replace(first, start=start, stop=stop)])
+
+
+def salvage(data: bytes, members: bool = True) -> Iterator[Record | Gap]:
     """All whole records of an archive, plain or of gzip members, and the byte ranges between them that hold none.
 
-    After a failed check the search goes on at the next version line or member that is a whole record with right
-    digests. A version line inside a payload is passed over, unless the record around it is damaged and the line
-    starts a record with right digests itself.
+    A member may hold any number of records; each lies in one member. After a failed check the search goes on at the
+    next version line or member that is a whole record with right digests (of any usual algorithm; a record without
+    a digest is known by its form). A version line inside a payload is passed over, unless the record around it is
+    damaged and the line starts a record with right digests itself; only where damage hides that record's end can a
+    record without a digest be taken from its payload. Records out of a damaged member follow the gap that covers it.
     """
     at = 0
     while at < len(data):
         try:
-            record = _checked(data, at)
+            stop, inside = _found(data, at, members)
         except Damaged as error:
-            reason, record = str(error), None
-            for found in _CANDIDATE.finditer(data, at + 1):
-                try:
-                    record = _checked(data, found.start())
-                    break
-                except Damaged:
-                    continue
-            yield Gap(at, record.start if record else len(data), reason)
-            if not record:
-                return
-        yield record
-        at = record.stop
+            fault, rescued = error, error.records
+        else:
+            yield from inside
+            at = stop
+            continue
+        until, stop, inside = len(data), len(data), iter(())
+        for place in (_CANDIDATE if members else _VERSION).finditer(data, at + 1):
+            try:
+                end, items = _found(data, place.start(), members)
+            except Damaged as error:
+                rescued += error.records
+                continue
+            first = next(items)
+            if place.start() < fault.stop and not (isinstance(first, Record) and _proven(first)):
+                continue
+            # Stored blocks of a damaged member show its records a second time.
+            if isinstance(first, Record) and any((first.fields, first.payload) == (r.fields, r.payload) for r in rescued):
+                continue
+            until, stop, inside = place.start(), end, chain([first], items)
+            break
+        yield Gap(at, until, str(fault))
+        yield from rescued
+        yield from inside
+        at = stop
 
 
 READ = (
     "file string, start long, stop long, gap string, page_id long, url string, record_type string, refers_to long, "
-    "payload_bytes long, payload_digest string, payload binary"
+    "payload_bytes long, payload_digest string, payload binary, member long"
 )
 
 
@@ -198,12 +309,14 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
     for a record ``page_id``, ``url``, ``record_type``, ``refers_to`` (page id), ``payload_bytes`` and
     ``payload_digest`` of the full payload, and ``payload`` (null for a revisit, and without ``payloads``);
-    for a quarantined gap ``gap``, the check that failed. An archive is held in memory by one task.
+    for a quarantined gap ``gap``, the check that failed. ``member`` is the start of a gzip member that holds more than
+    the row's record; ``start`` and ``stop`` then are that place plus offsets in its content. An archive is held in
+    memory by one task, with the content of one member.
     """
     schema = pa.schema([
         ("file", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("gap", pa.string()), ("page_id", pa.int64()),
         ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()),
-        ("payload_digest", pa.string()), ("payload", pa.binary()),
+        ("payload_digest", pa.string()), ("payload", pa.binary()), ("member", pa.int64()),
     ])
 
     def number(text: str | None) -> int | None:
@@ -211,15 +324,16 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
     def row(name: str, x: Record | Gap) -> tuple:
         if isinstance(x, Gap):
-            return (name, x.start, x.stop, x.reason, *[None] * 7)
+            return (name, x.start, x.stop, x.reason, *[None] * 7, x.member)
         kind, f = x.fields.get("warc-type"), x.fields
         again = kind == "revisit"
+        told, value = _digest_of(f.get("warc-payload-digest", "")) or ("", None)
         full = re.search(rb"(?im)^content-length:\s*(\d+)", x.http_head) if again else None
         return (
             name, x.start, x.stop, None, number(f.get("x-page-id")), f.get("warc-target-uri"), kind, number(f.get("x-refers-to-page")),
             (int(full[1]) if full else None) if again else len(x.payload),
-            _sha256_of(f.get("warc-payload-digest", "")) if again else hashlib.sha256(x.payload).hexdigest(),
-            x.payload if payloads and not again else None,
+            (value.hex() if value and told == "sha256" else None) if again else hashlib.sha256(x.payload).hexdigest(),
+            x.payload if payloads and not again else None, x.member,
         )
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

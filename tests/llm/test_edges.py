@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import json
@@ -304,6 +305,82 @@ def test_salvage(compressed):
     assert list(warc.salvage(b"")) == [] and isinstance(next(iter(warc.salvage(b"nothing here"))), warc.Gap)
 
 
+def digested(i: int, digest, name: str = "Block", inside: bytes = b"") -> bytes:
+    """A plain record with a digest as ``digest`` writes it."""
+    payload = b"payload %d " % i * 40 + inside
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nX-Page-Id: {i}\r\n"
+    head += f"WARC-{name}-Digest: {digest(block if name == 'Block' else payload)}\r\n" if digest else ""
+    return head.encode() + b"Content-Type: application/http\r\nContent-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+
+
+def sha1_base32(data: bytes) -> str:
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def page_ids(found):
+    return [int(x.fields["x-page-id"]) for x in found if isinstance(x, warc.Record)]
+
+
+def test_members_of_several_records(spark, tmp_path):
+    records = [digested(i, sha1_base32) for i in range(5)]
+    middle = bytearray(b"".join(records[1:4]))
+    middle[len(records[1]) + 250] ^= 1  # in the payload of record 2
+    members = [gzip.compress(records[0]), gzip.compress(bytes(middle)), gzip.compress(records[4])]
+    found = list(warc.salvage(b"".join(members)))
+    assert page_ids(found) == [0, 1, 3, 4]
+    start, n = len(members[0]), len(records[1])
+    assert [(x.start, x.stop, x.member) for x in found] == [
+        (0, start, None), (start, start + n, start), (start + n, start + n + len(records[2]), start),
+        (start + n + len(records[2]), start + len(middle), start), (start + len(members[1]), sum(map(len, members)), None),
+    ]
+    assert isinstance(found[2], warc.Gap) and found[2].reason == "block digest"
+    assert page_ids(warc.salvage(gzip.compress(b"".join(records)))) == [0, 1, 2, 3, 4]
+    # A damaged or cut member gives the records before the fault, once, whether compressed or stored.
+    rng = random.Random(4)
+    more = [digested(i, sha1_base32, inside=rng.randbytes(30_000)) for i in range(6)]
+    for level in (0, 6):
+        whole = gzip.compress(b"".join(more), level)
+        assert page_ids(warc.salvage(whole[: len(whole) * 5 // 12] + members[2])) == [0, 1, 4]
+        hurt = bytearray(whole + members[2])
+        hurt[len(whole) - 6] ^= 1  # the checksum alone
+        assert page_ids(warc.salvage(bytes(hurt))) == [0, 1, 2, 3, 4, 5, 4]
+    with open(f"{tmp_path}/a.warc.gz", "wb") as file:
+        file.write(b"".join(members))
+    rows = warc.read_warc(spark, str(tmp_path)).collect()
+    expected = [(0, None), (1, start), (3, start), (4, None)]
+    assert [(r.page_id, r.member) for r in sorted(rows, key=lambda r: r.page_id or 0) if r.gap is None] == expected
+    assert [(r.gap, r.member) for r in rows if r.gap] == [("block digest", start)]
+
+
+@pytest.mark.parametrize("name", ["Block", "Payload"])
+@pytest.mark.parametrize("digest", [
+    sha1_base32, lambda b: "SHA-1:" + hashlib.sha1(b).hexdigest().upper(), lambda b: "md5:" + hashlib.md5(b).hexdigest(),
+    lambda b: "md5:" + base64.b32encode(hashlib.md5(b).digest()).decode(), lambda b: "sha256:" + base64.b32encode(hashlib.sha256(b).digest()).decode(),
+    lambda b: "sha512:" + hashlib.sha512(b).hexdigest(), lambda b: "sha1:" + base64.b64encode(hashlib.sha1(b).digest()).decode(),
+])
+def test_usual_digests_are_checked(name, digest):
+    records = [digested(i, digest, name) for i in range(3)]
+    assert page_ids(warc.salvage(b"".join(records))) == [0, 1, 2]
+    hurt = bytearray(b"".join(records))
+    hurt[len(records[0]) + len(records[1]) - 20] ^= 1
+    assert page_ids(warc.salvage(bytes(hurt))) == [0, 2]
+    # Inside a damaged payload only a record with a right digest is taken.
+    for inner, taken in ((digested(8, digest, name), [8]), (digested(8, None), []), (digested(8, lambda b: digest(b + b"x"), name), [])):
+        outer = bytearray(digested(7, digest, name, b"\r\n" + inner))
+        outer[-len(inner) - 40] ^= 1
+        assert page_ids(warc.salvage(bytes(outer) + records[0])) == [*taken, 0]
+
+
+def test_payload_digests_of_other_bytes_are_no_damage():
+    body = b"5\r\nhello\r\n0\r\n\r\n"
+    block = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + body
+    for payload, field in ((body, ""), (b"hello", ""), (b"whole of several segments", "WARC-Segment-Number: 1\r\n")):
+        head = f"WARC/1.1\r\nWARC-Type: response\r\nX-Page-Id: 1\r\nWARC-Payload-Digest: {sha1_base32(payload)}\r\n{field}"
+        head += f"Content-Type: application/http\r\nContent-Length: {len(block)}\r\n\r\n"
+        assert page_ids(warc.salvage(head.encode() + block + b"\r\n\r\n")) == [1]
+
+
 def test_token_files(spark, docs, none, repeated, tmp_path):
     path = f"{tmp_path}/t"
     token_files.write_tokens(docs, path, TOKENIZER, file_bytes=100_000, frame_bytes=64)
