@@ -40,8 +40,9 @@ def write_shards(
     ``record`` (the whole row), ``grown_shard`` (the shard if there were one more), ``bucket`` and ``position``;
     a shard's order is that of bucket and position. The same rows and seed give the same shards.
 
-    Null ids go to one shard, null texts count no bytes, equal rows share a bucket (which is as large as they are),
-    ties between equal rows need no order. An empty table gives no file. Columns of any name may be present.
+    Null ids go to one shard, null texts count no bytes, ties between equal rows need no order. Rows of equal id and
+    text share a bucket as long as they fit in one; a larger group is dealt over as many as it needs. An empty table
+    gives no file. Columns of any name may be present.
     """
     record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(
@@ -49,10 +50,15 @@ def write_shards(
         shard_of(F.col(key), shards + 1, seed).alias("grown_shard"), F.col(key).alias("key"),
         F.xxhash64(key, text).alias("mark"), (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).alias("size"),
     )
-    sizes = dict(rows.groupBy("shard").agg(F.sum("size")).collect())  # a row for each shard
+    groups = rows.groupBy("shard", "mark").agg(F.sum("size").alias("size"))
+    large = F.collect_list(F.when(F.col("size") > bucket_bytes, F.struct("mark", "size")))
+    found = groups.groupBy("shard").agg(F.sum("size").alias("size"), large.alias("large")).collect()  # a row for each shard
+    sizes = {r.shard: r.size for r in found}
+    salts = [(r.shard, g.mark, -(-g.size // bucket_bytes)) for r in found for g in r.large]
+    rows = _salted(rows, salts, docs)
     buckets = F.array(*[F.lit(max(1, -(-(sizes.get(s) or 0) // bucket_bytes))) for s in range(shards)])
     scattered = rows.withColumn(
-        "bucket", F.pmod(F.xxhash64("mark", F.lit(seed + 1)), F.element_at(buckets, F.col("shard") + 1)).cast("int")
+        "bucket", F.pmod(F.xxhash64("mark", F.lit(seed + 1)) + F.col("salt"), F.element_at(buckets, F.col("shard") + 1)).cast("int")
     )
 
     def shuffled(name: tuple, rows: pa.Table) -> pa.Table:
@@ -70,6 +76,27 @@ def write_shards(
     out.sortWithinPartitions("shard", "bucket", "position").write.partitionBy("shard").parquet(path)
 
 
+def _salted(rows: DataFrame, salts: list[tuple[int, int, int]], docs: DataFrame) -> DataFrame:
+    """Adds ``salt`` to rows: 0, or for groups larger than a bucket (shard, mark, salts) one of as many numbers.
+
+    Equal rows of these groups are counted first and come back in equal shares, a share for each number, so neither the
+    order nor the partitions of the rows decide who gets which; rows that differ elsewhere start at another number.
+    """
+    if not salts:
+        return rows.withColumn("salt", F.lit(0))
+    large = F.broadcast(rows.sparkSession.createDataFrame(salts, "shard int, mark long, salts int"))
+    small = rows.join(large, ["shard", "mark"], "left_anti").withColumn("salt", F.lit(0))
+    hashed = [F.col(f"record.`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    once = rows.join(large, ["shard", "mark"]).groupBy(*rows.columns, "salts").agg(F.count("*").alias("n"))
+    shares = once.withColumn("share", F.explode(F.sequence(F.lit(0), F.least(F.col("n").cast("int"), F.col("salts")) - 1)))
+    shares = shares.withColumns({
+        "salt": F.pmod(F.xxhash64(*hashed) + F.col("share"), F.col("salts")).cast("int"),
+        "n": F.floor(F.col("n") / F.col("salts")) + (F.col("share") < F.col("n") % F.col("salts")).cast("int"),
+    }).repartition("shard", "mark", "share", "salt")
+    copies = shares.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    return small.unionByName(copies.select(*small.columns))
+
+
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """Rows of written shards with ``slot``, their place in the shard."""
     return with_slots(spark.read.parquet(path))

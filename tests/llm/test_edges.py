@@ -142,6 +142,29 @@ def test_sharding(spark, docs, none, repeated, tmp_path):
     sharding.write_shards(none, f"{tmp_path}/d", shards=3)
 
 
+def test_large_groups_of_equal_rows_are_dealt_over_buckets(spark, tmp_path):
+    rows = [(7, "again and again", 1)] * 400 + [(None, "no id", i) for i in range(400)] + [(i, f"text {i}", 1) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other int")
+    found = []
+    for name, part in (("a", 3), ("b", 5)):
+        sharding.write_shards(docs.repartition(part), f"{tmp_path}/{name}", shards=3, bucket_bytes=1000)
+        got = sharding.read_shards(spark, f"{tmp_path}/{name}").collect()
+        key = lambda r: (r[0] if r[0] is not None else -1, *r[1:])
+        assert sorted(((r.record.doc_id, r.record.text, r.record.other) for r in got), key=key) == sorted(rows, key=key)
+        slots = {}
+        for r in got:
+            slots.setdefault(r.shard, []).append(r.slot)
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+        for which in (7, None):
+            per = {}
+            for r in got:
+                if r.record.doc_id == which:
+                    per[r.bucket] = per.get(r.bucket, 0) + 1
+            assert max(per.values()) <= 90 and len(per) >= 8  # about 32 rows of 31 bytes, or 47 of 21, are a bucket
+        found.append(sorted((r.shard, r.bucket, r.record.doc_id or 0, r.record.text) for r in got))
+    assert found[0] == found[1]
+
+
 def test_one_more_shard_takes_only_into_itself(spark):
     keys = spark.range(20_000).select("id", *[sharding.shard_of(F.col("id"), n).alias(f"s{n}") for n in (1, 4, 5)])
     counts = {r.s5: r["count"] for r in keys.groupBy("s5").count().collect()}
