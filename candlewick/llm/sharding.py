@@ -42,7 +42,7 @@ def write_shards(
 
     Null ids go to one shard, null texts count no bytes, ties between equal rows need no order. Rows of equal id and
     text share a bucket as long as they fit in one; a larger group is dealt over as many as it needs. An empty table
-    gives no file. Columns of any name may be present.
+    gives one file without rows, so that it can be read. Columns of any name may be present.
     """
     record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(
@@ -53,6 +53,10 @@ def write_shards(
     groups = rows.groupBy("shard", "mark").agg(F.sum("size").alias("size"))
     large = F.collect_list(F.when(F.col("size") > bucket_bytes, F.struct("mark", "size")))
     found = groups.groupBy("shard").agg(F.sum("size").alias("size"), large.alias("large")).collect()  # a row for each shard
+    if not found:
+        empty = f"record {docs.schema.simpleString()}, grown_shard int, bucket int, position long, shard int"
+        docs.sparkSession.createDataFrame([], empty).write.parquet(path)
+        return
     sizes = {r.shard: r.size for r in found}
     salts = [(r.shard, g.mark, -(-g.size // bucket_bytes)) for r in found for g in r.large]
     rows = _salted(rows, salts, docs)

@@ -142,6 +142,15 @@ def test_sharding(spark, docs, none, repeated, tmp_path):
     sharding.write_shards(none, f"{tmp_path}/d", shards=3)
 
 
+def test_shards_of_an_empty_table_are_read(spark, none, docs, tmp_path):
+    sharding.write_shards(none, f"{tmp_path}/none", shards=3)
+    sharding.write_shards(docs, f"{tmp_path}/some", shards=3)
+    empty, some = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("none", "some"))
+    assert empty.count() == 0 and empty.dtypes == some.dtypes
+    assert sharding.read_shards(spark, f"{tmp_path}/none").count() == 0
+    assert sharding.digests(empty).collect() == []
+
+
 def test_large_groups_of_equal_rows_are_dealt_over_buckets(spark, tmp_path):
     rows = [(7, "again and again", 1)] * 400 + [(None, "no id", i) for i in range(400)] + [(i, f"text {i}", 1) for i in range(100)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, other int")
