@@ -116,17 +116,36 @@ class Model:
         return np.clip(np.concatenate(out), 0, 1) if out else np.zeros(0)
 
 
-def fitted(counts: np.ndarray, labels: np.ndarray, directions: int = DIRECTIONS) -> Model:
+def fitted(counts: np.ndarray, labels: np.ndarray, directions: int = DIRECTIONS, known: tuple[int, np.ndarray] | None = None) -> Model:
+    """A model of labelled counts; ``known`` are the documents and each term's documents that idf comes from, if not these."""
     prior = float(labels.mean()) if len(labels) else 0.5
     if not len(labels):
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, prior)
-    idf = (np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32)
+    n, frequencies = known or (len(counts), np.count_nonzero(counts, axis=0))
+    idf = (np.log((1 + n) / (1 + frequencies)) + 1).astype(np.float32)
     weighted = _unit(counts * idf)
     _, basis = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
     basis = np.ascontiguousarray(basis[:, ::-1][:, :directions], np.float32)
     return Model(idf, basis, _unit(weighted @ basis), labels.astype(np.float64), prior)
 
 
+def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.ndarray]:
+    """Rows of ``docs`` and, for each term, the rows that have it; a task sends one number for each term."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, total = Counter(), np.zeros(TERMS + 1, np.int64)
+        for batch in (part for batch in batches for part in sliced(batch, BLOCK)):
+            total[:TERMS] += np.count_nonzero(count(batch.column(0).to_pylist()), axis=0)
+            total[TERMS] += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(TERMS + 1)), pa.array(total)], names=["term", "n"])
+
+    sums = docs.select(F.col(text).alias("text")).mapInArrow(found, "term long, n long").groupBy("term").agg(F.sum("n"))
+    total = np.zeros(TERMS + 1, np.int64)
+    for term, n in sums.collect():
+        total[term] = n
+    return int(total[TERMS]), total[:TERMS]
+
+
 def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 4 == 2, F.lit(False))
 
@@ -135,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """A model of at most ``sample`` labelled documents, those with the smallest hashes of their ids.
 
     Only labels of ids that are not held out are learned. Null labels and ids are left out; an id labelled more than
-    once has the rounded mean. Without any labelled document the model scores everything 0.5.
+    once has the rounded mean. The terms' weights come from all rows of ``docs``. Without any labelled document the model scores everything 0.5.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
     known = known.groupBy(F.col(key).alias("_id")).agg((F.avg(label) >= 0.5).cast("int").alias("_label"))
@@ -156,7 +175,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     got = one.select("_id", "_label", "text").mapInArrow(counts, "_id long, _label int, counts binary").toArrow()
     order = np.argsort(got.column("_id").to_numpy(), kind="stable")
     matrix = np.frombuffer(b"".join(got.column("counts").to_pylist()), np.float32).reshape(-1, TERMS)
-    return fitted(matrix[order], got.column("_label").to_numpy()[order].astype(np.float64))
+    frequencies = document_frequencies(docs, text) if len(order) else None
+    return fitted(matrix[order], got.column("_label").to_numpy()[order].astype(np.float64), known=frequencies)
 
 
 @lru_cache(maxsize=2)

@@ -216,6 +216,14 @@ def test_texts_without_spaces_count_to_their_end():
     assert count([f"{good} {good}"])[0, 0] > 0
 
 
+def test_idf_counts_all_documents(spark, docs):
+    train = labelled(spark)
+    texts = [r.text for r in train.union(docs.select("doc_id", "text", F.lit(0))).collect()]
+    model = quality.fit(train.select("doc_id", "text").union(docs.select("doc_id", "text")), train.select("doc_id", "quality"), sample=5)
+    frequencies = np.count_nonzero(quality.Counter()(texts), axis=0)
+    assert np.allclose(model.idf, np.log((1 + len(texts)) / (1 + frequencies)) + 1) and len(model.labels) == 5
+
+
 def test_exact_duplicates(spark, docs, none, repeated):
     for keep, best in (("largest", max), ("smallest", min)):
         found = {r.doc_id: r for r in exact_dedup.exact_duplicates(docs, keep).collect()}
