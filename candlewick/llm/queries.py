@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import (
-    chat, decontamination, exact_dedup, near_dedup, packing, quality, sharding, token_files, tokens, warc,
+    chat, decontamination, exact_dedup, near_dedup, packing, prefix_trie, quality, repair, search, sharding, token_files, tokens, warc,
 )
+from candlewick.llm.oracles import PREFIX_TRIE, REPAIR, SEARCH
 from candlewick.llm.tables import ship_package, table
 from candlewick.sinks.workspace import new_folder
 
@@ -71,6 +72,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digests(found)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.paths(table(spark, sf_dir, "conversations"))))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    reports, turns = repair.repair(repair.damage(conversations))
+    return repair.digests(conversations, reports, turns)
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def _shipped(run):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -83,7 +101,7 @@ QUERIES = {
     f.__name__: _shipped(f)
     for f in (
         op1_packing, op2_sharding, op3_quality, op4_token_counts, op5_near_dedup, op6_warc, op7_token_files,
-        op8_exact_dedup, op9_chat, op10_decontamination,
+        op8_exact_dedup, op9_chat, op10_decontamination, op11_prefix_trie, op12_repair, op13_search,
     )
 }
 
@@ -139,4 +157,7 @@ ORACLES: dict[str, str] = {
         SELECT split.id AS doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
             sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM split LEFT JOIN hit ON hit.id = split.id LEFT JOIN named ON named.id = split.id WHERE kind = 'd'""",
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_repair": REPAIR,
+    "op13_search": SEARCH,
 }
