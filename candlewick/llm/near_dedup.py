@@ -5,16 +5,16 @@ pair of sketches, one from each collection: ``tables`` times ``tables`` keys com
 that share a key are candidates. Links are confirmed on the full sets.
 
 Equal sets are one node from the start. Of the nodes that share a key all are first compared with one of them, the
-pivot. Then only keys are left whose nodes still lie in several components; within these the pairs of nodes from
-different components are compared by longer signatures, and pairs that come near the threshold are confirmed on the
-full sets as well. So no link between components is passed over, and a large group of near copies costs one pair for
-each of its nodes.
+pivot. Then only first sketches are left whose nodes still lie in several components; where they lie, pairs of nodes
+from different components that share a key are compared by longer signatures, and what comes near the threshold on full
+sets. These comparisons stay inside a task, which gives one link for each two components it joins. So no link between
+components is passed over, and a large group of near copies costs a few rows for each of its nodes.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,8 @@ from candlewick.llm.tables import sliced, whole, written
 ROWS, MISSED = 4, 1e-4
 #: Minhashes of a long signature, and standard deviations below the threshold where a pair is given up.
 SIGNATURE, DEVIATIONS = 512, 4.0
-#: Nodes that one task compares with each other at once.
-TILE = 1024
+#: Nodes that one task compares with each other at once, and shingles that it then holds.
+TILE, TILE_SHINGLES = 4096, 8_000_000
 #: Rows of ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -127,65 +127,113 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("common").cast("long") * 100 >= union.cast("long") * percent).select("a", "b")
 
 
-def _apart(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, tables: int) -> DataFrame:
-    """Pairs of nodes that share a key, lie in different components and may be alike by their long signatures.
+def _tiles(rows: DataFrame, run: Callable[[pa.Table], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
+    """``run`` over each tile, ``sketch``, ``left``, ``right``, of a table."""
 
-    Of the keys that two nodes share, the first table's makes the pair, so each pair is made once. (That key is always
-    there: if others have the same nodes, it is the one that ``buckets`` keeps.)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            part = pa.concat_tables([held, part]).combine_chunks() if held is not None else part
+            tiles = np.stack([part.column(c).to_numpy() for c in ("sketch", "left", "right")], axis=1)
+            start = 0
+            for stop in (np.flatnonzero((tiles[1:] != tiles[:-1]).any(axis=1)) + 1).tolist():
+                yield from run(part.slice(start, stop - start))
+                start = stop
+            held = part.slice(start)
+        if held is not None and held.num_rows:
+            yield from run(held)
+
+    dealt = rows.repartition("sketch", "left", "right").sortWithinPartitions("sketch", "left", "right", "node")
+    return dealt.mapInArrow(each, ddl)
+
+
+class _Tile:
+    """Nodes with one first sketch in common, of one block or of two."""
+
+    def __init__(self, rows: pa.Table, tables: int, least: int):
+        self.least = least
+        self.nodes = rows.column("node").to_pylist()
+        labels = rows.column("label").to_pylist()
+        numbers = {label: i for i, label in enumerate(dict.fromkeys(labels))}
+        self.component = np.array([numbers[x] for x in labels])
+        self.block, self.left = rows.column("block").to_numpy(), rows.column("left")[0].as_py()
+        self.alone = self.left == rows.column("right")[0].as_py()
+        self.table = rows.column("table")[0].as_py()
+        self.marks = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(labels), SIGNATURE)
+        self.first, self.second = (rows.column(c).combine_chunks().flatten().to_numpy().reshape(len(labels), tables) for c in ("first", "second"))
+
+    def partners(self, i: int) -> np.ndarray:
+        """Nodes of other components that share a key with node ``i``, first in this table, and may be alike."""
+        if not self.alone and self.block[i] != self.left:
+            return np.zeros(0, np.int64)
+        others = np.flatnonzero((self.component != self.component[i]) & ((np.arange(len(self.nodes)) > i) if self.alone else (self.block != self.left)))
+        others = others[np.argmax(self.first[others] == self.first[i], axis=1) == self.table] if len(others) else others
+        others = others[(self.second[others] == self.second[i]).any(axis=1)] if len(others) else others
+        return others[np.count_nonzero(self.marks[others] == self.marks[i], axis=1) >= self.least] if len(others) else others
+
+
+def _between(labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, tables: int) -> DataFrame:
+    """Links between nodes of different components, enough to join all components that links join.
+
+    Nodes with a first sketch in common make a bucket, where pairs with a second sketch in common are sought; a pair is
+    looked at in the first table that it shares. A bucket of more than ``TILE`` nodes or ``TILE_SHINGLES`` shingles is cut into blocks, each pair of
+    blocks being a tile. A tile first tells which nodes may have a partner, by long signatures; only their full sets are
+    brought to it and compared there, and it gives one link for each two components that it joins. So the rows are as many
+    as the nodes of its buckets, however many pairs a family of near copies has, up to ``TILE`` nodes.
     """
     limit = percent / 100 - DEVIATIONS * math.sqrt(percent / 100 * (1 - percent / 100) / SIGNATURE)
     least = math.floor(SIGNATURE * (limit + (1 - limit) / 256))
-    alive = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).filter("low < high")
-    rows = members.select("key", "table", "node", "label").join(alive.select("key", "size"), "key")
-    blocks = F.ceil(F.col("size") / TILE).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = sets.select("node", F.size("shingles").alias("n")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    slots = placed.join(nodes.select("node", "first"), "node").select("node", "n", "label", F.posexplode("first").alias("table", "sketch"))
+    blocks = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES)).cast("int")
+    alive = slots.groupBy("sketch").agg(F.min("label").alias("low"), F.max("label").alias("high"), blocks.alias("blocks")).filter("low < high")
+    rows = slots.join(alive.select("sketch", "blocks"), "sketch")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "key", "table", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "node", "label"
+        "sketch", "table", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "node", "label"
     )
     short = lambda c: F.transform(c, lambda x: F.shiftright(x, 32).cast("int")).alias(c)
     rows = rows.join(sets.select("node", "signature"), "node").join(nodes.select("node", short("first"), short("second")), "node")
-    dealt = rows.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "node")
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
-    def compared(tile: pa.Table) -> Iterator[pa.RecordBatch]:
-        nodes, labels = tile.column("node").to_pylist(), tile.column("label").to_pylist()
-        block, left = tile.column("block").to_numpy(), tile.column("left")[0].as_py()
-        alone = left == tile.column("right")[0].as_py()
-        numbers = {label: i for i, label in enumerate(dict.fromkeys(labels))}
-        component = np.array([numbers[x] for x in labels])
-        marks = np.frombuffer(b"".join(tile.column("signature").to_pylist()), np.uint8).reshape(len(nodes), SIGNATURE)
-        first, second = (tile.column(c).combine_chunks().flatten().to_numpy().reshape(len(nodes), tables) for c in ("first", "second"))
-        table = tile.column("table")[0].as_py()
-        a, b = [], []
-        for i in range(len(nodes)):
-            if not alone and block[i] != left:
+    def hopeful(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        tile = _Tile(rows, tables, least)
+        chosen = np.zeros(len(tile.nodes), bool)
+        for i in range(len(tile.nodes)):
+            near = tile.partners(i)
+            chosen[near] = True
+            chosen[i] |= len(near) > 0
+        if chosen.any():
+            yield from rows.filter(pa.array(chosen)).combine_chunks().to_batches()
+
+    def linked(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        tile = _Tile(rows, tables, least)
+        column = rows.column("shingles").combine_chunks()
+        sizes = np.diff(column.offsets.to_numpy())
+        starts = np.cumsum(sizes) - sizes
+        distinct, numbers = np.unique(column.flatten().to_numpy(), return_inverse=True)
+        inside, a, b = np.zeros(len(distinct), np.int32), [], []
+        for i in range(len(tile.nodes)):
+            near = tile.partners(i)
+            if not len(near):
                 continue
-            others = np.flatnonzero((component != component[i]) & ((np.arange(len(nodes)) > i) if alone else (block != left)))
-            close = others[np.count_nonzero(marks[others] == marks[i], axis=1) >= least] if len(others) else others
-            own = np.argmax(first[close] == first[i], axis=1) * tables + np.argmax(second[close] == second[i], axis=1)
-            for j in close[own == table].tolist():
-                a.append(min(nodes[i], nodes[j]))
-                b.append(max(nodes[i], nodes[j]))
+            mine = numbers[starts[i] : starts[i] + sizes[i]]
+            inside[mine] = 1
+            common = np.add.reduceat(inside[numbers], starts)[near].astype(np.int64)
+            inside[mine] = 0
+            for j in near[common * 100 >= (sizes[near] + sizes[i] - common) * percent].tolist():
+                if tile.component[i] != tile.component[j]:
+                    tile.component[tile.component == tile.component[j]] = tile.component[i]
+                    a.append(min(tile.nodes[i], tile.nodes[j]))
+                    b.append(max(tile.nodes[i], tile.nodes[j]))
         if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([held, rows]).combine_chunks() if held is not None else rows
-            tiles = np.stack([rows.column(c).to_numpy() for c in ("key", "left", "right")], axis=1)
-            cuts = np.flatnonzero((tiles[1:] != tiles[:-1]).any(axis=1)) + 1
-            start = 0
-            for stop in cuts.tolist():
-                yield from compared(rows.slice(start, stop - start))
-                start = stop
-            held = rows.slice(start)
-        if held is not None and held.num_rows:
-            yield from compared(held)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    return dealt.mapInArrow(pairs, "a binary, b binary").distinct()
+    fields = "sketch long, table int, left int, right int, block int, node binary, label binary, signature binary, first array<int>, second array<int>"
+    order = ["sketch", "table", "left", "right", "block", "node", "label", "signature", "first", "second"]
+    some = written(_tiles(rows.select(*order), hopeful, fields), "hopeful")
+    return _tiles(some.join(sets.select("node", "shingles"), "node").select(*order, "shingles"), linked, "a binary, b binary")
 
 
 def _labels(docs: DataFrame, drawn: DataFrame, words: int, percent: int, tables: int, key: str, text: str) -> DataFrame | None:
@@ -200,8 +248,7 @@ def _labels(docs: DataFrame, drawn: DataFrame, words: int, percent: int, tables:
     stars = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     links = written(confirmed(stars, sets, percent), "links")
     labels = components(links)
-    placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    more = written(confirmed(_apart(placed, nodes, sets, percent, tables), sets, percent), "links")
+    more = written(_between(labels, nodes, sets, percent, tables), "links")
     if more.isEmpty():
         return labels
     # Links between components join whole components.

@@ -1,4 +1,4 @@
-"""SQL of the conversation and vector operators."""
+"""SQL of near-duplicates and of the conversation and vector operators."""
 
 from __future__ import annotations
 
@@ -114,3 +114,22 @@ SEARCH = """
             FROM v q JOIN v x ON q.vec_id % 20 = 0 AND x.vec_id <> q.vec_id)
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20"""
+
+NEAR_DUPLICATES = r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        sets AS (
+            SELECT DISTINCT doc_id, array_to_string(words[s:s + 2], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS s FROM split WHERE len(words) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+        reached AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+        least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d JOIN least ON a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from candlewick.llm import (
     chat, decontamination, exact_dedup, near_dedup, packing, prefix_trie, quality, repair, search, sharding, token_files, tokens, warc,
 )
-from candlewick.llm.oracles import PREFIX_TRIE, REPAIR, SEARCH
+from candlewick.llm.oracles import NEAR_DUPLICATES, PREFIX_TRIE, REPAIR, SEARCH
 from candlewick.llm.tables import ship_package, table
 from candlewick.sinks.workspace import new_folder
 
@@ -157,6 +157,7 @@ ORACLES: dict[str, str] = {
         SELECT split.id AS doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
             sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM split LEFT JOIN hit ON hit.id = split.id LEFT JOIN named ON named.id = split.id WHERE kind = 'd'""",
+    "op5_near_dedup": NEAR_DUPLICATES,
     "op11_prefix_trie": PREFIX_TRIE,
     "op12_repair": REPAIR,
     "op13_search": SEARCH,

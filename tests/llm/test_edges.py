@@ -517,3 +517,29 @@ def test_contamination(spark, docs, none, repeated):
     assert kept.columns == docs.columns and {1, 5, 6}.isdisjoint(r.doc_id for r in kept.collect())
     with pytest.raises(ValueError, match="bytes"):
         decontamination.windows_of(bench, most_bytes=10)
+
+
+def test_a_large_family_around_the_threshold(spark):
+    """Texts of which nearly all pairs come close to the threshold and few reach it: no link is lost, equal to all pairs."""
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(5000)}" for _ in range(220)]
+    texts = []
+    for i in range(2000):
+        body = list(base)
+        for _ in range(rng.choice([2, 3, 4])):
+            body[rng.randrange(220)] = f"x{rng.randrange(10**9)}"
+        texts.append((i, " ".join(body)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(8)
+    sets = [shingles.shingles_of(t, 3) for _, t in texts]
+    sizes = np.array([len(s) for s in sets])
+    starts, (distinct, numbers) = np.cumsum(sizes) - sizes, np.unique(np.concatenate(sets), return_inverse=True)
+    for percent in (85, 95):  # most pairs link, few do
+        label = np.arange(len(sets))
+        for i in range(len(sets)):
+            inside = np.zeros(len(distinct), np.int64)
+            inside[numbers[starts[i] : starts[i] + sizes[i]]] = 1
+            common = np.add.reduceat(inside[numbers], starts)
+            near = np.flatnonzero(common * 100 >= (sizes + sizes[i] - common) * percent)
+            label[np.isin(label, label[near])] = label[near].min()
+        found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, 3, percent).collect()}
+        assert found == dict(enumerate(label.tolist()))
