@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.functions.time import as_of_column
+from candlewick.functions.time import as_of_column, utc_date
 from candlewick.operators.quality_rules import Rule
 from candlewick.schemas import TABLES
 
@@ -72,6 +72,66 @@ def measure(df: DataFrame, rule: Rule, by: Sequence[str] = ()) -> DataFrame:
     return _beside_limits(found, rule, set(df.columns), by)
 
 
+def partial_measures(df: DataFrame, rule: Rule, moment: str | None) -> DataFrame:
+    """What a rule observes on each UTC date of ``moment`` (one null date without it), in rows that fold over dates.
+
+    ``measured_date``, ``measure``, ``total``, ``low``, ``high``, ``newest``: totals add up, ranges and times widen. Key
+    counts add up over dates where the key tells the date; where it does not, ``date_keys`` give the residual.
+    """
+    day = utc_date(moment) if moment else F.lit(None).cast("date")
+    dated, by = df.withColumn("_date", day), ("_date",)
+    found = metrics(dated, rule, by)
+    if rule.keys and not missing_columns(df, rule.keys):
+        rows = dated.where(rule.duplicates_where) if rule.duplicates_where else dated
+        copies = rows.groupBy("_date", *rule.keys).agg(F.count(F.lit(1)).alias("copies"))
+        counted = copies.groupBy("_date").agg(F.sum("copies").alias("key_rows"), F.count(F.lit(1)).alias("key_groups"))
+        both = found.unionByName(counted, allowMissingColumns=True)
+        found = both.groupBy("_date").agg(*[F.max(c).alias(c) for c in both.columns if c != "_date"])
+    return found.selectExpr("_date AS measured_date", f"inline({_stacked(found.columns, rule)})").where(
+        "total IS NOT NULL OR low IS NOT NULL OR high IS NOT NULL"
+    )
+
+
+def _stacked(columns: Sequence[str], rule: Rule) -> str:
+    """SQL of an array with one struct for each measure of a date."""
+    rows = [("rows", "row_count", "NULL", "NULL", "newest" if "newest" in columns else "NULL")]
+    rows += [(c, f"`{c}`", "NULL", "NULL", "NULL") for c in columns if c.startswith("null__") or c in ("key_rows", "key_groups")]
+    rows += [(f"range__{c}", "NULL", f"`low__{c}`", f"`high__{c}`", "NULL") for c in rule.bounded if f"low__{c}" in columns]
+    structs = [
+        f"named_struct('measure', {_text(name)}, 'total', CAST({total} AS bigint), 'low', CAST({low} AS double), "
+        f"'high', CAST({high} AS double), 'newest', CAST({newest} AS timestamp))"
+        for name, total, low, high, newest in rows
+    ]
+    return f"array({', '.join(structs)})"
+
+
+def date_keys(df: DataFrame, rule: Rule, moment: str | None) -> DataFrame:
+    """The distinct keys of each date as ``one`` and ``two``, 128 bits that stand for a key."""
+    rows = df.where(rule.duplicates_where) if rule.duplicates_where else df
+    # Hashes pass over nulls, so a null is told apart by its flag.
+    parts = [p for c in rule.keys for p in (F.col(c).isNull(), F.col(c))]
+    at = F.col(moment) if moment else F.lit(None).cast("timestamp")
+    marks = rows.select(F.date_trunc("day", at).alias("measured_at"), F.xxhash64(*parts).alias("one"), F.xxhash64(F.lit(1), *parts).alias("two"))
+    return marks.distinct()
+
+
+def fold_measures(parts: DataFrame, rule: Rule, keys: DataFrame | None = None) -> DataFrame:
+    """``measure`` of the whole dataset from its dates' measures; ``keys`` holds the dates' keys where these may recur."""
+    table = TABLES[rule.table]
+    total = lambda name: f"sum(total) FILTER (WHERE measure = '{name}')"
+    exprs = [f"coalesce({total('rows')}, 0L) AS row_count", "max(newest) AS newest", f"{total('key_rows')} AS key_rows", f"{total('key_groups')} AS key_groups"]
+    exprs += [f"coalesce({total(f'null__{c}')}, 0L) AS null__{c}" for c in rule.null_ratios if c in table.columns]
+    for c in (c for c in rule.bounded if c in table.columns):
+        exprs += [f"{f}({end}) FILTER (WHERE measure = 'range__{c}') AS {end}__{c}" for f, end in (("min", "low"), ("max", "high"))]
+    found = parts.agg(*[F.expr(e) for e in exprs])
+    if keys is not None:
+        distinct = keys.select("one", "two").distinct().agg(F.count(F.lit(1)).alias("key_groups"))
+        both = found.drop("key_groups").unionByName(distinct, allowMissingColumns=True)
+        found = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    found = found.withColumn("duplicate_count", F.col("key_rows") - F.col("key_groups"))
+    return _beside_limits(found, rule, set(table.columns))
+
+
 def _beside_limits(
     found: DataFrame, rule: Rule, present: set[str], by: Sequence[str] = (), error: str | None = None
 ) -> DataFrame:
@@ -233,14 +293,23 @@ def check_datasets(
     as_of: datetime | Column | None = None,
 ) -> DataFrame:
     """All verdicts of a run as one DataFrame. A dataset that failed to open is given by its error."""
-    measured = []
+    found = {rule.dataset: datasets[rule.dataset] for rule in rules if rule.dataset in datasets}
+    measured = {r.dataset: measure(df, r) if isinstance(df := found[r.dataset], DataFrame) else df for r in rules if r.dataset in found}
+    return judge_datasets(spark, measured, rules, as_of)
+
+
+def judge_datasets(
+    spark: SparkSession,
+    measured: dict[str, DataFrame | Exception],
+    rules: Sequence[Rule],
+    as_of: datetime | Column | None = None,
+) -> DataFrame:
+    """The verdicts over measurements, or over errors in their place, in the order of the rules."""
+    rows = []
     for rule in rules:
-        found = datasets.get(rule.dataset, LookupError("dataset not found"))
-        if isinstance(found, DataFrame):
-            measured.append(measure(found, rule))
-        else:
-            measured.append(unreadable_dataset(spark, rule, str(found)))
-    return judge(reduce(DataFrame.union, measured), as_of)
+        found = measured.get(rule.dataset, LookupError("dataset not found"))
+        rows.append(found if isinstance(found, DataFrame) else unreadable_dataset(spark, rule, str(found)))
+    return judge(reduce(DataFrame.union, rows), as_of)
 
 
 def audit_rows(

@@ -69,8 +69,12 @@ def project_klines(bronze: DataFrame) -> DataFrame:
 
 def silver_trades(bronze: DataFrame) -> DataFrame:
     """Typed trades, one per (symbol, trade_id), the newest delivery winning."""
+    return newest_trades(project_trades(bronze))
+
+
+def newest_trades(typed: DataFrame) -> DataFrame:
     # The numeric key first: its sort prefix settles nearly every comparison.
-    return newest_per_key(project_trades(bronze), ("trade_id", "symbol"), NEWEST)
+    return newest_per_key(typed, ("trade_id", "symbol"), NEWEST)
 
 
 def silver_klines(bronze: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,14 +12,17 @@ from pyspark.sql import functions as F
 from candlewick.functions.time import utc_date
 from candlewick.operators.filters import after_watermark, watermark_bound
 from candlewick.operators.gold import (
-    TOP_MOVERS, WINDOW_SIZE, latest_price, minute_of, rolling_volatility, top_movers, volume_1m,
+    TOP_MOVERS, WINDOW_SIZE, latest_price, merge_ends, minute_of, moves_of_ends, rank_movers, rolling_volatility, series_ends,
+    volume_1m,
 )
+from candlewick.plans import ledger
+from candlewick.plans.silver_build import consumes_by_ledger
 from candlewick.plans.state import OVERLAP_SECONDS, WATERMARK, State, batch_extent, last_watermarks, save_state
 from candlewick.sinks.lake import Store
 from candlewick.sinks.workspace import new_folder
 
 PIPELINE = "build_gold_metrics"
-TRADES, KLINES = "silver.trades", "silver.klines_1m"
+TRADES, KLINES, ENDS = "silver.trades", "silver.klines_1m", "gold.series_ends"
 # Candles of several widths are series of their own.
 SERIES = ("symbol", "interval")
 # Days before the earliest change that are searched for lead-in candles first.
@@ -148,6 +153,33 @@ def written(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def stale_prices(prices: DataFrame, trades: DataFrame, dates: Sequence[date]) -> DataFrame:
+    """``symbol`` and ``trade_time`` of stored prices at ``dates`` whose trade is no longer there in ``trades`` of these dates."""
+    here = prices.where(utc_date("trade_time").isin(list(dates))).select("symbol", "trade_time")
+    return here.join(trades.select("symbol", "trade_time"), ["symbol", "trade_time"], "left_anti")
+
+
+@dataclass
+class _Changes:
+    """What a source has for gold: changed rows, how many, its watermark after them, and how it was found."""
+
+    rows: DataFrame
+    count: int
+    newest: datetime | None
+    last: datetime | None
+    batch: ledger.Arrivals | None = None
+
+
+def _changes(lake: Store, table: str, last: datetime | None, overlap: int | None) -> _Changes:
+    """By the ledger, all rows of the dates that merges have rewritten; by watermark, rows that arrived after it."""
+    if overlap is None:
+        batch = ledger.arrivals(lake, table, PIPELINE)
+        newest = max((m for m in (batch.newest, last) if m is not None), default=None)
+        return _Changes(batch.rows, batch.row_count, newest, last, batch)
+    rows = after_watermark(lake.read(table, arrived_after=watermark_bound(last, overlap)), WATERMARK, last, overlap)
+    return _Changes(rows, *batch_extent(rows), last)
+
+
 def build_gold(
     lake: Store,
     mode: str = "merge",
@@ -155,59 +187,79 @@ def build_gold(
     window_size: int = WINDOW_SIZE,
     movers: int = TOP_MOVERS,
     updated_at: datetime | None = None,
+    consume: str | None = None,
 ) -> dict[str, str]:
-    """Build the four gold tables; outputs whose source did not change are ``skipped``."""
+    """Build the four gold tables; outputs whose source did not change are ``skipped``. ``consume`` as in ``build_silver``.
+
+    Movers come from the stored ends of each series, merged with the changed candles; candles are not read again for them.
+    """
     incremental = mode == "merge"
+    by_ledger = consumes_by_ledger(lake, consume) and incremental
+    overlap = None if by_ledger else overlap_seconds
     since = last_watermarks(lake, PIPELINE) if incremental else {}
     outcome: dict[str, str] = {}
     states: list[State] = []
+    read: list[ledger.Arrivals] = []
 
     def write(table: str, rows: DataFrame) -> None:
         outcome[table] = lake.upsert(table, rows) if incremental else lake.overwrite(table, rows)
 
-    def advance(source: str, newest: datetime, targets: list[str]) -> None:
+    def advance(source: str, changes: _Changes, targets: list[str]) -> None:
         metadata = {"targets": targets, "write_mode": mode}
-        states.append(State(PIPELINE, source.partition(".")[2], "silver", "gold", newest, metadata))
-
-    last = since.get("trades")
-    stored = lake.read(TRADES, arrived_after=watermark_bound(last, overlap_seconds))
-    changed = after_watermark(stored, WATERMARK, last, overlap_seconds)
-    rows, newest = batch_extent(changed)
-    if rows and newest is not None:
-        moved = after_watermark(lake.moved(TRADES, watermark_bound(last, overlap_seconds)), WATERMARK, last, overlap_seconds)
+        states.append(State(PIPELINE, source.partition(".")[2], "silver", "gold", changes.newest, metadata))
+        if changes.batch:
+            read.append(changes.batch)
+
+    changes = _changes(lake, TRADES, since.get("trades"), overlap)
+    if changes.count and changes.newest is not None:
         prices = lake.optional("gold.latest_price") if incremental else None
-        write("gold.latest_price", latest_price_update(changed, prices, moved, lake.read(TRADES)))
-        if last is None:
-            write("gold.volume_1m", volume_1m(changed))
-        else:
-            # Days with a trade that came, or that a redelivery took away: one value per partition.
-            touched = changed.select("trade_time").union(moved.select("trade_time"))
-            days = [row[0] for row in touched.select(utc_date("trade_time")).distinct().collect()]
+        days = None
+        if changes.last is not None:
+            days, moved = _touched_days(lake, changes, prices, overlap)
+            write("gold.latest_price", latest_price_update(changes.rows, prices, moved, lake.read(TRADES)))
             outcome["gold.volume_1m"] = lake.replace_dates("gold.volume_1m", volume_1m(lake.read(TRADES, days)), days)
-        advance(TRADES, newest, ["latest_price", "volume_1m"])
+        else:
+            write("gold.latest_price", latest_price_update(changes.rows, prices))
+            write("gold.volume_1m", volume_1m(changes.rows))
+        advance(TRADES, changes, ["latest_price", "volume_1m"])
     else:
         outcome["gold.latest_price"] = outcome["gold.volume_1m"] = "skipped"
 
-    last = since.get("klines_1m")
-    stored = lake.read(KLINES, arrived_after=watermark_bound(last, overlap_seconds))
-    changed = after_watermark(stored, WATERMARK, last, overlap_seconds)
-    rows, newest = batch_extent(changed)
-    if rows and newest is not None:
-        if last is None:
-            write("gold.volatility_5m", rolling_volatility(changed, window_size, by=SERIES))
+    changes = _changes(lake, KLINES, since.get("klines_1m"), overlap)
+    if changes.count and changes.newest is not None:
+        if changes.last is None:
+            write("gold.volatility_5m", rolling_volatility(changes.rows, window_size, by=SERIES))
         else:
-            write("gold.volatility_5m", changed_volatility(lake, changed, window_size))
+            write("gold.volatility_5m", changed_volatility(lake, changes.rows, window_size))
+        ends = lake.optional(ENDS) if incremental and changes.last is not None else None
+        if ends is not None:
+            lake.upsert(ENDS, merge_ends(ends, series_ends(changes.rows)))
+        else:
+            lake.overwrite(ENDS, series_ends(changes.rows if changes.last is None else lake.read(KLINES)))
         # The ranking is global: it replaces the table, which drops symbols that fell out.
-        ranking = top_movers(lake.read(KLINES), movers)
+        ranking = rank_movers(moves_of_ends(lake.read(ENDS)), movers)
         outcome["gold.top_movers"] = (
             lake.upsert("gold.top_movers", ranking, delete_unmatched=True)
             if incremental
             else lake.overwrite("gold.top_movers", ranking)
         )
-        advance(KLINES, newest, ["volatility_5m", "top_movers"])
+        advance(KLINES, changes, ["volatility_5m", "top_movers"])
     else:
         outcome["gold.volatility_5m"] = outcome["gold.top_movers"] = "skipped"
 
+    if read:
+        ledger.consume(lake, PIPELINE, read, updated_at)
     if incremental:
         outcome["audit.processing_state"] = save_state(lake, states, updated_at)
     return outcome
+
+
+def _touched_days(lake: Store, changes: _Changes, prices: DataFrame | None, overlap: int | None) -> tuple[list[date], DataFrame | None]:
+    """Days with a trade that came or that a redelivery took away, and stored prices that no longer hold."""
+    if changes.batch:
+        days = changes.batch.dates()
+        return days, stale_prices(prices, lake.read(TRADES, days), days) if prices is not None else None
+    bound = watermark_bound(changes.last, overlap)
+    moved = after_watermark(lake.moved(TRADES, bound), WATERMARK, changes.last, overlap)
+    touched = changes.rows.select("trade_time").union(moved.select("trade_time"))
+    return [row[0] for row in touched.select(utc_date("trade_time")).distinct().collect()], moved

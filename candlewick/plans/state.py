@@ -61,7 +61,7 @@ def load_state(lake: Store, pipeline: str | None = None) -> DataFrame:
 def last_watermarks(lake: Store, pipeline: str) -> dict[str, datetime | None]:
     """Dataset -> watermark: one row per source of the pipeline, read to bound the next scan."""
     rows = load_state(lake, pipeline).select("dataset_name", F.unix_micros("last_processed_at")).collect()
-    return {name: _from_micros(micros) for name, micros in rows}
+    return {name: from_micros(micros) for name, micros in rows}
 
 
 def save_state(lake: Store, states: Sequence[State], updated_at: datetime | None = None) -> str:
@@ -73,10 +73,10 @@ def save_state(lake: Store, states: Sequence[State], updated_at: datetime | None
 def batch_extent(df: DataFrame, column: str = WATERMARK) -> tuple[int, datetime | None]:
     """Rows and newest watermark of a batch in one aggregate over a single column."""
     rows, micros = df.agg(F.count(F.lit(1)), F.max(F.unix_micros(F.col(column).cast("timestamp")))).first()
-    return rows, _from_micros(micros)
+    return rows, from_micros(micros)
 
 
-def _from_micros(micros: int | None) -> datetime | None:
+def from_micros(micros: int | None) -> datetime | None:
     if micros is None:
         return None
     seconds, rest = divmod(micros, 1_000_000)

@@ -6,7 +6,7 @@ Each entry names the shared subqueries it needs; ``_with`` puts them in front in
 from __future__ import annotations
 
 from candlewick.operators.quality_rules import RULE_OF, Rule
-from candlewick.registry.served import SERVED
+from candlewick.registry.served import DASHBOARD, DOUBLES, SECTIONS, SERVED, TIMES
 from candlewick.schemas import SERVING_DATASETS, TABLES
 
 AS_OF = "TIMESTAMP '2024-01-30 18:00:00'"
@@ -370,6 +370,36 @@ def _served(dataset: str, relation: str) -> str:
     return f"SELECT '{dataset}' AS dataset_name, {quoted(keys)} AS key, {quoted(values)} AS row FROM {relation}"
 
 
+def _section(name: str, columns: str, relation: str) -> str:
+    """Rows of a report section as text, as the query shows them."""
+
+    def shown(column: str) -> str:
+        quoted = f'"{column}"'
+        form = f"epoch_us({quoted})" if column in TIMES else f"CAST(round({quoted} * 1000000) AS BIGINT)" if column in DOUBLES else quoted
+        return f"coalesce(CAST({form} AS VARCHAR), '-')"
+
+    return f"SELECT '{name}' AS section, {' || '.join(shown(c) if i == 0 else f"'|' || {shown(c)}" for i, c in enumerate(columns.split()))} AS row FROM ({relation})"
+
+
+def _kpis(shown: str = "latest") -> str:
+    return f"""SELECT (SELECT count(*) FROM overview) AS available_dataset_count,
+                (SELECT max(age_minutes) FROM overview) AS worst_dataset_age_minutes,
+                (SELECT dataset_name FROM overview ORDER BY latest_timestamp DESC, dataset_name DESC LIMIT 1)
+                    AS freshest_dataset,
+                (SELECT count(DISTINCT symbol) FROM {shown}) AS latest_price_symbol_count,
+                (SELECT max(trade_time) FROM {shown}) AS latest_trade_time,
+                (SELECT count(*) FROM last_run WHERE NOT passed) AS failed_quality_dataset_count,
+                (SELECT count(*) FROM state WHERE (epoch({ARRIVED}) - epoch(updated_at)) / 60.0 > 20)
+                    AS stale_watermark_count"""
+
+
+_RUNS = """SELECT audit_run_id, checked_at, environment, job_name, task_name, CAST(count(*) AS INTEGER) AS dataset_count,
+    CAST(count(*) FILTER (NOT passed) AS INTEGER) AS failed_dataset_count,
+    CAST(sum(violation_count) AS INTEGER) AS violation_count FROM audit GROUP BY ALL"""
+_STATE_AGE = f"SELECT *, round((epoch({ARRIVED}) - floor(epoch(updated_at))) / 60.0, 2) AS staleness_minutes FROM state"
+_CHOSEN = "symbol IN ('VIEW-1', 'PURCHASE-3', 'ERROR-7')"
+
+
 def oracle_sql() -> dict[str, str]:
     history = f"""SELECT 'binance_history' AS source, 'kline_history' AS event_type, {KLINE_TEXT}, true AS is_closed,
         close_time AS event_time, {ARRIVED} AS ingested_at FROM candles"""
@@ -407,10 +437,17 @@ def oracle_sql() -> dict[str, str]:
         "audit_quality_check_runs": ("last_run", "latest_audit_run"),
         "audit_processing_state": ("state", "full_state"),
     }
-    report = {
-        "freshness": "overview", "latest_prices": "latest", "volume": "volume", "volatility": "volatility",
-        "top_movers": "movers", "quality_runs": "(SELECT DISTINCT audit_run_id FROM audit)",
-        "quality_status": "last_run", "processing_state": "state",
+    common = {"freshness": "SELECT * FROM overview", "quality_status": "SELECT * FROM last_run", "processing_state": _STATE_AGE, "quality_runs": _RUNS}
+    report = common | {
+        "latest_prices": "SELECT * FROM latest", "volume": "SELECT * FROM volume", "volatility": "SELECT * FROM volatility",
+        "top_movers": "SELECT * FROM movers",
+    }
+    newest_windows = f"SELECT * FROM volatility WHERE {_CHOSEN} QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC, window_start DESC) = 1"
+    board = common | {
+        "kpis": _kpis(f"(SELECT * FROM latest WHERE {_CHOSEN})"), "latest_prices": f"SELECT * FROM latest WHERE {_CHOSEN}",
+        "volume_trend": f"SELECT * FROM volume WHERE {_CHOSEN} AND window_start >= {ARRIVED} - INTERVAL 72 HOUR",
+        "latest_volatility": f"SELECT * FROM ({newest_windows}) ORDER BY volatility_5m DESC NULLS LAST, symbol LIMIT 5",
+        "top_movers": f"SELECT * FROM movers WHERE {_CHOSEN} ORDER BY abs(move_pct) DESC, symbol LIMIT 5",
     }
     gated = {
         "bronze_trades_live_raw": "bronze", "bronze_klines_history_raw": "candles",
@@ -617,6 +654,10 @@ def oracle_sql() -> dict[str, str]:
             "movers volatility volume latest live_candles",
             f"SELECT {VERDICT}, array_to_string(said, chr(10)) AS violations FROM ({verdicts})",
         ),
+        "dq_run_incremental": _with(
+            "movers volatility volume latest live_candles",
+            f"SELECT {VERDICT}, array_to_string(said, chr(10)) AS violations FROM ({verdicts})",
+        ),
         "quality_audit_rows": _with("audit", f"SELECT {AUDIT} FROM audit"),
         "dq_gate": _with("silver_candles silver bronze live_candles", gate),
         # reports
@@ -633,13 +674,7 @@ def oracle_sql() -> dict[str, str]:
                PARTITION BY symbol ORDER BY window_end DESC, window_start DESC) AS place FROM volatility) WHERE place = 1""",
         ),
         "top_movers_report": _with("moves", "SELECT * FROM moves ORDER BY abs(move_pct) DESC, symbol LIMIT 5"),
-        "quality_recent_runs": _with(
-            "audit",
-            """SELECT audit_run_id, checked_at, environment, job_name, task_name,
-               CAST(count(*) AS INTEGER) AS dataset_count,
-               CAST(count(*) FILTER (NOT passed) AS INTEGER) AS failed_dataset_count,
-               CAST(sum(violation_count) AS INTEGER) AS violation_count FROM audit GROUP BY ALL""",
-        ),
+        "quality_recent_runs": _with("audit", _RUNS),
         "quality_dataset_health": _with(
             "audit",
             """SELECT dataset_name, layer, max(checked_at) AS latest_checked_at, CAST(count(*) AS INTEGER) AS run_count,
@@ -675,22 +710,9 @@ def oracle_sql() -> dict[str, str]:
                 FROM state""",
         ),
         "freshness_overview": _with("overview", "SELECT * FROM overview"),
-        "dashboard_kpis": _with(
-            "overview",
-            f"""SELECT (SELECT count(*) FROM overview) AS available_dataset_count,
-                (SELECT max(age_minutes) FROM overview) AS worst_dataset_age_minutes,
-                (SELECT dataset_name FROM overview ORDER BY latest_timestamp DESC, dataset_name DESC LIMIT 1)
-                    AS freshest_dataset,
-                (SELECT count(DISTINCT symbol) FROM latest) AS latest_price_symbol_count,
-                (SELECT max(trade_time) FROM latest) AS latest_trade_time,
-                (SELECT count(*) FROM last_run WHERE NOT passed) AS failed_quality_dataset_count,
-                (SELECT count(*) FROM state WHERE (epoch({ARRIVED}) - epoch(updated_at)) / 60.0 > 20)
-                    AS stale_watermark_count""",
-        ),
-        "observability_report": _with(
-            "overview",
-            " UNION ALL ".join(f"SELECT count(*) AS row_count, '{n}' AS section FROM {r}" for n, r in report.items()),
-        ),
+        "dashboard_kpis": _with("overview", _kpis()),
+        "observability_report": _with("overview", " UNION ALL ".join(_section(n, SECTIONS[n], r) for n, r in report.items())),
+        "dashboard_datasets": _with("overview", " UNION ALL ".join(_section(n, DASHBOARD[n], r) for n, r in board.items())),
         # state
         "load_state": _with("silver_candles", _silver_state(AS_OF)),
         "state_rows": _with(
@@ -741,13 +763,24 @@ def oracle_sql() -> dict[str, str]:
         # streams
         "stream_ingest": _with(
             "parsed live_candles messages",
-            f"""SELECT 'trades' AS dataset_name, symbol || '|' || trade_id AS key,
-                    price || '|' || quantity || '|' || epoch_us(trade_time) || '|' || is_market_maker AS row FROM ({PARSED_TRADE})
+            f"""SELECT 'trades' AS dataset_name, symbol || '|' || trade_id AS key, source || '|' || event_type || '|' || price || '|' || quantity
+                    || '|' || epoch_us(trade_time) || '|' || epoch_us(event_time) || '|' || is_market_maker AS row FROM ({PARSED_TRADE})
                 UNION ALL SELECT 'klines', symbol || '|' || "interval" || '|' || epoch_us(open_time),
-                    "close" || '|' || trade_count || '|' || is_closed FROM (SELECT {KLINE_TEXT}, is_closed FROM live_candles)
+                    'binance_live|kline|' || epoch_us(close_time) || '|' || "open" || '|' || high || '|' || low || '|' || "close" || '|' || volume
+                    || '|' || trade_count || '|' || is_closed || '|' || epoch_us(event_time)
+                FROM (SELECT {KLINE_TEXT}, is_closed, event_time FROM live_candles)
                 UNION ALL SELECT 'quarantine', raw_payload, 'unsupported payload' FROM messages WHERE broken""",
         ),
         "stream_silver": _with("silver", "SELECT * FROM silver"),
+        "stream_volume_updates": _with("volume", "SELECT * FROM volume"),
+        "stream_late_trades": _with(
+            "trades",
+            """SELECT count(*) AS trade_rows, count(*) FILTER (trade_time <= bound - INTERVAL 2 MINUTE) AS late_rows
+            FROM (
+                SELECT trade_time, max(trade_time) OVER (ORDER BY landing RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS bound
+                FROM (SELECT trade_time, CAST(trade_time >= TIMESTAMP '2024-01-11' AS INTEGER) + CAST(trade_time >= TIMESTAMP '2024-01-21' AS INTEGER)
+                             + CAST(split_part(symbol, '-', 1) IN ('CLICK', 'ERROR') AS INTEGER) AS landing FROM trades))""",
+        ),
         "stream_volume_1m": _with(
             "volume",
             """SELECT * FROM volume

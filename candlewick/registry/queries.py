@@ -16,14 +16,14 @@ from candlewick.operators.quality_rules import RULE_OF, RULES
 from candlewick.plans import backfill, gold_build, quality_run, serving, silver_build, state
 from candlewick.plans.observability import dashboard, observability_report
 from candlewick.registry.audit_history import audit_history
-from candlewick.registry.served import SERVED
+from candlewick.registry.served import DASHBOARD, SECTIONS, SERVED
 from candlewick.schemas import SERVING_DATASETS
 from candlewick.sinks.lake import Lake
 from candlewick.sinks.workspace import new_folder
 from candlewick.sources import datasets, history, live
 from candlewick.streaming.ingest import message_stream, stream_ingest
 from candlewick.streaming.silver import stream_silver
-from candlewick.streaming.volume import stream_volume_1m
+from candlewick.streaming.volume import late_trades, stream_volume_1m, stream_volume_updates
 
 AS_OF = datetime(2024, 1, 30, 18, tzinfo=timezone.utc)
 ARRIVED = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -380,7 +380,12 @@ def _silver_lake(spark: SparkSession, sf_dir: str, until: datetime | None = None
     return lake
 
 
-def _load_bronze(lake: Lake, sf_dir: str, since: datetime | None, until: datetime | None) -> None:
+#: What arrives late, with old arrival times: all deliveries of some kinds of events, and the candles of their symbols.
+LATE = ("CLICK", "ERROR")
+
+
+def _load_bronze(lake: Lake, sf_dir: str, since: datetime | None, until: datetime | None, late: bool | None = None) -> None:
+    """Bronze rows that arrived in a span of time; ``late`` takes only the rows that land late, or only the others."""
     sources = {
         "bronze.trades_live_raw": feeds.bronze_trades,
         "bronze.klines_history_raw": feeds.bronze_history,
@@ -392,14 +397,20 @@ def _load_bronze(lake: Lake, sf_dir: str, since: datetime | None, until: datetim
             rows = rows.where(F.col("ingested_at") >= F.lit(since))
         if until is not None:
             rows = rows.where(F.col("ingested_at") < F.lit(until))
+        if late is not None:
+            rows = rows.where(F.split_part("symbol", F.lit("-"), F.lit(1)).isin(*LATE) == F.lit(late))
         lake.append(table, rows)
 
 
 def _two_batches(spark: SparkSession, sf_dir: str, with_gold: bool = True) -> Lake:
-    """Bronze arrives in two batches; silver and gold are built after each."""
-    lake = _silver_lake(spark, sf_dir, HALFWAY)
+    """Bronze lands in two batches; silver and gold are built after each. The second also brings rows of the first half
+    whose arrival times are far older than the watermark."""
+    lake = _lake(spark, "silver")
+    _load_bronze(lake, sf_dir, None, HALFWAY, late=False)
+    silver_build.build_silver(lake, updated_at=AS_OF)
     if with_gold:
         gold_build.build_gold(lake, updated_at=AS_OF)
+    _load_bronze(lake, sf_dir, None, HALFWAY, late=True)
     _load_bronze(lake, sf_dir, HALFWAY, None)
     silver_build.build_silver(lake, updated_at=ARRIVED)
     if with_gold:
@@ -471,10 +482,14 @@ def volatility_incremental(spark, sf_dir):
 
 @query
 def top_movers_incremental(spark, sf_dir):
+    """Movers of the stored ends of each series, merged with those of the changed candles."""
     klines = feeds.candles(spark, sf_dir)
     lake = _lake(spark, "movers")
-    lake.upsert("gold.top_movers", gold.top_movers(_before(klines)))
-    lake.upsert("gold.top_movers", gold.top_movers(klines), delete_unmatched=True)
+    lake.upsert("gold.series_ends", gold.series_ends(_before(klines)))
+    lake.upsert("gold.top_movers", gold.rank_movers(gold.moves_of_ends(lake.read("gold.series_ends"))))
+    changed = gold.series_ends(_changed(klines))
+    lake.upsert("gold.series_ends", gold.merge_ends(lake.read("gold.series_ends"), changed))
+    lake.upsert("gold.top_movers", gold.rank_movers(gold.moves_of_ends(lake.read("gold.series_ends"))), delete_unmatched=True)
     return lake.read("gold.top_movers")
 
 
@@ -649,6 +664,21 @@ def dq_run(spark, sf_dir):
     return verdicts.select(*VERDICT, F.array_join("violations", "\n").alias("violations"))
 
 
+@query
+def dq_run_incremental(spark, sf_dir):
+    """The second of two runs over stored tables: it reads the dates that came between and folds their measures."""
+    lake = _lake(spark, "quality")
+    for number, part in enumerate((_before, lambda df: df.where(F.col("ingested_at") > F.lit(HALFWAY)))):
+        for name, df in _checked(spark, sf_dir).items():
+            table = RULE_OF[name].table
+            if "ingested_at" in df.columns:
+                lake.append(table, part(df))
+            else:
+                lake.overwrite(table, df)
+        run = quality_run.run_quality(lake, f"run-{number}", checked_at=ARRIVED, fail_on_violation=False, incremental=True)
+    return run.select(*VERDICT, F.array_join(F.from_json("violations_json", "array<string>"), "\n").alias("violations"))
+
+
 AUDIT = (
     "audit_run_id", "checked_at", "environment", "job_name", "task_name", "dataset_name", "layer", "table_name",
     "passed", "row_count", "min_row_count", "violation_count", "violations_json", "schema_passed",
@@ -766,15 +796,28 @@ def dashboard_kpis(spark, sf_dir):
     return dashboard(_datasets(spark, sf_dir), as_of=ARRIVED)["kpis"]
 
 
+def _sections(found, columns):
+    """Rows of all sections as one: the section and all its columns, as text."""
+    parts = []
+    for name, df in found.items():
+        kinds, wanted = dict(df.dtypes), columns[name].split()
+        if df.columns != wanted:
+            raise ValueError(f"{name}: {df.columns}")
+        row = F.concat_ws("|", *[_shown(F.col(c), kinds[c]) for c in wanted])
+        parts.append(df.select(F.lit(name).alias("section"), row.alias("row")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def observability_report_query(spark, sf_dir):
-    """Row count and newest timestamp of every section of the report."""
-    sections = observability_report(_datasets(spark, sf_dir), ARRIVED)
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("section", F.lit(n)) for n, df in sections.items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """All rows of every section of the report."""
+    return _sections(observability_report(_datasets(spark, sf_dir), ARRIVED), SECTIONS)
+
+
+@query
+def dashboard_datasets(spark, sf_dir):
+    """All rows of every dataset of the dashboard, for some symbols and three days."""
+    return _sections(dashboard(_datasets(spark, sf_dir), SYMBOLS, hours=72, limit=5, as_of=ARRIVED), DASHBOARD)
 
 
 QUERIES["observability_report"] = QUERIES.pop("observability_report_query")
@@ -912,8 +955,10 @@ def stream_ingest_query(spark, sf_dir):
     writer = stream_ingest(stream, lake, new_folder(spark, "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
     return _contents({
-        "trades": (lake.read("bronze.trades_live_raw"), ["symbol", "trade_id"], ["price", "quantity", "trade_time", "is_market_maker"]),
-        "klines": (lake.read("bronze.klines_live_raw"), ["symbol", "interval", "open_time"], ["close", "trade_count", "is_closed"]),
+        "trades": (lake.read("bronze.trades_live_raw"), ["symbol", "trade_id"], [
+            "source", "event_type", "price", "quantity", "trade_time", "event_time", "is_market_maker"]),
+        "klines": (lake.read("bronze.klines_live_raw"), ["symbol", "interval", "open_time"], [
+            "source", "event_type", "close_time", "open", "high", "low", "close", "volume", "trade_count", "is_closed", "event_time"]),
         "quarantine": (lake.read("bronze.quarantine"), ["raw_payload"], ["reason"]),
     })
 
@@ -955,3 +1000,37 @@ def stream_volume_1m_query(spark, sf_dir):
 
 
 QUERIES["stream_volume_1m"] = QUERIES.pop("stream_volume_1m_query")
+
+
+#: Days on which the stream's slices begin after the first; rows of ``LATE`` kinds land one slice later.
+SLICES = (datetime(2024, 1, 11, tzinfo=timezone.utc), datetime(2024, 1, 21, tzinfo=timezone.utc))
+
+
+def _streamed_volume(spark: SparkSession, sf_dir: str) -> Lake:
+    """All trades land in four slices of time, two kinds one slice late; the stream runs after each."""
+    lake, folder, checkpoint = _lake(spark, "volume"), new_folder(spark, "trades"), new_folder(spark, "checkpoint")
+    trades = feeds.trades(spark, sf_dir)
+    late = F.split_part("symbol", F.lit("-"), F.lit(1)).isin(*LATE)
+    number = sum((F.col("trade_time") >= F.lit(day)).cast("int") for day in SLICES) + late.cast("int")
+    for landing in range(len(SLICES) + 2):
+        trades.where(number == landing).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(trades.schema).parquet(folder)
+        writer = stream_volume_updates(stream, lake, checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return lake
+
+
+@query
+def stream_volume_updates_query(spark, sf_dir):
+    """Totals of all minutes after a stream with late trades."""
+    return _streamed_volume(spark, sf_dir).read("gold.volume_1m")
+
+
+QUERIES["stream_volume_updates"] = QUERIES.pop("stream_volume_updates_query")
+
+
+@query
+def stream_late_trades(spark, sf_dir):
+    """How many of the stream's trades lay behind its watermark."""
+    counts = late_trades(_streamed_volume(spark, sf_dir))
+    return spark.createDataFrame([(counts["rows"], counts["late_rows"])], "trade_rows long, late_rows long")

@@ -1,4 +1,4 @@
-"""The eleven stored tables: columns, merge keys, event timestamp and storage partitioning."""
+"""The stored tables: columns, merge keys, event timestamp and storage partitioning."""
 
 from __future__ import annotations
 
@@ -52,6 +52,19 @@ state_key string, pipeline_name string, dataset_name string, source_layer string
 target_layer string, watermark_column string, last_processed_at timestamp, updated_at timestamp,
 metadata_json string
 """
+# Own tables: what pipelines have consumed, measures and keys by date, and the first and last close of each series.
+_CONSUMED_FILES = """
+pipeline_name string, dataset_name string, file string, row_count bigint, first_date date, last_date date,
+newest_arrival timestamp, consumed_at timestamp
+"""
+_QUALITY_MEASURES = """
+dataset_name string, measured_date date, measure string, total bigint, low double, high double, newest timestamp
+"""
+_QUALITY_KEYS = "dataset_name string, measured_at timestamp, one bigint, two bigint"
+_SERIES_ENDS = """
+symbol string, `interval` string, first_open_time timestamp, first_close double, last_open_time timestamp,
+last_close_time timestamp, last_close double
+"""
 _QUARANTINE = "raw_payload string, payload_kind string, reason string, ingested_at timestamp"
 
 
@@ -123,8 +136,12 @@ TABLES = {
         Table("gold", "volume_1m", _VOLUME_1M, ("symbol", "window_start"), "window_start", "window_start"),
         Table("gold", "volatility_5m", _VOLATILITY_5M, ("symbol", "interval", "window_start"), "window_end", "window_start"),
         Table("gold", "top_movers", _TOP_MOVERS, ("symbol",), "window_end"),
+        Table("gold", "series_ends", _SERIES_ENDS, ("symbol", "interval")),
         Table("audit", "quality_check_runs", _QUALITY_RUNS, ("audit_run_id", "dataset_name"), "checked_at"),
         Table("audit", "processing_state", _PROCESSING_STATE, ("state_key",), "updated_at"),
+        Table("audit", "quality_measures", _QUALITY_MEASURES, ("dataset_name", "measured_date", "measure")),
+        Table("audit", "quality_keys", _QUALITY_KEYS, ("dataset_name", "measured_at", "one", "two"), "measured_at", "measured_at"),
+        Table("audit", "consumed_files", _CONSUMED_FILES, ("pipeline_name", "dataset_name", "file")),
     )
 }
 

@@ -49,7 +49,9 @@ class CatalogTables:
             return table.empty(self.spark)
         rows = self.spark.table(self.path(name))
         if dates is not None and table.dated_by:
-            rows = rows.where(utc_date(table.dated_by).isin(list(dates)))
+            dates, day = list(dates), utc_date(table.dated_by)
+            known = day.isin([d for d in dates if d is not None])
+            rows = rows.where(known | day.isNull() if None in dates else known)
         if from_date is not None and table.dated_by:
             rows = rows.where(F.col(table.dated_by) >= F.lit(from_date).cast("timestamp"))
         if arrived_after is not None and "ingested_at" in table.columns:
@@ -113,13 +115,14 @@ class CatalogTables:
 
     def replace_dates(self, name: str, df: DataFrame, dates: Iterable[object]) -> str:
         """Replace the rows of whole dates."""
-        table, created = TABLES[name], not self.exists(name)
+        table, created, dates = TABLES[name], not self.exists(name), list(dates)
         self._create(name)
         day = utc_date(table.dated_by)
         if self.file_format in ROW_LEVEL_FORMATS:
             table.conform(df).writeTo(self.path(name)).overwrite(day.isin(list(dates)))
         else:
-            kept = self.read(name).where(~F.coalesce(day.isin(list(dates)), F.lit(False)))
+            gone = F.coalesce(day.isin([d for d in dates if d is not None]), F.lit(None in dates))
+            kept = self.read(name).where(~gone)
             self.overwrite(name, kept.unionByName(table.conform(df)))
         return "created" if created else "merged"
 
