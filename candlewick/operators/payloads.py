@@ -197,3 +197,28 @@ def filter_event_type(records: DataFrame, event_type: str) -> DataFrame:
 
 def event_counts(records: DataFrame) -> DataFrame:
     return records.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
+
+
+# JSON types by the head of a variant's schema; what is none of these is a number.
+JSON_TYPES = {"OBJECT": "object", "ARRAY": "list", "STRING": "text", "BOOLEAN": "boolean", "VOID": "null"}
+
+
+def field_drift(raw: DataFrame, column: str = "raw_payload") -> DataFrame:
+    """``event_type``, ``field``, ``json_type`` and ``messages``: how many messages have a field of that type.
+
+    A field that appears, goes or changes its type shows as a row that differs between two spans of messages. Every message
+    is parsed once into a VARIANT; fields of nested objects are named ``outer.inner``, to one level. Messages that are no
+    JSON objects have no fields.
+    """
+    whole, inner = F.try_parse_json(F.col(column)), F.try_variant_get("_whole", "$.data", "variant")
+    is_object = lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    opened = raw.select(whole.alias("_whole")).where(is_object("_whole"))
+    opened = opened.select(F.when(is_object(inner), inner).otherwise(F.col("_whole")).alias("_payload"))
+    fields = lambda v: F.explode(F.col(v).cast("map<string,variant>")).alias("field", "_value")
+    top = opened.select(F.try_variant_get("_payload", "$.e", "string").alias("event_type"), fields("_payload"))
+    nested = top.where(is_object("_value")).select("event_type", F.col("field").alias("_outer"), fields("_value"))
+    nested = nested.select("event_type", F.concat_ws(".", "_outer", "field").alias("field"), "_value")
+    kind = F.lit("number")
+    for head, name in JSON_TYPES.items():
+        kind = F.when(F.schema_of_variant("_value").startswith(head), name).otherwise(kind)
+    return top.unionByName(nested).groupBy("event_type", "field", kind.alias("json_type")).agg(F.count(F.lit(1)).alias("messages"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,22 +26,42 @@ from candlewick.sinks.lake import Store
 LEDGER = "audit.consumed_files"
 
 
+@dataclass(frozen=True)
+class File:
+    """What the ledger keeps of a file; as many of these come to the driver as files changed, which it lists anyway."""
+
+    file: str
+    row_count: int
+    first_date: date | None
+    last_date: date | None
+    newest_arrival: datetime | None
+
+
 @dataclass(frozen=True)
 class Arrivals:
-    """The unread part of a table: its ``rows``, a ledger row for each of its ``files``, and ``gone`` ledger rows."""
+    """The unread part of a table: its ``rows`` and ``files``, and the ledger's files that are ``gone``."""
 
     table: str
     rows: DataFrame
-    files: DataFrame
-    gone: DataFrame
-    row_count: int
-    newest: datetime | None
+    files: list[File]
+    gone: list[File]
+
+    @property
+    def row_count(self) -> int:
+        return sum(f.row_count for f in self.files)
+
+    @property
+    def newest(self) -> datetime | None:
+        return max((f.newest_arrival for f in self.files if f.newest_arrival), default=None)
+
+    @property
+    def changed(self) -> bool:
+        return bool(self.files or self.gone)
 
     def dates(self) -> list[date]:
-        """Dates that hold unread rows or held rows of files that are gone; as many as dates, not files."""
-        both = self.files.select("first_date", "last_date").unionByName(self.gone.select("first_date", "last_date"))
-        days = both.where("first_date IS NOT NULL").select(F.explode(F.sequence("first_date", "last_date")).alias("day"))
-        return sorted(row.day for row in days.distinct().collect())
+        """Dates that hold unread rows or held rows of files that are gone."""
+        spans = {(f.first_date, f.last_date) for f in (*self.files, *self.gone) if f.first_date}
+        return sorted({first + timedelta(days=n) for first, last in spans for n in range((last - first).days + 1)})
 
 
 def holds_files(lake: Store) -> bool:
@@ -51,23 +71,18 @@ def holds_files(lake: Store) -> bool:
 
 def arrivals(lake: Store, table: str, pipeline: str) -> Arrivals:
     """What ``pipeline`` has not consumed of ``table``. Rows of one batch are found together, whatever their times."""
-    spark, known = lake.spark, consumed(lake, pipeline, table)
+    spark = lake.spark
     present = spark.createDataFrame(
-        [(_relative(table, f), f) for f in (lake.read(table).inputFiles() if lake.exists(table) else [])],
-        "file string, location string",
+        [(_relative(table, f), f) for f in (lake.read(table).inputFiles() if lake.exists(table) else [])], "file string, location string"
     )
-    unread = present.join(known.select("file"), "file", "left_anti").persist()
-    gone = known.join(present.select("file"), "file", "left_anti")
-    try:
-        locations = [row.location for row in unread.select("location").collect()]
-    finally:
-        unread.unpersist()
+    known = consumed(lake, pipeline, table).withColumn("held", F.lit(True))
+    differs = present.join(known, "file", "full_outer").where("location IS NULL OR held IS NULL").collect()
+    gone = [File(r.file, r.row_count, r.first_date, r.last_date, None) for r in differs if r.location is None]
+    locations = [r.location for r in differs if r.location is not None]
     if not locations:
-        return Arrivals(table, TABLES[table].empty(spark), TABLES[LEDGER].empty(spark), gone, 0, None)
+        return Arrivals(table, TABLES[table].empty(spark), [], gone)
     rows = spark.read.schema(TABLES[table].ddl).parquet(*locations)
-    files = _measured(table, rows, locations)
-    count, micros = files.agg(F.sum("row_count"), F.max(F.unix_micros("newest_arrival"))).first()
-    return Arrivals(table, rows, files, gone, count or 0, from_micros(micros))
+    return Arrivals(table, rows, _measured(table, rows, locations), gone)
 
 
 def consumed(lake: Store, pipeline: str, table: str) -> DataFrame:
@@ -76,32 +91,32 @@ def consumed(lake: Store, pipeline: str, table: str) -> DataFrame:
 
 def consume(lake: Store, pipeline: str, batches: Sequence[Arrivals], at: datetime | None = None) -> None:
     """Enter the batches' files and strike out those that are gone."""
-    moment = utc(at) or datetime.now(timezone.utc)
+    moment, spark = utc(at) or datetime.now(timezone.utc), lake.spark
     entries = [
-        b.files.withColumns({"pipeline_name": F.lit(pipeline), "dataset_name": F.lit(_short(b.table)), "consumed_at": F.lit(moment)})
-        for b in batches
+        (pipeline, _short(b.table), f.file, f.row_count, f.first_date, f.last_date, f.newest_arrival, moment) for b in batches for f in b.files
     ]
-    gone = [b.gone.select("pipeline_name", "dataset_name", "file") for b in batches]
-    struck = _union(gone)
-    if struck.isEmpty():
-        lake.append(LEDGER, _union(entries).coalesce(1))
-    else:
-        kept = lake.read(LEDGER).join(struck, ["pipeline_name", "dataset_name", "file"], "left_anti")
-        lake.overwrite(LEDGER, _union([kept, *map(TABLES[LEDGER].conform, entries)]).coalesce(1))
-
-
-def _measured(table: str, rows: DataFrame, locations: Sequence[str]) -> DataFrame:
-    """One ledger row per file, by one aggregate over two columns; files without rows are entered, too."""
-    definition, file = TABLES[table], F.col("_metadata.file_path")
+    struck = [(pipeline, _short(b.table), f.file) for b in batches for f in b.gone]
+    rows = spark.createDataFrame(entries, TABLES[LEDGER].ddl).coalesce(1)
+    if struck:
+        gone = spark.createDataFrame(struck, "pipeline_name string, dataset_name string, file string")
+        kept = lake.read(LEDGER).join(gone, ["pipeline_name", "dataset_name", "file"], "left_anti")
+        lake.overwrite(LEDGER, kept.unionByName(rows))
+    elif entries:
+        lake.append(LEDGER, rows)
+
+
+def _measured(table: str, rows: DataFrame, locations: Sequence[str]) -> list[File]:
+    """One aggregate over two columns; files without rows are entered, too."""
+    definition = TABLES[table]
     day = utc_date(definition.dated_by) if definition.dated_by else F.lit(None).cast("date")
     moment = F.col(WATERMARK) if WATERMARK in definition.columns else F.lit(None).cast("timestamp")
     # The part of the path after the table's folder needs no escapes, so both ways of writing a path give the same.
-    seen = rows.select(F.substring_index(file, f"/{definition.name}/", -1).alias("file"), day.alias("day"), moment.alias("moment"))
-    measured = seen.groupBy("file").agg(
-        F.count(F.lit(1)).alias("row_count"), F.min("day").alias("first_date"), F.max("day").alias("last_date"), F.max("moment").alias("newest_arrival")
+    file = F.substring_index(F.col("_metadata.file_path"), f"/{definition.name}/", -1).alias("file")
+    seen = rows.select(file, day.alias("day"), F.unix_micros(moment).alias("moment")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.min("day").alias("first"), F.max("day").alias("last"), F.max("moment").alias("newest")
     )
-    every = rows.sparkSession.createDataFrame([(_relative(table, f),) for f in locations], "file string")
-    return every.join(measured, "file", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)).cast("bigint")).persist()
+    found = {r.file: File(r.file, r.n, r.first, r.last, from_micros(r.newest)) for r in seen.collect()}
+    return [found.get(name, File(name, 0, None, None, None)) for name in (_relative(table, f) for f in locations)]
 
 
 def _relative(table: str, location: str) -> str:
@@ -110,10 +125,3 @@ def _relative(table: str, location: str) -> str:
 
 def _short(table: str) -> str:
     return table.partition(".")[2]
-
-
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result

@@ -76,7 +76,7 @@ def folded_measures(lake: Store, rules: Sequence[Rule] = RULES) -> dict[str, Dat
                 raise LookupError("dataset not found")
             batch = ledger.arrivals(lake, rule.table, PIPELINE)
             batches.append(batch)
-            if not batch.files.isEmpty() or not batch.gone.isEmpty():
+            if batch.changed:
                 renewed.append(_renewed(lake, rule, batch.dates()))
         except (*READ_ERRORS, LookupError) as error:
             found[rule.dataset] = RuntimeError(_message(error)) if not isinstance(error, LookupError) else error
@@ -87,7 +87,7 @@ def folded_measures(lake: Store, rules: Sequence[Rule] = RULES) -> dict[str, Dat
             stored = stored.where(~((F.col("dataset_name") == rule.dataset) & here))
         lake.overwrite(MEASURES, reduce(DataFrame.unionByName, [stored, *(rows for *_, rows in renewed)]).coalesce(1))
     measured = [b for b in batches if b.table.replace(".", "_", 1) not in found]
-    if measured:
+    if any(b.changed for b in measured):
         ledger.consume(lake, PIPELINE, measured)
     for rule in (r for r in rules if r.dataset not in found):
         mine = F.col("dataset_name") == rule.dataset

@@ -533,6 +533,16 @@ def oracle_sql() -> dict[str, str]:
             """SELECT 'trade' AS event_type, count(*) AS event_count FROM messages WHERE NOT broken
                UNION ALL SELECT 'kline', count(*) FROM live_candles""",
         ),
+        "field_drift": _with(
+            "live_candles messages",
+            """SELECT 'trade' AS event_type, field, json_type, (SELECT count(*) FROM messages WHERE NOT broken OR quantity = 51) AS messages
+               FROM (VALUES ('e', 'text'), ('E', 'number'), ('s', 'text'), ('t', 'number'), ('q', 'text'), ('T', 'number'), ('m', 'boolean')) AS f(field, json_type)
+               UNION ALL SELECT 'trade', 'p', 'text', count(*) FROM messages WHERE NOT broken
+               UNION ALL SELECT 'kline', field, json_type, (SELECT count(*) FROM live_candles)
+               FROM (VALUES ('e', 'text'), ('E', 'number'), ('s', 'text'), ('k', 'object'), ('k.t', 'number'), ('k.T', 'number'), ('k.s', 'text'),
+                   ('k.i', 'text'), ('k.o', 'text'), ('k.c', 'text'), ('k.h', 'text'), ('k.l', 'text'), ('k.v', 'text'), ('k.n', 'number'),
+                   ('k.x', 'boolean')) AS f(field, json_type)""",
+        ),
         # silver
         "silver_trades": _with("silver", "SELECT * FROM silver"),
         "silver_klines": _with("silver_candles", f"SELECT {SILVER_KLINE} FROM silver_candles"),

@@ -236,6 +236,11 @@ def event_counts(spark, sf_dir):
     return payloads.event_counts(kinds)
 
 
+@query
+def field_drift(spark, sf_dir):
+    return payloads.field_drift(feeds.messages(spark, sf_dir))
+
+
 # -- silver ---------------------------------------------------------------------------------------
 
 SILVER_TRADE = ("symbol", "trade_id", "price", "quantity", "trade_time", "event_time", "ingested_at", "source", "notional")
@@ -399,7 +404,12 @@ def _load_bronze(lake: Lake, sf_dir: str, since: datetime | None, until: datetim
             rows = rows.where(F.col("ingested_at") < F.lit(until))
         if late is not None:
             rows = rows.where(F.split_part("symbol", F.lit("-"), F.lit(1)).isin(*LATE) == F.lit(late))
-        lake.append(table, rows)
+        lake.append(table, _gathered(rows))
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
+    """Rows of an arrival date together, so that an append makes one file a date and not one a task and date."""
+    return rows.withColumn("_date", F.to_date("ingested_at")).hint("rebalance", F.col("_date")).drop("_date")
 
 
 def _two_batches(spark: SparkSession, sf_dir: str, with_gold: bool = True) -> Lake:
@@ -672,7 +682,7 @@ def dq_run_incremental(spark, sf_dir):
         for name, df in _checked(spark, sf_dir).items():
             table = RULE_OF[name].table
             if "ingested_at" in df.columns:
-                lake.append(table, part(df))
+                lake.append(table, _gathered(part(df)))
             else:
                 lake.overwrite(table, df)
         run = quality_run.run_quality(lake, f"run-{number}", checked_at=ARRIVED, fail_on_violation=False, incremental=True)

@@ -190,3 +190,16 @@ def test_event_counts(spark):
     records = payloads.trades_of(parsed).select("event_type").unionByName(payloads.klines_of(parsed).select("event_type"))
     assert {r.event_type: r.event_count for r in payloads.event_counts(records).collect()} == {"trade": 2, "kline": 3}
     assert payloads.filter_event_type(records, "kline").count() == 3
+
+
+def test_field_drift(spark):
+    lines = [
+        '{"e":"trade","p":"1.5","t":7}', '{"e":"trade","p":1.5,"t":8,"x":null}', '{"stream":"s","data":{"e":"kline","k":{"o":"1","n":[2],"in":{"a":1}}}}',
+        '{"e":"trade","data":"text"}', "[1]", "broken", "", '{"E":5}',
+    ]
+    found = {(r.event_type, r.field, r.json_type): r.messages for r in payloads.field_drift(raw(spark, lines)).collect()}
+    assert found == {
+        ("trade", "e", "text"): 3, ("trade", "p", "text"): 1, ("trade", "p", "number"): 1, ("trade", "t", "number"): 2, ("trade", "x", "null"): 1,
+        ("trade", "data", "text"): 1, ("kline", "e", "text"): 1, ("kline", "k", "object"): 1, ("kline", "k.o", "text"): 1, ("kline", "k.n", "list"): 1,
+        ("kline", "k.in", "object"): 1, (None, "E", "number"): 1,
+    }
