@@ -42,10 +42,12 @@ def total_bytes(docs: DataFrame, text: str = "text") -> int:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once for a context, unless their path has it already."""
+    """Sends this package to the Python workers, once for a context. Workers of a local session that starts where the
+    package lies have it already; those of a cluster may be on other machines, wherever the driver starts."""
     root = Path(__file__).resolve().parents[2]
     found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    if any(p and Path(p).resolve() == root for p in found) or spark.conf.get("spark.candlewick.shipped", None):
+    local = spark.sparkContext.master.partition("[")[0] == "local"
+    if spark.conf.get("spark.candlewick.shipped", None) or local and any(p and Path(p).resolve() == root for p in found):
         return
     with tempfile.TemporaryDirectory() as folder:  # the context copies the archive to its own file server
         archive = shutil.make_archive(f"{folder}/candlewick", "zip", root, "candlewick")
