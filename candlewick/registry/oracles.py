@@ -199,11 +199,17 @@ def _verdict(rule: Rule, relation: str, as_of: str, moment: str | None = None, a
             f"printf('[{name}] observed minimum for {c} %.8f is below allowed {low:.8f}', low_{c}) END"
         )
     both = lambda flags: " AND ".join(flags) or "true"
+    measured = [("null_ratio", c, f"null_{c} / row_count") for c in rule.null_ratios if have(c)]
+    measured += [(f"observed_{end}", c, f"{short}_{c}") for c in rule.bounded if have(c) for end, short in (("min", "low"), ("max", "high"))]
+    measured += [("duplicate_count", "", "coalesce(extra, 0)")] if keys else []
+    if rule.freshness and have(rule.freshness[0]):
+        measured.append(("age_seconds", rule.freshness[0], f"greatest((epoch_us({as_of}) - epoch_us(newest)) / 1000000.0, 0)"))
+    values = ", ".join(f"{{'measure': '{m}', 'column_name': '{c}', 'value': CAST({v} AS DOUBLE)}}" for m, c, v in measured)
     return f"""
         SELECT run_day, '{name}' AS dataset_name, '{name.partition('_')[0]}' AS layer, len(said) = 0 AS passed,
                row_count, CAST({rule.min_rows} AS BIGINT) AS min_row_count, said, {not missing} AS schema_passed,
                {both(nulls)} AS null_checks_passed, {unique} AS duplicate_check_passed,
-               {fresh} AS freshness_check_passed, {both(bounds)} AS bounds_check_passed
+               {fresh} AS freshness_check_passed, {both(bounds)} AS bounds_check_passed, [{values}] AS measured
         FROM (SELECT *, list_filter([{', '.join(said)}], lambda x: x IS NOT NULL) AS said
               FROM (SELECT {day} AS run_day, count(*) AS row_count, {', '.join(sums)}
                     FROM {relation} GROUP BY {day}) m LEFT JOIN ({duplicates}) d USING (run_day))"""
@@ -669,6 +675,11 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {VERDICT}, array_to_string(said, chr(10)) AS violations FROM ({verdicts})",
         ),
         "quality_audit_rows": _with("audit", f"SELECT {AUDIT} FROM audit"),
+        "quality_summaries": _with(
+            "runs",
+            """SELECT 'run-' || strftime(run_day, '%Y%m%d') AS audit_run_id, dataset_name, m.measure, m.column_name, round(m.value, 6) AS value
+               FROM (SELECT run_day, dataset_name, unnest(measured) AS m FROM runs) WHERE m.value IS NOT NULL""",
+        ),
         "dq_gate": _with("silver_candles silver bronze live_candles", gate),
         # reports
         "latest_prices_report": _with(

@@ -704,6 +704,35 @@ def quality_audit_rows(spark, sf_dir):
     return lake.read("audit.quality_check_runs").select(*AUDIT)
 
 
+SUMMARY = """
+    duplicate_check struct<duplicate_count: bigint>, freshness_check struct<column: string, age_seconds: double>,
+    null_checks struct<metrics: map<string, struct<null_ratio: double>>>,
+    bounds_check struct<metrics: map<string, struct<observed_min: double, observed_max: double>>>
+"""
+
+
+@query
+def quality_summaries(spark, sf_dir):
+    """All that the daily runs measured, read back from their JSON summaries."""
+    lake = _lake(spark, "audit")
+    lake.append("audit.quality_check_runs", audit_history(spark, sf_dir))
+    runs = lake.read("audit.quality_check_runs").select("audit_run_id", "dataset_name", F.from_json("summary_json", SUMMARY).alias("s"))
+
+    def values(measure, column, value, rows=runs):
+        return rows.select("audit_run_id", "dataset_name", F.lit(measure).alias("measure"), column.alias("column_name"), value.alias("value"))
+
+    nulls = runs.select("audit_run_id", "dataset_name", F.explode("s.null_checks.metrics").alias("c", "m"))
+    bounds = runs.select("audit_run_id", "dataset_name", F.explode("s.bounds_check.metrics").alias("c", "m"))
+    parts = [
+        values("null_ratio", F.col("c"), F.col("m.null_ratio"), nulls),
+        values("observed_min", F.col("c"), F.col("m.observed_min"), bounds),
+        values("observed_max", F.col("c"), F.col("m.observed_max"), bounds),
+        values("duplicate_count", F.lit(""), F.col("s.duplicate_check.duplicate_count").cast("double")),
+        values("age_seconds", F.col("s.freshness_check.column"), F.col("s.freshness_check.age_seconds")),
+    ]
+    return reduce(DataFrame.unionByName, parts).where("value IS NOT NULL").withColumn("value", F.round("value", 6))
+
+
 @query
 def dq_gate(spark, sf_dir):
     """A gated run over a lake: audit rows are stored first, then the gate reports the failures."""

@@ -11,7 +11,7 @@ from tests.compare import DATA, database, difference, spark_result, sql_result
 LONG = {
     "silver_build_incremental", "silver_klines_incremental", "state_upsert", "dq_gate", "load_state", "gold_build",
     "quality_dataset_health", "quality_latest_status", "quality_failed_datasets", "quality_status_counts",
-    "dashboard_kpis", "observability_report", "serving_snapshot",
+    "dashboard_kpis", "observability_report", "serving_snapshot", "dashboard_datasets", "dq_run_incremental", "stream_late_trades",
 }
 ORACLES = contract.oracle_sql()
 
