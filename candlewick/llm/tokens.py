@@ -1,6 +1,8 @@
 """Token counts and token ids of whole texts, with the public tokenizer libraries.
 
-A byte-level tokenizer cuts a text into short pieces and encodes every piece by itself. The same piece therefore has
+Counts come from batch encoding: long texts are cut at safe places, and batches are balanced by bytes.
+
+Ids: a byte-level tokenizer cuts a text into short pieces and encodes every piece by itself. The same piece therefore has
 the same ids wherever it stands: ``ByteLevelEncoder`` cuts texts at exactly these boundaries, gives unknown pieces to
 the library's model and remembers the answers of the last few hundred thousand pieces. Texts with special strings, or
 with characters whose Unicode class changed between library versions, go to the library itself, long ones in parts.
@@ -11,7 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,10 +23,11 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.tables import sliced, whole
 
-#: Characters that a batch given to a library holds at most, unless one part alone is longer.
-BATCH_CHARS = 1 << 20
-#: Pieces remembered in each of two generations; long pieces are not kept.
-KEPT_PIECES, LONGEST_KEPT = 100_000, 48
+#: Characters of a part of a long text; UTF-8 bytes that a batch given to a library holds at most, unless one part
+#: alone is longer.
+PART_CHARS, BATCH_BYTES = 1 << 18, 1 << 20
+#: Pieces remembered in each of two generations (some 200 bytes a piece); long pieces are not kept.
+KEPT_PIECES, LONGEST_KEPT = 250_000, 48
 
 # Letters, numbers and spaces below U+0250, the same in every Unicode version in use.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -60,9 +63,9 @@ class Recent(dict):
         return value
 
 
-def parts(text: str, most: int = BATCH_CHARS) -> Iterator[str]:
+def parts(text: str, most: int | None = None) -> Iterator[str]:
     """The text in parts of about ``most`` characters, cut only where a byte-level tokenizer starts a new piece."""
-    at = 0
+    at, most = 0, most or PART_CHARS
     while len(text) - at > most:
         found = _BOUNDARY.search(text, at + most)
         if not found:
@@ -81,7 +84,7 @@ class ByteLevelEncoder:
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = iter(range(256, 512))
         self.letters = {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
-        self._ids, self._counts = Recent(self._piece), Recent(lambda piece: len(self._piece(piece)) // 4)
+        self._ids = Recent(self._piece)
 
     def _piece(self, piece: str) -> bytes:
         shown = piece.encode().decode("latin-1").translate(self.letters)
@@ -101,19 +104,12 @@ class ByteLevelEncoder:
             return b"".join(map(self._ids.__getitem__, PIECES.findall(text)))
         return b"".join(x.tobytes() for x in self._by_library(text))
 
-    def count(self, text: str) -> int:
-        if self._settled(text):
-            return sum(map(self._counts.__getitem__, PIECES.findall(text)))
-        return sum(map(len, self._by_library(text)))
-
-    def counts(self, texts: list[str]) -> list[int]:
-        return list(map(self.count, texts))
-
 
-class WholeTextCounter:
-    """Lengths from ``encode_batch`` for tokenizer files of any other kind; a text is not cut."""
+class BatchCounter:
+    """Lengths from the library's batch encoding. Long texts are cut where the tokenizer is byte-level."""
 
     def __init__(self, path: str):
+        self.cut = lambda text: [text]
         if path.endswith(".model"):
             import sentencepiece
 
@@ -122,20 +118,28 @@ class WholeTextCounter:
         else:
             library = _library(path)
             self.encode = lambda texts: map(len, library.encode_batch(texts, add_special_tokens=False))
+            specials = [t.content for t in library.get_added_tokens_decoder().values()]
+            if _is_byte_level(path) and all(" " not in s for s in specials):
+                self.cut = parts
 
     def counts(self, texts: list[str]) -> list[int]:
-        return [n for batch in balanced(texts) for n in self.encode(batch)]
+        found = [0] * len(texts)
+        for batch in balanced((number, part) for number, text in enumerate(texts) for part in self.cut(text)):
+            for (number, _), n in zip(batch, self.encode([part for _, part in batch]), strict=True):
+                found[number] += n
+        return found
 
 
-def balanced(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in their order, in batches of about equal size."""
+def balanced(numbered: Iterable[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
+    """Parts with the numbers of their texts, in their order, in batches of about equal size in bytes."""
     batch, size = [], 0
-    for text in texts:
-        if batch and size + len(text) > BATCH_CHARS:
+    for number, part in numbered:
+        weight = len(part.encode("utf-8", "surrogatepass"))
+        if batch and size + weight > BATCH_BYTES:
             yield batch
             batch, size = [], 0
-        batch.append(text)
-        size += len(text)
+        batch.append((number, part))
+        size += weight
     if batch:
         yield batch
 
@@ -171,8 +175,8 @@ def byte_level(path: str) -> ByteLevelEncoder:
 
 
 @lru_cache(maxsize=4)
-def counter(path: str) -> ByteLevelEncoder | WholeTextCounter:
-    return byte_level(path) if _is_byte_level(path) else WholeTextCounter(path)
+def counter(path: str) -> BatchCounter:
+    return BatchCounter(path)
 
 
 def token_count(text: Column, tokenizer: str) -> Column:
