@@ -106,6 +106,23 @@ def level(pieces: list[Piece], capacity: int) -> tuple[list[list[Piece]], list[P
     return windows, surplus
 
 
+def powers(pieces: list[Piece]) -> Iterator[list[Piece]]:
+    """The pieces in windows whose lengths are falling powers of two, so that none of them is padded."""
+    left, waiting = sum(map(_length, pieces)), pieces[::-1]
+    while left:
+        room = 1 << (left.bit_length() - 1)
+        left -= room
+        window = []
+        while room:
+            piece = waiting.pop()
+            if _length(piece) > room:
+                piece, rest = _cut(piece, room)
+                waiting.append(rest)
+            window.append(piece)
+            room -= _length(piece)
+        yield window
+
+
 PACKED = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
@@ -142,8 +159,9 @@ def pack(
 
     Every document is followed by ``end_id``, so a null or empty text is one piece of one id. A document longer than
     a sequence fills whole sequences first; what remains of the documents is levelled in groups by Karmarkar-Karp,
-    and a group hands its last, unfinished sequence on to the next. So every task leaves one sequence unfilled, and
-    no shuffle is needed: ids never leave the task that made them. Repeated rows and null keys are packed like any
+    and a group hands its last, unfinished sequence on to the next. What a task has left at its end is cut into sequences
+    whose lengths are powers of two, which need no padding: so the number of tasks does not matter (ten such sequences
+    a task at most, for 2048), and no shuffle is needed: ids never leave the task that made them. Repeated rows and null keys are packed like any
     other row, an empty table gives no row, other columns are not read. A task holds the remainders of one group,
     each shorter than a sequence. A task that is run again gives the same rows under the same sequence ids.
     """
@@ -168,7 +186,7 @@ def pack(
                         out.add(window)
                     yield from out.ready()
         windows, rest = level(pool, capacity)
-        for window in [*windows, rest] if rest else windows:
+        for window in [*windows, *powers(rest)]:
             out.add(window)
         yield from out.ready(0)
 
