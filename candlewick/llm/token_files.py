@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.tables import sliced, total_bytes, whole
+from candlewick.llm.tables import sliced, total_bytes, whole, written
 from candlewick.llm.tokens import byte_level
 
 # Fixed values of the format.
@@ -215,6 +215,6 @@ def with_starts(tokens: DataFrame) -> DataFrame:
 
 
 def digests(tokens: DataFrame) -> DataFrame:
-    return with_starts(tokens.select("doc_id", "n_tokens", "file", "start_in_file", F.crc32("ids").alias("ids_crc32"))).select(
-        "doc_id", "start", "n_tokens", "ids_crc32"
-    )
+    """Checksums and starts. Numbers alone are kept from one reading of the files; starts are summed up from them."""
+    narrow = tokens.select("doc_id", "n_tokens", "file", "start_in_file", F.crc32("ids").alias("ids_crc32"))
+    return with_starts(written(narrow, "token-rows")).select("doc_id", "start", "n_tokens", "ids_crc32")
