@@ -90,17 +90,21 @@ KNOWN_PATHS = sorted({p for m in MAPPINGS for p in paths(m.schema)})
 LISTS = sorted({p.split("[]")[0] for p in KNOWN_PATHS if "[]" in p})
 
 
+#: Texts of any length; the reader's own limit is 20 million characters.
+WHOLE = {"maxStringLen": str(2**31 - 1)}
+
+
 def json_fingerprint(record: Column) -> Column:
     """Fingerprint of a JSON object in a text column; all elements of its lists count. Null if it is no object."""
 
     def under(name: str) -> Column:
-        items = F.from_json(F.get_json_object(record, f"$.{name}"), "array<map<string, string>>")
+        items = F.from_json(fields[name], "array<map<string, string>>", WHOLE)
         keys = F.transform(F.coalesce(items, F.array()), lambda item: F.coalesce(F.map_keys(item), F.array()))
         return F.transform(F.array_distinct(F.flatten(keys)), lambda key: F.concat(F.lit(f"{name}[]."), key))
 
-    keys = F.json_object_keys(record)
+    fields = F.from_json(record, "map<string, string>", WHOLE)
     nested = [under(name) for name in LISTS]
-    known = F.array_intersect(F.concat(keys, *nested), F.array(*[F.lit(p) for p in KNOWN_PATHS]))
+    known = F.array_intersect(F.concat(F.map_keys(fields), *nested), F.array(*[F.lit(p) for p in KNOWN_PATHS]))
     return F.sha2(F.array_join(F.array_sort(known), "\n"), 256)
 
 
@@ -112,7 +116,7 @@ def json_turns(records: DataFrame, record: str) -> DataFrame:
     for m in MAPPINGS:
         here = F.col("_print") == m.fingerprint
         layout = F.when(here, m.name).otherwise(layout)
-        turns = F.when(here, m.turns(F.from_json(record, m.schema)).cast(TURNS)).otherwise(turns)
+        turns = F.when(here, m.turns(F.from_json(record, m.schema, WHOLE)).cast(TURNS)).otherwise(turns)
     return with_print.withColumns({"layout": layout, "turns": turns}).drop("_print")
 
 
@@ -128,10 +132,25 @@ def typed_turns(records: DataFrame, record: str = "record") -> DataFrame:
 
 
 def conversations_of(rows: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Rows by turn as one record for each conversation, in order of turn, role and text (nulls first)."""
+    """Rows by turn as ``turns`` of each conversation, in order of turn, role and text (nulls first)."""
     said = F.struct(F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
-    grouped = rows.groupBy(F.col(key).alias("conv_id")).agg(F.sort_array(F.collect_list(said)).alias("turns"))
-    return grouped.select("conv_id", F.struct("turns").alias("record"))
+    return rows.groupBy(F.col(key).alias("conv_id")).agg(F.sort_array(F.collect_list(said)).alias("turns"))
+
+
+def json_record(turns: Column) -> Column:
+    """Turns as a JSON record in the layout that their form asks for: a question with its answer is a prompt and a
+    response, a talk of user and assistant alone has ``from`` and ``value``, any other has messages."""
+    said = lambda t, name: F.coalesce(t[name], F.lit(""))
+    roles = F.transform(turns, lambda t: said(t, "role"))
+    one_pair = F.struct(said(F.get(turns, F.lit(0)), "text").alias("prompt"), said(F.get(turns, F.lit(1)), "text").alias("response"))
+    speaker = lambda t: F.when(t["role"] == "user", "human").otherwise("gpt").alias("from")
+    talk = F.transform(turns, lambda t: F.struct(speaker(t), said(t, "text").alias("value")))
+    messages = F.transform(turns, lambda t: F.struct(said(t, "role").alias("role"), said(t, "text").alias("content")))
+    return (
+        F.when(roles == F.array(F.lit("user"), F.lit("assistant")), F.to_json(one_pair))
+        .when(F.forall(roles, lambda r: r.isin("user", "assistant")), F.to_json(F.struct(talk.alias("conversations"))))
+        .otherwise(F.to_json(F.struct(messages.alias("messages"))))
+    )
 
 
 def escaped(text: Column) -> Column:
@@ -194,10 +213,12 @@ def masked_text(segments: Column) -> Column:
 def format_conversations(rows: DataFrame, **columns: str) -> DataFrame:
     """Conversations given by turn, formatted: ``conv_id``, ``layout``, ``turns``, ``segments``, ``formatted``.
 
-    Null texts and roles are empty; rows that repeat stay, and ties on the turn go by role and text. A null id is a
-    conversation of its own. An empty table gives no row; other columns are not read.
+    Every conversation is made a JSON record in one of three layouts, and the fingerprint of each record selects the
+    mapping that reads it. Null texts and roles are empty; rows that repeat stay, and ties on the turn go by role and
+    text. A null id is a conversation of its own. An empty table gives no row; other columns are not read.
     """
-    return format_turns(typed_turns(conversations_of(rows, **columns))).drop("record")
+    records = conversations_of(rows, **columns).select("conv_id", json_record(F.col("turns")).alias("record"))
+    return format_turns(json_turns(records, "record")).drop("record")
 
 
 def digests(formatted: DataFrame) -> DataFrame:
