@@ -1,12 +1,16 @@
-"""Benchmark decontamination with one Aho-Corasick automaton over the windows of all items."""
+"""Benchmark decontamination with an Aho-Corasick automaton over the windows of all items.
 
-from __future__ import annotations
+One automaton takes about 180 MB for each MB of benchmark text, in every worker. Benchmarks beyond ``most_bytes`` are
+dealt over several automata of that size, used one after another; the hits of a text are united, so the result is the
+same as that of one automaton.
+"""
 
+from __future__ import annotations
 
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -14,10 +18,10 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.tables import sliced
+from candlewick.llm.tables import sliced, written
 
-#: Words of a window; bytes of benchmark text that one automaton may hold (checked, see ``windows_of``).
-WINDOW, MOST_BYTES = 10, 64 << 20
+#: Words of a window; bytes of benchmark text in one automaton (some 360 MB in a worker).
+WINDOW, MOST_BYTES = 10, 2 << 20
 
 # A-Z become a-z; every other ASCII character that is no digit and no a-z becomes a space; the rest is kept.
 _PLAIN = bytes(
@@ -39,11 +43,19 @@ class Windows:
     windows: dict[tuple[int, ...], tuple[str, ...]]
 
 
+def text_bytes(benchmark: DataFrame, texts: tuple[str, ...] = ("text",)) -> int:
+    return benchmark.agg(sum((F.coalesce(F.sum(F.octet_length(t)), F.lit(0)) for t in texts), F.lit(0)).alias("n")).first()[0]
+
+
 def windows_of(benchmark: DataFrame, key: str = "item_id", texts: tuple[str, ...] = ("text",), window: int = WINDOW, most_bytes: int = MOST_BYTES) -> Windows:
     """The windows of all items. Raises if the texts are larger than ``most_bytes``: nothing unbounded is gathered."""
-    size = benchmark.agg(sum((F.coalesce(F.sum(F.octet_length(t)), F.lit(0)) for t in texts), F.lit(0)).alias("n")).first()[0]
+    size = text_bytes(benchmark, texts)
     if size > most_bytes:
         raise ValueError(f"the benchmark texts have {size} bytes; an automaton may hold {most_bytes}")
+    return _gathered(benchmark, key, texts, window)
+
+
+def _gathered(benchmark: DataFrame, key: str, texts: tuple[str, ...], window: int) -> Windows:
     numbers: dict[bytes, int] = {}
     found: dict[tuple[int, ...], set[str]] = {}
     for item, *bodies in benchmark.select(F.col(key).cast("string"), *texts).collect():
@@ -94,20 +106,19 @@ class Scanner:
         return [(starts[a], stops[b - 1]) for a, b in ranges]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _scanner(windows: Broadcast) -> Scanner:
     return Scanner(windows.value)
 
 
-HIT = "n_words long, n_hit long, items array<string>, spans array<struct<start: long, stop: long>>"
-_HIT = pa.struct([
-    ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
-    ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-])
+RANGES = "array<struct<first: long, beyond: long, start: long, stop: long>>"
+HIT = f"n_words long, n_hit long, items array<string>, ranges {RANGES}"
+_RANGES = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "beyond", "start", "stop")]))
+_HIT = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("ranges", _RANGES)])
 
 
 def hits(text: Column, windows: Broadcast) -> Column:
-    """What the windows hit in a text column: word counts, sorted item ids, character ranges of the original text."""
+    """What the windows hit in a text column: word counts, sorted item ids, hit ranges by word and by character."""
 
     @F.arrow_udf(f"struct<{HIT}>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -118,13 +129,72 @@ def hits(text: Column, windows: Broadcast) -> Column:
                 n, ranges, items = scanner.scan(body or "")
                 rows.append({
                     "n_words": n, "n_hit": sum(b - a for a, b in ranges), "items": sorted(items),
-                    "spans": [{"start": a, "stop": b} for a, b in scanner.spans(body or "", ranges)],
+                    "ranges": [
+                        {"first": a, "beyond": b, "start": start, "stop": stop}
+                        for (a, b), (start, stop) in zip(ranges, scanner.spans(body or "", ranges), strict=True)
+                    ],
                 })
             yield pa.array(rows, _HIT)
 
     return found(text)
 
 
+def cut_items(benchmark: DataFrame, key: str, texts: tuple[str, ...], window: int, windows: int) -> DataFrame:
+    """Items as ``item`` and ``body``: slices of at most so many windows, whose words overlap by a window less one.
+    All slices of an item together have its windows, and no others."""
+    rows = benchmark.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("item"), F.explode(F.array(*texts)).alias("body"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = words(body or "")
+                for start in range(0, max(1, len(found) - window + 1) if found else 0, windows):
+                    part = b" ".join(found[start : start + windows + window - 1]).decode("utf-8", "surrogatepass")
+                    yield pa.RecordBatch.from_arrays([pa.array([item]), pa.array([part])], names=["item", "body"])
+
+    return rows.mapInArrow(cut, "item string, body string")
+
+
+def _united(lists: pa.Array) -> pa.Array:
+    """Ranges without overlap from ranges of several automata."""
+    out = []
+    for ranges in lists.to_pylist():
+        own: list[dict] = []
+        for r in sorted(ranges, key=lambda r: (r["first"], r["beyond"])):
+            if own and own[-1]["beyond"] >= r["first"]:
+                if r["beyond"] > own[-1]["beyond"]:
+                    own[-1] |= {"beyond": r["beyond"], "stop": r["stop"]}
+            else:
+                own.append(dict(r))
+        out.append(own)
+    return pa.array(out, _RANGES)
+
+
+def _hits_in_parts(
+    docs: DataFrame, benchmark: DataFrame, text: str, item_key: str, item_texts: tuple[str, ...], window: int, size: int, most_bytes: int,
+) -> DataFrame:
+    """Hits of each distinct text that has any: ``_digest`` (SHA-256), ``items``, ``ranges``.
+
+    Slices of items are dealt by hash over automata of about two thirds of ``most_bytes``. Each automaton scans all
+    texts in a job of its own, which writes its hits, and is given up before the next one is built.
+    """
+    slices = written(cut_items(benchmark, item_key, item_texts, window, max(1, most_bytes // 256)), "benchmark-slices")
+    count = -(-3 * size // (2 * most_bytes))
+    found = []
+    for number in range(count):
+        own = slices.filter(F.pmod(F.xxhash64("item", "body"), F.lit(count)) == number)
+        shared = docs.sparkSession.sparkContext.broadcast(_gathered(own, "item", ("body",), window))
+        scanned = docs.select(F.col(text).alias("text"), hits(F.col(text), shared).alias("hit")).filter("hit.n_hit > 0")
+        once = scanned.groupBy(F.sha2("text", 256).alias("_digest")).agg(F.first("hit").alias("hit"))
+        found.append(written(once.select("_digest", "hit.items", "hit.ranges"), "benchmark-hits"))
+        shared.destroy()
+    # A text has one row from each automaton at most.
+    joined = reduce(DataFrame.unionByName, found).groupBy("_digest").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("ranges")).alias("ranges")
+    )
+    return joined.select("_digest", "items", F.arrow_udf(_united, RANGES)("ranges").alias("ranges"))
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
     item_texts: tuple[str, ...] = ("text",), window: int = WINDOW, most_bytes: int = MOST_BYTES,
@@ -134,17 +204,38 @@ def contamination(
     A window is ``window`` consecutive words of an item's text; an item with fewer words, but not none, is one
     window. A word inside any occurrence of a window is hit; ``items`` are the items whose windows occur, ``spans``
     the hit words as character ranges of the original text. Null or empty texts have no words and are clean. Items
-    with one id count as one, an item without id has the id "". An empty benchmark hits nothing. No shuffle: the
-    windows of the benchmark, of checked size, are broadcast, and every text is read once.
+    with one id count as one, an item without id has the id "". An empty benchmark hits nothing. While the benchmark
+    has ``most_bytes`` at most, its windows are broadcast and every text is read once, without a shuffle. Beyond, texts
+    are scanned at once, by one automaton after another, and rows meet their hits in a join.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(windows_of(benchmark, item_key, item_texts, window, most_bytes))
-    rows = docs.select(F.col(key).alias("doc_id"), hits(F.col(text), shared).alias("hit"))
-    return rows.select("doc_id", "hit.*", (F.col("hit.n_hit") > 0).alias("contaminated"))
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that no window hits, all columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(windows_of(benchmark, **options))
+    size = text_bytes(benchmark, item_texts)
+    context = docs.sparkSession.sparkContext
+    if size <= most_bytes:
+        shared = context.broadcast(_gathered(benchmark, item_key, item_texts, window))
+        rows = docs.select(F.col(key).alias("doc_id"), hits(F.col(text), shared).alias("hit")).select("doc_id", "hit.*")
+    else:
+        found = _hits_in_parts(docs, benchmark, text, item_key, item_texts, window, size, most_bytes)
+        counted = hits(F.col(text), context.broadcast(Windows({}, {})))["n_words"]
+        rows = docs.select(F.col(key).alias("doc_id"), counted.alias("n_words"), F.sha2(text, 256).alias("_digest"))
+        rows = rows.join(found, "_digest", "left").select(
+            "doc_id", "n_words", F.aggregate(F.coalesce("ranges", F.array().cast(RANGES)), F.lit(0).cast("long"), lambda n, r: n + r["beyond"] - r["first"]).alias("n_hit"),
+            F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("ranges", F.array().cast(RANGES)).alias("ranges"),
+        )
+    spans = F.transform("ranges", lambda r: F.struct(r["start"].alias("start"), r["stop"].alias("stop")))
+    return rows.select("doc_id", "n_words", "n_hit", "items", spans.alias("spans"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "item_id", texts: tuple[str, ...] = ("text",),
+    window: int = WINDOW, most_bytes: int = MOST_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` that no window hits, all columns; ``key`` and ``texts`` are columns of the benchmark."""
+    size = text_bytes(benchmark, texts)
+    if size > most_bytes:
+        found = _hits_in_parts(docs, benchmark, text, key, texts, window, size, most_bytes).select("_digest")
+        hit = F.sha2(docs[text], 256) == found["_digest"]
+        return docs.join(found, hit, "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(_gathered(benchmark, key, texts, window))
     return docs.filter(hits(F.col(text), shared)["n_hit"] == 0)
 
 
