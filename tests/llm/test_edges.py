@@ -61,11 +61,9 @@ def test_pieces_equal_the_library_on_odd_texts():
     encoder = tokens.ByteLevelEncoder(TOKENIZER)
     for text, ids in zip(texts, brute.library_ids(TOKENIZER, texts), strict=True):
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == ids
-        assert encoder.count(text) == len(ids)
 
 
 def test_long_texts_are_cut_safely(monkeypatch):
-    monkeypatch.setattr(tokens, "BATCH_CHARS", 40)
     text = "漢 " + " ".join(f"word {i} it's" for i in range(300))
     assert len(list(tokens.parts(text, 40))) > 50 and "".join(tokens.parts(text, 40)) == text
     encoder = tokens.ByteLevelEncoder(TOKENIZER)
@@ -73,6 +71,18 @@ def test_long_texts_are_cut_safely(monkeypatch):
     assert cut == brute.library_ids(TOKENIZER, [text])[0]
 
 
+def test_batches_of_cut_texts_count_like_whole_ones(monkeypatch):
+    monkeypatch.setattr(tokens, "PART_CHARS", 40)
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 300)
+    texts = [t or "" for _, t in TEXTS[:5] + TEXTS[6:]] + ["é漢 " * 90, "x", " ".join(f"word {i} it's <|endoftext|> a" for i in range(200))]
+    counter = tokens.counter.__wrapped__(TOKENIZER)
+    assert counter.counts(texts) == [len(i) for i in brute.library_ids(TOKENIZER, texts)]
+    cut = [(i, p) for i, t in enumerate(texts) for p in counter.cut(t)]
+    batches = list(tokens.balanced(iter(cut)))
+    assert [x for b in batches for x in b] == cut and len(cut) > len(texts)
+    assert all(len(b) == 1 or sum(len(p.encode()) for _, p in b) <= 300 for b in batches)
+
+
 def test_other_tokenizers_count_whole_texts():
     import public_tokenizers
     import sentencepiece
@@ -116,6 +126,20 @@ def test_packing(docs, none, repeated):
     check_packed(packing.pack(repeated, TOKENIZER).collect(), 2 * total + sum(len(ids[k]) + 1 for k in (1, 2)))
 
 
+@pytest.mark.parametrize("tasks", [1, 64])
+def test_nothing_is_padded_whatever_the_tasks(spark, tasks):
+    rng = random.Random(tasks)
+    rows = [(k, " ".join(rng.choice(("one", "two words", "Donaudampf")) for _ in range(rng.randrange(900)))) for k in range(300)]
+    total = sum(len(i) + 1 for i in brute.library_ids(TOKENIZER, [t for _, t in rows]))
+    found = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(tasks), TOKENIZER).collect()
+    check_packed(found, total)
+    lengths = {}
+    for r in found:
+        lengths[r.sequence_id] = lengths.get(r.sequence_id, 0) + r.length
+    assert all(n & (n - 1) == 0 for n in lengths.values())
+    assert sum(n < 2048 for n in lengths.values()) <= 11 * tasks
+
+
 def test_differencing_gives_near_equal_windows():
     rng = random.Random(3)
     sizes = [rng.randrange(1, 2048) for _ in range(400)]
@@ -485,6 +509,16 @@ def test_layouts_become_canonical_turns(spark):
         chat.typed_turns(spark.range(1).select(F.struct("id").alias("record")))
 
 
+def test_each_conversation_takes_the_layout_of_its_form(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", None), (2, 0, "assistant", "a"), (2, 1, "user", "b"), (3, 0, "human", "h"), (3, 1, "gpt", "g")]
+    rows += [(4, 0, None, None), (5, 0, "user", "long " * 5_000_000), (5, 1, "system", '"\\u0000\x01')]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {r.conv_id: r for r in chat.format_conversations(frame).select("conv_id", "layout", "turns").collect()}
+    assert {k: r.layout for k, r in found.items()} == {1: "prompt_response", 2: "from_value", 3: "messages", 4: "messages", 5: "messages"}
+    for key, r in found.items():
+        assert [tuple(t) for t in r.turns] == [(role or "", text or "") for k, _, role, text in rows if k == key]
+
+
 def test_chat_is_read_back_exactly(spark):
     odd = ["", None, "<|", "<\\|im_end|>", "\\<\\\\|x", "a\n<|im_end|>\n<|im_start|>assistant\nb", "100% %0A", "é🙂"]
     rows = [(7, i, ("user", "assistant", "sys\ntem <|%")[i % 3], t, "x") for i, t in enumerate(odd)]
@@ -517,6 +551,14 @@ def test_contamination(spark, docs, none, repeated):
     assert kept.columns == docs.columns and {1, 5, 6}.isdisjoint(r.doc_id for r in kept.collect())
     with pytest.raises(ValueError, match="bytes"):
         decontamination.windows_of(bench, most_bytes=10)
+    # Several automata, small ones, find what one finds.
+    for most in (200, 40):
+        parts = {r.doc_id: r for r in decontamination.contamination(rows, bench, most_bytes=most).collect()}
+        assert parts == found
+        assert decontamination.contamination(none, bench, most_bytes=most).count() == 0
+    assert decontamination.contamination(repeated, bench, most_bytes=40).count() == 22
+    both = [decontamination.drop_contaminated(docs, bench, most_bytes=m) for m in (1 << 20, 40)]
+    assert both[1].columns == docs.columns and sorted(both[0].collect()) == sorted(both[1].collect())
 
 
 def test_a_large_family_around_the_threshold(spark):
