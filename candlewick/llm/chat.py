@@ -94,15 +94,15 @@ LISTS = sorted({p.split("[]")[0] for p in KNOWN_PATHS if "[]" in p})
 WHOLE = {"maxStringLen": str(2**31 - 1)}
 
 
-def json_fingerprint(record: Column) -> Column:
-    """Fingerprint of a JSON object in a text column; all elements of its lists count. Null if it is no object."""
+def json_fingerprint(fields: Column) -> Column:
+    """Fingerprint of a JSON object, given as a map of its fields' texts; all elements of its lists count. Null if
+    it is no object."""
 
     def under(name: str) -> Column:
         items = F.from_json(fields[name], "array<map<string, string>>", WHOLE)
         keys = F.transform(F.coalesce(items, F.array()), lambda item: F.coalesce(F.map_keys(item), F.array()))
         return F.transform(F.array_distinct(F.flatten(keys)), lambda key: F.concat(F.lit(f"{name}[]."), key))
 
-    fields = F.from_json(record, "map<string, string>", WHOLE)
     nested = [under(name) for name in LISTS]
     known = F.array_intersect(F.concat(F.map_keys(fields), *nested), F.array(*[F.lit(p) for p in KNOWN_PATHS]))
     return F.sha2(F.array_join(F.array_sort(known), "\n"), 256)
@@ -111,7 +111,9 @@ def json_fingerprint(record: Column) -> Column:
 def json_turns(records: DataFrame, record: str) -> DataFrame:
     """Adds ``layout`` and ``turns`` to records of JSON text. Both are null where no mapping fits or the text is no
     object; such rows are kept for the caller to set aside. A null text or role is empty."""
-    with_print = records.withColumn("_print", json_fingerprint(F.col(record)))
+    # A column of its own, so that the record is opened once.
+    opened = records.withColumn("_fields", F.from_json(record, "map<string, string>", WHOLE))
+    with_print = opened.withColumn("_print", json_fingerprint(F.col("_fields"))).drop("_fields")
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in MAPPINGS:
         here = F.col("_print") == m.fingerprint
