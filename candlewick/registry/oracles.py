@@ -731,6 +731,7 @@ def oracle_sql() -> dict[str, str]:
                 FROM state""",
         ),
         "freshness_overview": _with("overview", "SELECT * FROM overview"),
+        "freshness_by_parts": _with("overview", "SELECT * FROM overview WHERE dataset_name = 'gold_volume_1m'"),
         "dashboard_kpis": _with("overview", _kpis()),
         "observability_report": _with("overview", " UNION ALL ".join(_section(n, SECTIONS[n], r) for n, r in report.items())),
         "dashboard_datasets": _with("overview", " UNION ALL ".join(_section(n, DASHBOARD[n], r) for n, r in board.items())),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick import feeds, schemas
-from candlewick.operators import filters, gold, payloads, quality, reports, silver
+from candlewick.operators import distinct, filters, gold, payloads, quality, reports, silver
 from candlewick.operators.merging import merge_rows
 from candlewick.operators.quality_rules import RULE_OF, RULES
 from candlewick.plans import backfill, gold_build, quality_run, serving, silver_build, state
@@ -830,6 +830,15 @@ def freshness_overview(spark, sf_dir):
     return reports.freshness_overview(_datasets(spark, sf_dir), ARRIVED)
 
 
+@query
+def freshness_by_parts(spark, sf_dir):
+    """The volume's row of the overview from daily parts: mornings stored, afternoons arriving."""
+    volume = feeds.gold_volume(spark, sf_dir)
+    morning = F.hour("window_start") < 12
+    stored, arriving = (distinct.daily_parts(volume.where(half), "window_start") for half in (morning, ~morning))
+    return distinct.freshness_of_parts(distinct.merge_parts(stored, arriving), "gold_volume_1m", "window_start", ARRIVED)
+
+
 @query
 def dashboard_kpis(spark, sf_dir):
     return dashboard(_datasets(spark, sf_dir), as_of=ARRIVED)["kpis"]

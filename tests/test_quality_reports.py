@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.fixtures import ARRIVED, CLOSES, at, candles, live_messages, history_groups, raw
 
-from candlewick.operators import payloads, quality, reports
+from candlewick.operators import distinct, payloads, quality, reports
 from candlewick.operators.quality_rules import RULES, Rule
 from candlewick.plans import observability, quality_run, serving
 from candlewick.schemas import SERVING_DATASETS, TABLES
@@ -304,3 +304,30 @@ def test_an_incremental_run_reads_changed_dates_only(spark, lake, monkeypatch):
     opened.clear()
     quality_run.run_quality(lake, "3", rules=rule, checked_at=at(0), fail_on_violation=False, incremental=True)
     assert opened == []
+
+
+def test_parts_of_dates_merge_like_whole_tables(spark):
+    moment = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60)
+    rows = spark.range(20_000).select(moment.alias("window_start"), F.concat(F.lit("S"), F.col("id") % distinct.EXACT_UP_TO).alias("symbol"))
+    rows = rows.withColumn("symbol", F.when(F.col("window_start") > F.timestamp_seconds(F.lit(1_700_060_000)), F.col("symbol")))
+    rows = rows.unionByName(rows.limit(2).withColumn("window_start", F.lit(None).cast("timestamp")))
+    late = F.coalesce(F.col("window_start") > F.timestamp_seconds(F.lit(1_700_500_000)), F.lit(False))
+    merged = distinct.merge_parts(distinct.daily_parts(rows.where(~late), "window_start"), distinct.daily_parts(rows.where(late), "window_start"))
+    assert merged.count() == rows.select(F.to_date("window_start")).distinct().count()
+    expected = reports.freshness_overview({"gold_volume_1m": rows}, at(0)).collect()
+    found = distinct.freshness_of_parts(merged, "gold_volume_1m", "window_start", at(0))
+    assert found.select(*expected[0].__fields__).collect() == expected
+
+
+def test_estimates_of_many_symbols_keep_their_error(spark):
+    rows = spark.range(300_000).select(F.lit(at(0)).alias("window_start"), F.col("id").cast("string").alias("symbol"))
+    (row,) = (distinct.freshness_of_parts(distinct.daily_parts(rows, "window_start"), "gold_volume_1m", "window_start", at(0)).collect())
+    assert abs(row.distinct_symbol_count / 300_000 - 1) < 4 * 1.04 / 2 ** (distinct.PRECISION / 2)
+
+
+def test_parts_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "window_start timestamp, symbol string")
+    parts = distinct.daily_parts(none, "window_start")
+    assert parts.count() == 0 and distinct.merge_parts(parts, parts).count() == 0
+    (row,) = (distinct.freshness_of_parts(parts, "gold_volume_1m", "window_start", at(0)).collect())
+    assert (row.row_count, row.distinct_symbol_count, row.latest_timestamp, row.age_minutes) == (0, 0, None, None)
