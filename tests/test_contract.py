@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
@@ -33,3 +37,14 @@ def test_entry(spark):
 def test_query_equals_sql(spark, connection, name):
     actual = spark_result(contract.queries()[name](spark, f"{DATA}/sf0.001"))
     assert difference(actual, sql_result(connection, ORACLES[name])) is None
+
+
+@pytest.mark.parametrize("missing", ["ahocorasick", "tokenizers", "zstandard", "xxhash", "sentencepiece", "public_tokenizers", "numpy"])
+def test_market_queries_outlive_a_missing_library(missing):
+    code = (
+        f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; from candlewick.registry.queries import QUERIES; "
+        "from candlewick.registry.oracles import oracle_sql; assert QUERIES.keys() <= e.queries().keys() and oracle_sql().keys() <= e.oracle_sql().keys()"
+    )
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=100, check=False)
+    assert done.returncode == 0, done.stderr
