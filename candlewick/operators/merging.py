@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,15 +31,30 @@ def merge_rows(
     """``target`` after updating matched and inserting unmatched ``source`` rows.
 
     ``source`` must hold one row per key. The batch always wins unless ``newer_than`` names
-    ordering columns: then a strictly newer stored row stays. Both forms are hash joins on the keys. ``small``
+    ordering columns: then a strictly newer stored row stays. Both sides meet in one exchange by the keys. ``small``
     says that the caller counted the batch and its keys fit a broadcast: then stored rows are not exchanged.
     """
+    if not small and newer_than:
+        return _merge_in_one_exchange(target, source, keys, newer_than)
     if newer_than:
         source = _without_beaten(target, source, keys, newer_than, small)
     kept = target.join(broadcast_if(small, arriving_keys(source, keys)), on_keys(keys), "left_anti")
     return kept.unionByName(source)
 
 
+def _merge_in_one_exchange(target: DataFrame, source: DataFrame, keys: Sequence[str], newer_than: Sequence[str]) -> DataFrame:
+    """Stored and arriving rows side by side by key, so that nothing is exchanged or read twice; nulls count as oldest."""
+    if not keys:
+        raise ValueError("a merge needs at least one key column")
+    both = target.withColumn("_arrives", F.lit(False)).unionByName(source.withColumn("_arrives", F.lit(True)))
+    by_key, order = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]), F.struct(*[F.col(f"`{c}`") for c in newer_than])
+    arriving = F.max(F.when(F.col("_arrives"), order)).over(by_key)
+    stored = F.max(F.when(~F.col("_arrives"), order)).over(by_key)
+    # The batch's row stays unless beaten; stored rows stay where the batch has none or is beaten.
+    wins = arriving.isNotNull() & ~F.coalesce(stored > arriving, F.lit(False))
+    return both.withColumn("_wins", wins).where(F.col("_wins") == F.col("_arrives")).drop("_arrives", "_wins")
+
+
 def _without_beaten(
     target: DataFrame, source: DataFrame, keys: Sequence[str], newer_than: Sequence[str], small: bool
 ) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from candlewick.functions.time import micros, utc_date
 from candlewick.operators.merging import arriving_keys, broadcast_if, merge_rows, on_keys, repeated_keys
 from candlewick.schemas import TABLES, Table
+from candlewick.sinks.workspace import drop_folder
 
 PART = "part_date"
 # Spark's own directory name for a null partition value.
@@ -243,28 +244,39 @@ class Lake:
         table, base = TABLES[name], self._base(name)
         previous = self.current(name)
         moved: dict[str, int | None] = {}
-        source = table.conform(source).persist()
+        source, staged = self._staged(table, source)
         try:
-            repeated = repeated_keys(source, table.keys).first()
-            if repeated is not None:
+            per_key = source.groupBy(*[F.col(f"`{k}`") for k in table.keys]).agg(F.count(F.lit(1)).alias("_rows"))
+            rows, most = per_key.agg(F.sum("_rows"), F.max("_rows")).first()
+            if (most or 0) > 1:
+                repeated = repeated_keys(source, table.keys).first()
                 raise ValueError(f"{name}: the batch holds a key more than once: {repeated.asDict()}")
             if previous is None or delete_unmatched:  # only the arriving rows remain
                 self.overwrite(name, source)
                 return "created" if previous is None else "merged"
-            small = source.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-            if table.dated_by is None:
-                touched = list(previous["directories"])
-            else:
-                touched = self._touched(table, source, list(previous["directories"]), small)
+            small, moves = (rows or 0) <= BROADCAST_ROWS, False
+            touched = list(previous["directories"])
+            if table.dated_by is not None:
+                touched, moves = self._touched(table, source, touched, small)
             target = table.conform(self._open(table, touched))
             written = self._write(table, merge_rows(target, source, table.keys, newer_than, small))
-            if not table.date_follows_key and ARRIVAL in table.columns:
+            if moves and ARRIVAL in table.columns:
                 moved = self._set_aside(table, target, source)
         finally:
-            source.unpersist()
+            drop_folder(self.spark, staged)
         self._commit(name, base, {**_without(previous["directories"], touched), **written}, previous["batches"], moved)
         return "merged"
 
+    def _staged(self, table: Table, source: DataFrame) -> tuple[DataFrame, str]:
+        """The batch as files beside the table, computed once, and their folder.
+
+        What follows runs in the table's own session: a streaming batch's session plans without AQE, with a fixed number of
+        partitions for every step.
+        """
+        folder = f"{self.path(table.full_name)}/_staged/{uuid.uuid4().hex}"
+        table.conform(source).write.parquet(folder)
+        return self.spark.read.schema(table.ddl).parquet(folder), folder
+
     def _set_aside(self, table: Table, target: DataFrame, source: DataFrame) -> dict[str, int | None]:
         """Write the stored rows that the batch moves to another time; they get the batch's arrival."""
         arriving = arriving_keys(source, table.keys, F.col(table.dated_by).alias("_time"), F.col(ARRIVAL).alias("_arrival"))
@@ -316,19 +328,20 @@ class Lake:
             self._commit(name, base, {**_without(previous["directories"], old), **written}, previous["batches"])
         return len(scattered)
 
-    def _touched(self, table: Table, source: DataFrame, directories: Sequence[str], small: bool) -> list[str]:
-        """Directories of the date partitions that hold or will hold a key of the batch.
+    def _touched(self, table: Table, source: DataFrame, directories: Sequence[str], small: bool) -> tuple[list[str], bool]:
+        """Directories of the date partitions that hold or will hold a key of the batch, and whether the batch moves a row.
 
-        The collected values are dates, at most one per stored partition, never rows.
+        The collected values are dates, at most two per stored partition, never rows.
         """
-        arriving = source.select(part_date(table).alias(PART))
+        arriving = source.select(part_date(table).alias(PART), F.lit(False).alias("_moves"))
         if not table.date_follows_key:
-            # A key may be stored under another date: find it by a scan of the key columns only.
-            stored = self._open(table, directories)
-            held = stored.join(broadcast_if(small, arriving_keys(source, table.keys)), on_keys(table.keys), "left_semi")
-            arriving = arriving.unionByName(held.select(PART))
-        dates = {_part_name(row[0]) for row in arriving.distinct().collect()}
-        return [d for d in directories if _part_of(d) in dates]
+            # A key may be stored under another date: find it by a scan of the key columns and the time only.
+            keys = arriving_keys(source, table.keys, F.col(table.dated_by).alias("_time"))
+            held = self._open(table, directories).join(broadcast_if(small, keys), on_keys(table.keys))
+            arriving = arriving.unionByName(held.select(PART, (~F.col(table.dated_by).eqNullSafe(F.col("_time"))).alias("_moves")))
+        found = arriving.groupBy(PART).agg(F.max("_moves")).collect()
+        dates = {_part_name(date) for date, _ in found}
+        return [d for d in directories if _part_of(d) in dates], any(moves for _, moves in found)
 
     def expire(self, name: str, keep: int = 2, min_age_hours: float = 24.0) -> int:
         """Delete data directories that none of the last ``keep`` commits uses; return how many.
