@@ -54,30 +54,34 @@ def stream_volume_updates(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         before = last_watermarks(lake, name).get("trades")
-        fresh = newest_trades(TABLES[TRADES].conform(batch))
+        batch = TABLES[TRADES].conform(batch)
         late = F.col("trade_time") <= F.lit(before - lateness) if before else F.lit(False)
         seen = Observation()
-        counted = fresh.observe(
+        fresh = newest_trades(batch).observe(
             seen, F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late"), F.max(F.unix_micros("trade_time")).alias("newest"),
             F.min(F.unix_micros("ingested_at")).alias("arrived"),
         )
+        if batch.isEmpty():
+            return
         folder = new_folder(lake.spark, "minutes")
-        counted.select("symbol", minute_of("trade_time").alias("window_start")).distinct().write.parquet(folder)
+        # Before the merge, from the batch's own narrow columns: its rows are deduplicated once, on their way into the table.
+        batch.select("symbol", minute_of("trade_time").alias("window_start")).distinct().write.parquet(folder)
         try:
-            if seen.get["rows"]:
-                merge(fresh, lake.spark.read.schema("symbol string, window_start timestamp").parquet(folder), seen.get)
-                _count(lake, name, batch_id, seen.get, before)
+            lake.upsert(TRADES, fresh, newer_than=NEWEST)
+            renew(lake.spark.read.schema("symbol string, window_start timestamp").parquet(folder), seen.get)
+            _count(lake, name, batch_id, seen.get, before)
         finally:
             drop_folder(lake.spark, folder)
 
-    def merge(fresh: DataFrame, touched: DataFrame, found: dict) -> None:
-        lake.upsert(TRADES, fresh, newer_than=NEWEST)
+    def renew(touched: DataFrame, found: dict) -> None:
         # A trade that a redelivery moved leaves the minute it was in.
         since = _moment(found["arrived"]) - timedelta(microseconds=1) if found["arrived"] is not None else None
         left = lake.moved(TRADES, since).select("symbol", minute_of("trade_time").alias("window_start"))
         minutes = touched.unionByName(left).distinct()
-        days = [row[0] for row in minutes.select(utc_date("window_start")).distinct().collect()]
-        first, last = minutes.agg(F.min(F.unix_micros("window_start")), F.max(F.unix_micros("window_start"))).first()
+        spans = minutes.groupBy(utc_date("window_start").alias("day")).agg(
+            F.min(F.unix_micros("window_start")).alias("first"), F.max(F.unix_micros("window_start")).alias("last")
+        ).collect()
+        days, first, last = [s.day for s in spans], min(s.first for s in spans), max(s.last for s in spans)
         inside = (F.col("trade_time") >= F.lit(_moment(first))) & (F.col("trade_time") < F.lit(_moment(last) + timedelta(minutes=1)))
         totals = volume_update(minutes.withColumn("trade_time", F.col("window_start")), lake.read(TRADES, days).where(inside))
         others = lake.read(VOLUME, days).join(minutes, ["symbol", "window_start"], "left_anti")
