@@ -11,6 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.functions.time import utc_date
 from candlewick.operators.quality import audit_rows, check_datasets, date_keys, fold_measures, judge_datasets, measure, partial_measures
 from candlewick.operators.quality_rules import RULES, Rule
 from candlewick.plans import ledger
@@ -68,7 +69,7 @@ def folded_measures(lake: Store, rules: Sequence[Rule] = RULES) -> dict[str, Dat
     these only the changed dates are rewritten, and only they are read in full for the count of distinct keys.
     """
     found: dict[str, DataFrame | Exception] = {}
-    renewed: list[tuple[Rule, list[date], DataFrame]] = []
+    renewed: list[tuple[Rule, list[date], DataFrame, DataFrame | None]] = []
     batches = []
     for rule in rules:
         try:
@@ -82,10 +83,11 @@ def folded_measures(lake: Store, rules: Sequence[Rule] = RULES) -> dict[str, Dat
             found[rule.dataset] = RuntimeError(_message(error)) if not isinstance(error, LookupError) else error
     if renewed:
         stored = lake.read(MEASURES)
-        for rule, days, _ in renewed:
+        for rule, days, *_ in renewed:
             here = F.col("measured_date").isNull() | F.col("measured_date").isin(days)
             stored = stored.where(~((F.col("dataset_name") == rule.dataset) & here))
-        lake.overwrite(MEASURES, reduce(DataFrame.unionByName, [stored, *(rows for *_, rows in renewed)]).coalesce(1))
+        lake.overwrite(MEASURES, reduce(DataFrame.unionByName, [stored, *(rows for _, _, rows, _ in renewed)]).coalesce(1))
+        _replace_keys(lake, [(rule, days, keys) for rule, days, _, keys in renewed if keys is not None])
     measured = [b for b in batches if b.table.replace(".", "_", 1) not in found]
     if any(b.changed for b in measured):
         ledger.consume(lake, PIPELINE, measured)
@@ -102,16 +104,29 @@ def _keys_recur(rule: Rule) -> bool:
     return bool(rule.keys) and table.dated_by is not None and table.dated_by not in rule.keys
 
 
-def _renewed(lake: Store, rule: Rule, days: list[date]) -> tuple[Rule, list[date], DataFrame]:
-    """Measures of the dates, read from these only, as a written table; their keys are put in place of the former ones."""
+def _renewed(lake: Store, rule: Rule, days: list[date]) -> tuple[Rule, list[date], DataFrame, DataFrame | None]:
+    """Measures of the dates, read from these only, and their keys if these can recur, as written tables."""
     moment, tagged = TABLES[rule.table].dated_by, F.lit(rule.dataset).alias("dataset_name")
     rows = lake.read(rule.table, [*days, None]) if moment else lake.read(rule.table)
-    folder = new_folder(lake.spark, "measures")
-    partial_measures(rows, rule, moment).select(tagged, "*").write.parquet(folder)
-    if _keys_recur(rule):
-        others = lake.read(KEYS, [*days, None]).where(F.col("dataset_name") != rule.dataset)
-        lake.replace_dates(KEYS, others.unionByName(date_keys(rows, rule, moment).select(tagged, "*")), [*days, None])
-    return rule, days, lake.spark.read.schema(TABLES[MEASURES].ddl).parquet(folder)
+
+    def kept(found: DataFrame, table: str) -> DataFrame:
+        folder = new_folder(lake.spark, "measures")
+        found.select(tagged, "*").write.parquet(folder)
+        return lake.spark.read.schema(TABLES[table].ddl).parquet(folder)
+
+    keys = kept(date_keys(rows, rule, moment), KEYS) if _keys_recur(rule) else None
+    return rule, days, kept(partial_measures(rows, rule, moment), MEASURES), keys
+
+
+def _replace_keys(lake: Store, renewed: Sequence[tuple[Rule, list[date], DataFrame]]) -> None:
+    """The keys of all renewed datasets in place of the former ones of their dates: every date is rewritten once."""
+    if not renewed:
+        return
+    dates: list[date | None] = [*sorted({day for _, days, _ in renewed for day in days}), None]
+    kept, day = lake.read(KEYS, dates), utc_date("measured_at")
+    for rule, days, _ in renewed:
+        kept = kept.where(~((F.col("dataset_name") == rule.dataset) & (day.isNull() | day.isin(days))))
+    lake.replace_dates(KEYS, reduce(DataFrame.unionByName, [kept, *(keys for *_, keys in renewed)]), dates)
 
 
 def _message(error: Exception) -> str:
