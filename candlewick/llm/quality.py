@@ -32,6 +32,8 @@ POWER = 8
 BLOCK = 256
 #: Characters of a piece of a long word; a rest as short as a short word stays with the last piece.
 PIECE, SHORTEST = 64, 4
+#: Words remembered in each of two generations, some 200 bytes a word in every worker.
+KEPT_WORDS = 100_000
 
 _SHAPE = {c: "A" if chr(c).isupper() else "a" if chr(c).isalpha() else "0" if chr(c).isdecimal() else chr(c) for c in range(0x250)}
 
@@ -58,7 +60,7 @@ class Counter:
     """Term counts of texts, as square roots of rates."""
 
     def __init__(self):
-        self.known = Recent(_term)
+        self.known = Recent(_term, KEPT_WORDS)
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         out = np.zeros((len(texts), TERMS), np.float32)

@@ -32,9 +32,14 @@ def whole(text: str = "text") -> Column:
 
 
 def sliced(batch: pa.RecordBatch | pa.Array, rows: int = 256) -> Iterator[pa.RecordBatch | pa.Array]:
-    """A batch in short pieces, so that only few texts are Python objects at a time."""
+    """A batch in short pieces, so that only few texts are Python objects at a time.
+
+    At its end Arrow gives back what former batches have left unused: a worker lives on and would keep it through the
+    steps that follow.
+    """
     for at in range(0, len(batch), rows):
         yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def total_bytes(docs: DataFrame, text: str = "text") -> int:

@@ -45,18 +45,18 @@ _BOUNDARY = re.compile("(?<=[A-Za-z])(?= [A-Za-z])")
 
 
 class Recent(dict):
-    """Answers of ``compute`` for recent keys; two generations bound the memory and keep frequent keys."""
+    """Answers of ``compute`` for recent keys; two generations of ``kept`` bound the memory and keep frequent keys."""
 
-    def __init__(self, compute: Callable):
+    def __init__(self, compute: Callable, kept: int | None = None):
         super().__init__()
-        self.compute, self.older = compute, {}
+        self.compute, self.older, self.kept = compute, {}, kept or KEPT_PIECES
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
         if len(key) <= LONGEST_KEPT:
-            if len(self) >= KEPT_PIECES:
+            if len(self) >= self.kept:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
